@@ -67,3 +67,415 @@ SELECT l_orderkey, l_linenumber, count(*) AS count FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
 def duplicate_keys(spark, sf_dir):
     return dedup.duplicate_keys(table(spark, sf_dir, "lineitem"), LINE_KEYS)
+
+
+# -- trips adapter helpers ---------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from farelane.operators import clean, enrich, measures, shape  # noqa: E402
+from farelane.plans import profile, quality  # noqa: E402
+from farelane.plans.curate import curate_columns  # noqa: E402
+
+C = trips.ADAPTER_COLUMNS
+IDENT = list(trips.IDENTITY)
+ID_SQL = ", ".join(IDENT)
+
+
+def raw_a(spark, sf_dir):
+    """Harmonised flavour-A raw trips read from their landed monthly files."""
+    return harmonize.harmonize_a(trips.read_landed(spark, sf_dir, "a"))
+
+
+def repaired(spark, sf_dir):
+    """Raw trips with the total recomputed and timestamps repaired."""
+    return clean.repair_timestamps(clean.recompute_total(raw_a(spark, sf_dir), C), C)
+
+
+def _measured(df, zero_divisor="null"):
+    return measures.add_measures(df, C, zero_divisor)
+
+
+# measures over the repaired chain, for oracle queries
+DM_SQL = f"""dm1 AS (SELECT *, {O.DURATION_SQL} AS trip_duration_min FROM d),
+dm AS (SELECT *, trip_distance / nullif(trip_duration_min, 0) AS miles_per_minute,
+              trip_distance / nullif(trip_duration_min, 0) * 60 AS miles_per_hour,
+              fare_amount / nullif(trip_distance, 0) AS fare_amount_per_mile,
+              fare_amount / nullif(trip_duration_min, 0) AS fare_amount_per_min FROM dm1)"""
+# the same over raw (unrepaired) timestamps
+HM_SQL = DM_SQL.replace("FROM d)", "FROM h)").replace("dm1", "hm1").replace("dm AS", "hm AS")
+
+
+# -- D1, D16 totals ---------------------------------------------------------------------
+
+@query("recompute_total", O.ctes("d") + f"SELECT {ID_SQL}, total_amount FROM d")
+def recompute_total(spark, sf_dir):
+    return clean.recompute_total(raw_a(spark, sf_dir), C).select(*IDENT, "total_amount")
+
+
+@query("recompute_total_strict", O.ctes("h") + f"""
+SELECT {ID_SQL}, fare_amount + tip_amount + tolls_amount AS total_amount FROM h""")
+def recompute_total_strict(spark, sf_dir):
+    df = clean.recompute_total_strict(raw_a(spark, sf_dir), ("fare_amount", "tip_amount", "tolls_amount"))
+    return df.select(*IDENT, "total_amount")
+
+
+# -- D2-D5 timestamps ---------------------------------------------------------------------
+
+@query("repair_year_start", O.ctes("d") + f"SELECT {ID_SQL}, file_year, pickup_datetime FROM d2")
+def repair_year_start(spark, sf_dir):
+    df = clean.repair_start_year(clean.recompute_total(raw_a(spark, sf_dir), C), C)
+    return df.select(*IDENT, "file_year", "pickup_datetime")
+
+
+@query("repair_year_end", O.ctes("d") + f"SELECT {ID_SQL}, file_year, dropoff_datetime FROM d3")
+def repair_year_end(spark, sf_dir):
+    df = clean.repair_start_year(clean.recompute_total(raw_a(spark, sf_dir), C), C)
+    return clean.repair_end_year(df, C).select(*IDENT, "file_year", "dropoff_datetime")
+
+
+ORDER_LINES = C.with_(pickup="o_orderdate", dropoff="l_shipdate")
+
+
+def _order_lines(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return li.join(od, li.l_orderkey == od.o_orderkey).drop("o_orderkey")
+
+
+@query("clamp_end", """
+SELECT l_orderkey, l_linenumber, o_orderdate,
+       CASE WHEN l_shipdate < o_orderdate THEN o_orderdate ELSE l_shipdate END AS l_shipdate
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def clamp_end(spark, sf_dir):
+    return clean.clamp_end(_order_lines(spark, sf_dir), ORDER_LINES)
+
+
+@query("negative_duration", """
+SELECT l_orderkey, l_linenumber,
+       (epoch(date_trunc('second', l_shipdate)) - epoch(date_trunc('second', o_orderdate))) / 60 AS trip_duration_min
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE (epoch(date_trunc('second', l_shipdate)) - epoch(date_trunc('second', o_orderdate))) / 60 < 0""")
+def negative_duration(spark, sf_dir):
+    df = measures.add_duration(_order_lines(spark, sf_dir), ORDER_LINES)
+    return clean.negative_duration(df).select("l_orderkey", "l_linenumber", "trip_duration_min")
+
+
+@query("date_parts", O.ctes("d") + f"""
+SELECT {ID_SQL},
+  CAST(year(pickup_datetime) AS INTEGER) AS pickup_year, CAST(month(pickup_datetime) AS INTEGER) AS pickup_month,
+  CAST(day(pickup_datetime) AS INTEGER) AS pickup_day, CAST(year(dropoff_datetime) AS INTEGER) AS dropoff_year,
+  CAST(month(dropoff_datetime) AS INTEGER) AS dropoff_month, CAST(day(dropoff_datetime) AS INTEGER) AS dropoff_day
+FROM d""")
+def date_parts(spark, sf_dir):
+    return clean.add_date_parts(repaired(spark, sf_dir), C).select(*IDENT, *clean.DATE_PART_NAMES)
+
+
+# -- D6-D9 imputation ----------------------------------------------------------------------
+
+@query("impute_null_zero", O.ctes("h") + f"""
+SELECT {ID_SQL}, CASE WHEN passenger_count IS NULL OR passenger_count = 0 THEN 1 ELSE passenger_count END
+       AS passenger_count FROM h""")
+def impute_null_zero(spark, sf_dir):
+    return clean.impute_passengers(raw_a(spark, sf_dir), C).select(*IDENT, "passenger_count")
+
+
+@query("impute_numeric", O.ctes("h") + f"""
+SELECT {ID_SQL}, {", ".join(f"coalesce({x}, 0) AS {x}" for x in C.zero_fill)} FROM h""")
+def impute_numeric(spark, sf_dir):
+    return clean.impute_zero(raw_a(spark, sf_dir), C).select(*IDENT, *C.zero_fill)
+
+
+@query("impute_codes", O.ctes("h") + f"""
+SELECT {ID_SQL}, {", ".join(f"coalesce({k}, {v!r}) AS {k}" for k, v in C.code_defaults.items())} FROM h""")
+def impute_codes(spark, sf_dir):
+    return clean.impute_codes(raw_a(spark, sf_dir), C).select(*IDENT, *C.code_defaults)
+
+
+_FILL_SQL = "make_timestamp(TRY_CAST(file_year AS INTEGER), TRY_CAST(file_month AS INTEGER), 1, 0, 0, 0.0)"
+
+
+@query("impute_timestamp", O.ctes("h") + f"""
+SELECT {ID_SQL}, coalesce(pickup_datetime, {_FILL_SQL}) AS pickup_datetime,
+       coalesce(dropoff_datetime, {_FILL_SQL}) AS dropoff_datetime FROM h""")
+def impute_timestamp(spark, sf_dir):
+    return clean.impute_timestamps(raw_a(spark, sf_dir), C).select(*IDENT, "pickup_datetime", "dropoff_datetime")
+
+
+# -- D10-D15 measures and flags --------------------------------------------------------------
+
+@query("duration_minutes", O.ctes("d", extra=DM_SQL) + f"SELECT {ID_SQL}, trip_duration_min FROM dm")
+def duration_minutes(spark, sf_dir):
+    return measures.add_duration(repaired(spark, sf_dir), C).select(*IDENT, "trip_duration_min")
+
+
+RATIOS = ["miles_per_minute", "miles_per_hour", "fare_amount_per_mile", "fare_amount_per_min"]
+
+
+@query("safe_ratios", O.ctes("d", extra=DM_SQL) + f"SELECT {ID_SQL}, {', '.join(RATIOS)} FROM dm")
+def safe_ratios(spark, sf_dir):
+    return _measured(repaired(spark, sf_dir)).select(*IDENT, *RATIOS)
+
+
+@query("safe_ratios_zero", O.ctes("d", extra=DM_SQL) + f"""
+SELECT {ID_SQL}, coalesce(trip_distance / nullif(trip_duration_min, 0), 0) AS miles_per_minute,
+       coalesce(trip_distance / nullif(trip_duration_min, 0), 0) * 60 AS miles_per_hour,
+       coalesce(fare_amount / nullif(trip_distance, 0), 0) AS fare_amount_per_mile,
+       coalesce(fare_amount / nullif(trip_duration_min, 0), 0) AS fare_amount_per_min FROM dm""")
+def safe_ratios_zero(spark, sf_dir):
+    return _measured(repaired(spark, sf_dir), "zero").select(*IDENT, *RATIOS)
+
+
+TRIP_FLAG_SQL = """CASE WHEN miles_per_minute < 0.01 OR miles_per_minute > 2 THEN TRUE
+     WHEN trip_distance > 100 AND trip_duration_min < 60 THEN TRUE
+     WHEN trip_distance < 20 AND trip_duration_min > 240 THEN TRUE
+     WHEN trip_distance < 50 AND trip_duration_min > 480 THEN TRUE
+     WHEN trip_distance < 100 AND trip_duration_min > 720 THEN TRUE ELSE FALSE END"""
+FARE_FLAG_SQL = """CASE WHEN fare_amount_per_mile < 0 OR fare_amount_per_mile > 30 THEN TRUE
+     WHEN fare_amount_per_min < 0 OR fare_amount_per_min > 15 THEN TRUE
+     WHEN fare_amount_per_min = 0 THEN TRUE ELSE FALSE END"""
+
+
+@query("flag_trip_outlier", O.ctes("d", extra=DM_SQL) + f"SELECT {ID_SQL}, {TRIP_FLAG_SQL} AS trip_outlier_flag FROM dm")
+def flag_trip_outlier(spark, sf_dir):
+    return measures.flag_trip_outlier(_measured(repaired(spark, sf_dir)), C).select(*IDENT, "trip_outlier_flag")
+
+
+@query("flag_fare_outlier", O.ctes("d", extra=DM_SQL) + f"SELECT {ID_SQL}, {FARE_FLAG_SQL} AS fare_amount_outlier_flag FROM dm")
+def flag_fare_outlier(spark, sf_dir):
+    return measures.flag_fare_outlier(_measured(repaired(spark, sf_dir))).select(*IDENT, "fare_amount_outlier_flag")
+
+
+# -- F1-F8 filters -------------------------------------------------------------------------------
+
+@query("filter_non_negative", O.ctes("d") + f"""
+SELECT {ID_SQL} FROM d WHERE trip_distance >= 0 AND fare_amount >= 0 AND total_amount >= 0""")
+def filter_non_negative(spark, sf_dir):
+    return clean.filter_non_negative(clean.recompute_total(raw_a(spark, sf_dir), C), C).select(*IDENT)
+
+
+@query("filter_both_zero", O.ctes("d") + f"SELECT {ID_SQL} FROM d WHERE trip_distance > 0 OR total_amount > 0")
+def filter_both_zero(spark, sf_dir):
+    return clean.filter_both_zero(clean.recompute_total(raw_a(spark, sf_dir), C), C).select(*IDENT)
+
+
+@query("filter_outlier_bands", O.ctes("d", extra=DM_SQL) + f"""
+SELECT {ID_SQL} FROM dm
+WHERE miles_per_minute <= 2 AND miles_per_minute >= 0.01
+  AND NOT (trip_distance > 100 AND trip_duration_min < 60)
+  AND NOT (trip_distance < 20 AND trip_duration_min > 240)
+  AND NOT (trip_distance < 50 AND trip_duration_min > 480)
+  AND NOT (trip_distance < 100 AND trip_duration_min > 720)""")
+def filter_outlier_bands(spark, sf_dir):
+    return clean.filter_outlier_bands(_measured(repaired(spark, sf_dir)), "trip").select(*IDENT)
+
+
+@query("filter_fare_bands", O.ctes("d", extra=DM_SQL) + f"""
+SELECT {ID_SQL} FROM dm
+WHERE fare_amount_per_mile <= 30 AND fare_amount_per_mile >= 0
+  AND fare_amount_per_min <= 15 AND fare_amount_per_min >= 0""")
+def filter_fare_bands(spark, sf_dir):
+    return clean.filter_outlier_bands(_measured(repaired(spark, sf_dir)), "fare").select(*IDENT)
+
+
+POINT = {"l_orderkey": 3, "l_partkey": 793, "l_suppkey": 35, "l_linenumber": 4,
+         "l_returnflag": "N", "l_shipdate": "1996-02-06 00:00:00"}
+
+
+@query("point_lookup", """
+SELECT * FROM lineitem WHERE l_orderkey = 3 AND l_partkey = 793 AND l_suppkey = 35 AND l_linenumber = 4
+  AND l_returnflag = 'N' AND l_shipdate = TIMESTAMP '1996-02-06 00:00:00'""")
+def point_lookup(spark, sf_dir):
+    eq = dict(POINT, l_shipdate=F.lit(POINT["l_shipdate"]).cast("timestamp_ntz"))
+    return clean.point_lookup(table(spark, sf_dir, "lineitem"), eq)
+
+
+@query("exception_rows", """
+SELECT * FROM lineitem WHERE l_discount = 0 AND l_quantity <> 0 AND l_linenumber NOT IN (3, 4)""")
+def exception_rows(spark, sf_dir):
+    return clean.exception_rows(table(spark, sf_dir, "lineitem"), "l_discount", "l_quantity", "l_linenumber", (3, 4))
+
+
+@query("null_presence", O.ctes("h") + f"SELECT {ID_SQL}, passenger_count FROM h WHERE passenger_count IS NULL")
+def null_presence(spark, sf_dir):
+    return clean.null_rows(raw_a(spark, sf_dir), "passenger_count").select(*IDENT, "passenger_count")
+
+
+@query("dropna_rows", O.ctes("h", extra=HM_SQL) + f"""
+SELECT {ID_SQL}, miles_per_minute, trip_duration_min, trip_distance FROM hm
+WHERE miles_per_minute IS NOT NULL AND trip_duration_min IS NOT NULL AND trip_distance IS NOT NULL""")
+def dropna_rows(spark, sf_dir):
+    df = _measured(raw_a(spark, sf_dir)).select(*IDENT, "miles_per_minute", "trip_duration_min", "trip_distance")
+    return clean.drop_any_null(df, ["miles_per_minute", "trip_duration_min", "trip_distance"])
+
+
+# -- J1, A1 reversal pairs -------------------------------------------------------------------------
+
+@query("reversal_groups", O.ctes("d") + f"""
+SELECT {O.REV_KEYS}, sum(total_amount) AS total_amount_sum, count(*) AS count FROM d
+GROUP BY {O.REV_KEYS} HAVING sum(total_amount) = 0 AND count(*) = 2""")
+def reversal_groups(spark, sf_dir):
+    return dedup.reversal_groups(repaired(spark, sf_dir), C)
+
+
+@query("reversal_anti_join", O.ctes("k") + f"SELECT {ID_SQL} FROM j1")
+def reversal_anti_join(spark, sf_dir):
+    return dedup.remove_reversals(repaired(spark, sf_dir), C).select(*IDENT)
+
+
+# -- J2, J3 lookups --------------------------------------------------------------------------------
+
+@query("lookup_left_join", O.ctes("h") + f"""
+SELECT {ID_SQL}, h.RatecodeID, rc.RatecodeDesc, h.payment_type, pt.payment_type_desc
+FROM h LEFT JOIN {O.ratecode_sql()} ON h.RatecodeID = rc.RatecodeID
+       LEFT JOIN {O.payment_sql()} ON h.payment_type = pt.payment_type""")
+def lookup_left_join(spark, sf_dir):
+    d = dims.code_tables(spark)
+    df = enrich.lookup_join(raw_a(spark, sf_dir), d["ratecode"], "RatecodeID")
+    df = enrich.lookup_join(df, d["payment_type"], "payment_type")
+    return df.select(*IDENT, "RatecodeID", "RatecodeDesc", "payment_type", "payment_type_desc")
+
+
+ZONE_OUT = ["PULocationID", "PU_Borough", "PU_Zone", "PU_service_zone",
+            "DOLocationID", "DO_Borough", "DO_Zone", "DO_service_zone"]
+
+
+@query("role_playing_join", O.ctes("h") + f"""
+SELECT {ID_SQL}, PULocationID, pu.Borough AS PU_Borough, pu.Zone AS PU_Zone, pu.service_zone AS PU_service_zone,
+       DOLocationID, dz.Borough AS DO_Borough, dz.Zone AS DO_Zone, dz.service_zone AS DO_service_zone
+FROM h LEFT JOIN {O.ZONE_SQL} pu ON h.PULocationID = pu.LocationID
+       LEFT JOIN {O.ZONE_SQL} dz ON h.DOLocationID = dz.LocationID""")
+def role_playing_join(spark, sf_dir):
+    zone = dims.zone_from_nation(spark, sf_dir)
+    df = enrich.role_join(raw_a(spark, sf_dir), zone, "PULocationID", "LocationID", "PU_")
+    df = enrich.role_join(df, zone, "DOLocationID", "LocationID", "DO_")
+    return df.select(*IDENT, *ZONE_OUT)
+
+
+# -- P1-P5 shaping ----------------------------------------------------------------------------------
+
+@query("harmonize_a", O.ctes("h", flavour="a") + "SELECT * FROM h")
+def harmonize_a(spark, sf_dir):
+    return harmonize.harmonize_a(trips.read_landed(spark, sf_dir, "a"))
+
+
+@query("harmonize_b", O.ctes("h", flavour="b") + "SELECT * FROM h")
+def harmonize_b(spark, sf_dir):
+    return harmonize.harmonize_b(trips.read_landed(spark, sf_dir, "b"))
+
+
+@query("rename_reorder", O.curated_sql("a"))
+def rename_reorder(spark, sf_dir):
+    return shape.rename_reorder(curate_columns(raw_a(spark, sf_dir), adapter_dims(spark, sf_dir), C))
+
+
+@query("cast_table", O.curated_sql("a"))
+def cast_table(spark, sf_dir):
+    text = curate_trips(spark, sf_dir)
+    text = text.select(*[F.col(c).cast("string").alias(c) for c in text.columns])
+    return shape.cast_layout(text)
+
+
+# -- A3-A6 profiles, L2 / L3 ------------------------------------------------------------------------
+
+@query("distinct_years", O.ctes("h") + "SELECT DISTINCT CAST(year(pickup_datetime) AS INTEGER) AS pickup_year FROM h")
+def distinct_years(spark, sf_dir):
+    return profile.distinct_values(raw_a(spark, sf_dir), F.year("pickup_datetime").alias("pickup_year"))
+
+
+PROFILE_COLUMNS = ["passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount"]
+_CHECK_SQL = {"zero": "{c} = 0", "negative": "{c} < 0", "null": "{c} IS NULL"}
+
+
+@query("profile_zero_neg_null", O.ctes("h") + "SELECT " + ", ".join(
+    f"count(*) FILTER (WHERE {_CHECK_SQL[k].format(c=c)}) AS {k}_{c}"
+    for c in PROFILE_COLUMNS for k in ("zero", "negative", "null")) + " FROM h")
+def profile_zero_neg_null(spark, sf_dir):
+    return profile.profile_wide(raw_a(spark, sf_dir), PROFILE_COLUMNS)
+
+
+LONG_COLUMNS = ["passenger_count", "trip_distance", "fare_amount", "total_amount"]
+
+
+@query("profile_long", O.ctes("h") + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", '{k}' AS \"check\", count(*) FILTER (WHERE {_CHECK_SQL[k].format(c=c)}) AS bad_rows FROM h"
+    for c in LONG_COLUMNS for k in ("negative", "zero")))
+def profile_long(spark, sf_dir):
+    return profile.profile_long(raw_a(spark, sf_dir), LONG_COLUMNS, ("negative", "zero"))
+
+
+def _boxplot_sql(source: str, groups: list[str], value: str) -> str:
+    g = ", ".join(groups)
+    on = " AND ".join(f"s.{x} = b.{x}" for x in groups)
+    r = lambda e, a: f"round({e}, 4) AS {a}"
+    return f"""
+q AS (SELECT {g}, count({value}) AS n, quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS median,
+             quantile_cont({value}, 0.75) AS q3 FROM {source} WHERE {value} IS NOT NULL GROUP BY {g}),
+b AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q),
+c AS (SELECT {', '.join('b.' + x for x in groups)}, min(s.{value}) AS mn, max(s.{value}) AS mx,
+             count(*) FILTER (WHERE s.{value} < b.lower_fence OR s.{value} > b.upper_fence) AS n_outliers
+      FROM {source} s JOIN b ON {on} GROUP BY {', '.join('b.' + x for x in groups)})
+SELECT {', '.join('b.' + x for x in groups)}, n, {r('mn', 'min')}, {r('q1', 'q1')}, {r('median', 'median')}, {r('q3', 'q3')},
+       {r('mx', 'max')}, {r('iqr', 'iqr')}, {r('lower_fence', 'lower_fence')}, {r('upper_fence', 'upper_fence')}, n_outliers
+FROM b JOIN c USING ({g})"""
+
+
+@query("boxplot_stats", "WITH" + _boxplot_sql("events", ["event_type"], "value"))
+def boxplot_stats(spark, sf_dir):
+    return profile.boxplot_stats(table(spark, sf_dir, "events"), ["event_type"], "value")
+
+
+_BAND_SQL = """miles_per_minute <= 2 AND miles_per_minute >= 0.01
+  AND NOT (trip_distance > 100 AND trip_duration_min < 60) AND NOT (trip_distance < 20 AND trip_duration_min > 240)
+  AND NOT (trip_distance < 50 AND trip_duration_min > 480) AND NOT (trip_distance < 100 AND trip_duration_min > 720)"""
+_MEASURE_NAMES = ["miles_per_minute", "trip_duration_min", "trip_distance"]
+
+
+@query("boxplot_before_after", O.ctes("h", extra=HM_SQL + ",\n" + f"""
+nn AS (SELECT * FROM hm WHERE miles_per_minute IS NOT NULL AND trip_duration_min IS NOT NULL AND trip_distance IS NOT NULL),
+staged AS (SELECT 'before' AS stage, * FROM nn UNION ALL SELECT 'after' AS stage, * FROM nn WHERE {_BAND_SQL}),
+lng AS ({' UNION ALL '.join(f"SELECT stage, '{m}' AS measure, {m} AS value FROM staged" for m in _MEASURE_NAMES)}),"""
+                                                  + _boxplot_sql("lng", ["stage", "measure"], "value")))
+def boxplot_before_after(spark, sf_dir):
+    m = clean.drop_any_null(_measured(raw_a(spark, sf_dir)), _MEASURE_NAMES)
+    staged = (m.withColumn("stage", F.lit("before"))
+               .unionByName(clean.filter_outlier_bands(m, "trip").withColumn("stage", F.lit("after"))))
+    lng = staged.unpivot(["stage"], _MEASURE_NAMES, "measure", "value")
+    return profile.boxplot_stats(lng, ["stage", "measure"], "value")
+
+
+@query("preview_top5", O.ctes("h") + f"""
+SELECT {ID_SQL}, fare_amount FROM h WHERE fare_amount < 0 ORDER BY {ID_SQL} LIMIT 5""")
+def preview_top5(spark, sf_dir):
+    neg = raw_a(spark, sf_dir).filter(F.col("fare_amount") < 0)
+    return profile.preview(neg, IDENT, 5).select(*IDENT, "fare_amount")
+
+
+@query("sample_rows")
+def sample_rows(spark, sf_dir):
+    return profile.sample_rows(table(spark, sf_dir, "events"), 0.01, seed=42)
+
+
+# -- Q0-Q6 quality ----------------------------------------------------------------------------------
+
+def _quality_sql() -> str:
+    from farelane import spec
+    meta = [("column_present", c, 0) for _, c, _ in spec.CURATED_COLUMNS]
+    meta += [("column_type", c, 0) for _, c, _ in spec.CURATED_COLUMNS]
+    values = ", ".join(f"('{a}', '{b}', {n})" for a, b, n in meta)
+    checks = [("zero", c, f"{c} = 0") for c in spec.QUALITY_NOT_ZERO]
+    checks += [("negative", c, f"{c} < 0") for c in spec.QUALITY_NOT_NEGATIVE]
+    checks += [("null", c, f"{c} IS NULL") for c in spec.QUALITY_NOT_NULL]
+    counts = "\nUNION ALL ".join(f"SELECT '{a}', '{b}', count(*) FILTER (WHERE {p}) FROM cur" for a, b, p in checks)
+    keys = ", ".join(spec.QUALITY_UNIQUE_KEY)
+    dup = (f"SELECT 'duplicate_key', '{','.join(spec.QUALITY_UNIQUE_KEY)}', count(*) FROM "
+           f"(SELECT {keys} FROM cur GROUP BY {keys} HAVING count(*) > 1)")
+    return (O.ctes("cur") + f"""SELECT "check", "column", CAST(bad_rows AS BIGINT) AS bad_rows FROM (
+SELECT * FROM (VALUES {values}) AS v("check", "column", bad_rows)
+UNION ALL {counts}
+UNION ALL {dup})""")
+
+
+@query("quality_report", _quality_sql())
+def quality_report(spark, sf_dir):
+    return quality.quality_report(curate_trips(spark, sf_dir))

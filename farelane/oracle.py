@@ -183,12 +183,24 @@ def _duck_type(t: str) -> str:
 CURATED_SELECT = ",\n  ".join(f"CAST({src} AS {_duck_type(t)}) AS {dst}" for src, dst, t in spec.CURATED_COLUMNS)
 
 
-def curated_ctes(flavour: str = "a", unknown_zone: int = 24) -> str:
-    """CTE chain ending in ``cur`` (the 44-column curated trips)."""
-    return ("WITH " + TRIPS_CTE + "," + _harmonized(flavour) + "," + REPAIR_CTE + "," + CLEAN_CTE + ","
-            + _impute_cte(unknown_zone) + "," + ENRICH_CTE + "," + MEASURE_CTE
-            + f",\ncur AS (SELECT\n  {CURATED_SELECT}\nFROM m)")
+def _stages(flavour: str, unknown_zone: int) -> list[tuple[str, str]]:
+    return [("raw", TRIPS_CTE), ("h", _harmonized(flavour)), ("d", REPAIR_CTE), ("k", CLEAN_CTE),
+            ("i", _impute_cte(unknown_zone)), ("e", ENRICH_CTE), ("m", MEASURE_CTE),
+            ("cur", f"\ncur AS (SELECT\n  {CURATED_SELECT}\nFROM m)")]
+
+
+def ctes(upto: str = "cur", flavour: str = "a", unknown_zone: int = 24, extra: str = "") -> str:
+    """``WITH`` clause of the trip chain up to and including stage ``upto``
+    (raw, h, d, k, i, e, m, cur), plus optional extra CTEs."""
+    parts = []
+    for name, text in _stages(flavour, unknown_zone):
+        parts.append(text)
+        if name == upto:
+            break
+    if extra:
+        parts.append("\n" + extra)
+    return "WITH " + ",".join(parts) + "\n"
 
 
 def curated_sql(flavour: str = "a") -> str:
-    return curated_ctes(flavour) + "\nSELECT * FROM cur"
+    return ctes("cur", flavour) + "SELECT * FROM cur"

@@ -39,9 +39,10 @@ def _remove_pairs_and_duplicates(df: DataFrame, cols: TripColumns, plan: str) ->
     return kept.join(members, on=list(cols.dedup_keys), how="left_anti")
 
 
-def curate(df: DataFrame, dims: dict[str, DataFrame], cols: TripColumns = DEFAULT_COLUMNS,
-           plan: str = "fused", zone_key: str = "LocationID") -> DataFrame:
-    """Harmonised raw trips (with file_year / file_month) -> curated trips.
+def curate_columns(df: DataFrame, dims: dict[str, DataFrame], cols: TripColumns = DEFAULT_COLUMNS,
+                   plan: str = "fused", zone_key: str = "LocationID") -> DataFrame:
+    """Harmonised raw trips (with file_year / file_month) -> every curated
+    column under its source name (before the curated layout).
 
     ``dims`` needs ``ratecode``, ``payment_type`` and ``zone``.  NULL
     timestamps are filled from the file month and the clamp and date parts
@@ -58,5 +59,10 @@ def curate(df: DataFrame, dims: dict[str, DataFrame], cols: TripColumns = DEFAUL
     df = clean.add_date_parts(df, cols)
     df = enrich.enrich_trips(df, dims["ratecode"], dims["payment_type"], dims["zone"], zone_key=zone_key)
     df = measures.add_measures(df, cols)
-    df = measures.flag_outliers(df, cols)
-    return shape.to_curated(df)
+    return measures.flag_outliers(df, cols)
+
+
+def curate(df: DataFrame, dims: dict[str, DataFrame], cols: TripColumns = DEFAULT_COLUMNS,
+           plan: str = "fused", zone_key: str = "LocationID") -> DataFrame:
+    """Harmonised raw trips -> the 44-column curated trips."""
+    return shape.to_curated(curate_columns(df, dims, cols, plan, zone_key))
