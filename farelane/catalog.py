@@ -479,3 +479,208 @@ UNION ALL {dup})""")
 @query("quality_report", _quality_sql())
 def quality_report(spark, sf_dir):
     return quality.quality_report(curate_trips(spark, sf_dir))
+
+
+# -- S1-S9 scans, run modes, calendar ----------------------------------------------------------------
+
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType  # noqa: E402
+
+from farelane.session import scratch_path  # noqa: E402
+from farelane.sinks import parquet as sink  # noqa: E402
+from farelane.sources import calendar, files, runmodes  # noqa: E402
+
+VEHICLE_A = trips.FLAVOUR_VEHICLE["a"]
+SEL_SQL = f"SELECT {ID_SQL}, file_year, file_month FROM raw"
+
+
+@query("scan_merge_schema", O.ctes("raw") + f"""
+SELECT {ID_SQL}, file_year, file_month,
+       CAST(CASE WHEN l_suppkey % 4 = 0 THEN 1.75 ELSE 0.0 END AS DOUBLE) AS airport_fee,
+       CAST(CASE WHEN CAST(file_year AS INTEGER) >= 1998 THEN CASE WHEN l_partkey % 2 = 1 THEN 0.75 ELSE 0.0 END END
+            AS DOUBLE) AS cbd_congestion_fee
+FROM raw""")
+def scan_merge_schema(spark, sf_dir):
+    folder = trips.land_vintages(spark, sf_dir, "columns")
+    df = files.with_file_month(files.read_months(spark, files.month_glob(folder, VEHICLE_A)))
+    return df.select(*IDENT, "file_year", "file_month", F.col("airport_fee").alias("airport_fee"),
+                     "cbd_congestion_fee")
+
+
+@query("schema_reconcile", O.ctes("raw") + f"""
+SELECT {ID_SQL}, file_year, file_month, CAST(VendorID AS BIGINT) AS VendorID,
+       CAST(passenger_count AS DOUBLE) AS passenger_count FROM raw""")
+def schema_reconcile(spark, sf_dir):
+    folder = trips.land_vintages(spark, sf_dir, "types")
+    df = files.read_reconciled(spark, files.month_glob(folder, VEHICLE_A))
+    return df.select(*IDENT, "file_year", "file_month", "VendorID", "passenger_count")
+
+
+@query("glob_scan_rowcount", O.ctes("raw") + "SELECT count(*) AS n_rows FROM raw WHERE file_year = '1996'")
+def glob_scan_rowcount(spark, sf_dir):
+    folder = trips.land_raw(spark, sf_dir, "a")
+    return files.read_months(spark, files.month_glob(folder, VEHICLE_A, "1996")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("file_year_month", O.ctes("raw") + SEL_SQL)
+def file_year_month(spark, sf_dir):
+    return trips.read_landed(spark, sf_dir, "a").select(*IDENT, "file_year", "file_month")
+
+
+def _selected(spark, sf_dir, mode, months=0, minimum=None):
+    folder = trips.land_raw(spark, sf_dir, "a")
+    kw = {} if minimum is None else {"minimum": minimum}
+    return runmodes.select_months(spark, folder, VEHICLE_A, mode, months, **kw).select(
+        *IDENT, "file_year", "file_month")
+
+
+@query("select_full_load", O.ctes("raw") + SEL_SQL)
+def select_full_load(spark, sf_dir):
+    return _selected(spark, sf_dir, "full_load")
+
+
+@query("select_past_months", O.ctes("raw", extra="""lastm AS (
+  SELECT DISTINCT file_year, file_month FROM raw ORDER BY file_year DESC, file_month DESC LIMIT 3)""") + SEL_SQL
+       + " WHERE EXISTS (SELECT 1 FROM lastm l WHERE l.file_year = raw.file_year AND l.file_month = raw.file_month)")
+def select_past_months(spark, sf_dir):
+    return _selected(spark, sf_dir, "past_months", 3)
+
+
+# The test tables start in 1992, so the month floor is a parameter here.
+SPECIFIC_MONTH, SPECIFIC_MONTH_FLOOR = 199801, 199200
+
+
+@query("select_specific_month", O.ctes("raw") + SEL_SQL + " WHERE file_year = '1998' AND file_month = '01'")
+def select_specific_month(spark, sf_dir):
+    return _selected(spark, sf_dir, "specific_month", SPECIFIC_MONTH, SPECIFIC_MONTH_FLOOR)
+
+
+def _bounds(spark, sf_dir):
+    """First year and the 'today' of the data set (latest order date)."""
+    return table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")).alias("first_year"),
+                                              F.max("o_orderdate").alias("as_of"))
+
+
+_BOUNDS_SQL = """b AS (SELECT min(year(o_orderdate)) AS first_year,
+                year(max(o_orderdate) - INTERVAL 2 MONTH) AS last_year FROM orders)"""
+
+
+@query("publication_horizon", "WITH " + _BOUNDS_SQL + """
+SELECT CAST(unnest(generate_series(first_year, last_year)) AS INTEGER) AS year FROM b""")
+def publication_horizon(spark, sf_dir):
+    return calendar.publication_years(_bounds(spark, sf_dir))
+
+
+@query("missing_months", O.ctes("raw", extra=_BOUNDS_SQL + """,
+ys AS (SELECT unnest(generate_series(first_year, last_year)) AS year FROM b),
+vs AS (SELECT unnest(['yellow', 'green', 'fhv', 'fhvhv']) AS vehicle),
+ms AS (SELECT unnest(generate_series(1, 12)) AS month),
+exp AS (SELECT vehicle, year, month FROM vs CROSS JOIN ys CROSS JOIN ms),
+obs AS (SELECT DISTINCT v.vehicle, CAST(file_year AS INTEGER) AS year, CAST(file_month AS INTEGER) AS month
+        FROM raw CROSS JOIN (VALUES ('yellow'), ('green')) AS v(vehicle))""") + """
+SELECT vehicle, CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month FROM exp e
+WHERE NOT EXISTS (SELECT 1 FROM obs o WHERE o.vehicle = e.vehicle AND o.year = e.year AND o.month = e.month)""")
+def missing_months(spark, sf_dir):
+    expected = calendar.expected_months(_bounds(spark, sf_dir))
+    observed = None
+    for flavour, vehicle in trips.FLAVOUR_VEHICLE.items():
+        seen = trips.read_landed(spark, sf_dir, flavour).select(
+            F.lit(vehicle).alias("vehicle"), F.col("file_year").cast("int").alias("year"),
+            F.col("file_month").cast("int").alias("month"))
+        observed = seen if observed is None else observed.unionByName(seen)
+    return calendar.missing_months(expected, observed)
+
+
+NATION_CSV_SCHEMA = StructType([StructField("n_nationkey", IntegerType()), StructField("n_name", StringType()),
+                                StructField("n_desc", StringType())])
+
+
+@query("csv_dim_scan", """
+SELECT n_nationkey, n_name, CASE WHEN n_regionkey = 0 THEN 'NA' WHEN n_regionkey = 4 THEN 'N/A'
+                                 ELSE 'Region ' || CAST(n_regionkey AS VARCHAR) END AS n_desc
+FROM nation""")
+def csv_dim_scan(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation").select(
+        "n_nationkey", "n_name",
+        F.when(F.col("n_regionkey") == 0, F.lit("NA")).when(F.col("n_regionkey") == 4, F.lit("N/A"))
+         .otherwise(F.concat(F.lit("Region "), F.col("n_regionkey").cast("string"))).alias("n_desc"))
+    path = dims.write_lookup_csv(nation, scratch_path(spark, "lookup-csv"))
+    return dims.read_csv_dim(spark, path, NATION_CSV_SCHEMA)
+
+
+# -- S5, S6 curated table ----------------------------------------------------------------------------
+
+def _curated_table(spark, sf_dir) -> str:
+    def build():
+        path = scratch_path(spark, "curated")
+        sink.write_partitioned(curate_trips(spark, sf_dir), path)
+        return path
+    return trips._memo(spark, ("curated", sf_dir), build)
+
+
+@query("partition_pruned_read", O.ctes("cur") + "SELECT * FROM cur WHERE file_year = '1998' AND file_month = '01'")
+def partition_pruned_read(spark, sf_dir):
+    return files.read_partitioned(spark, _curated_table(spark, sf_dir), files.curated_schema(),
+                                  where="file_year = '1998' AND file_month = '01'")
+
+
+@query("dynamic_overwrite_roundtrip", O.ctes("cur", extra="""lastm AS (
+  SELECT DISTINCT file_year, file_month FROM cur ORDER BY file_year DESC, file_month DESC LIMIT 3)""") + """
+SELECT * FROM cur c
+WHERE NOT EXISTS (SELECT 1 FROM lastm l WHERE l.file_year = c.file_year AND l.file_month = c.file_month)
+   OR store_and_fwd_flag = 'Y'""")
+def dynamic_overwrite_roundtrip(spark, sf_dir):
+    """Full load, then a re-run of the last three months (here: only their
+    'Y' rows) replaces exactly those months and leaves the others as they were."""
+    target = scratch_path(spark, "curated-roundtrip")
+    sink.write_partitioned(curate_trips(spark, sf_dir), target)
+    loaded = files.read_partitioned(spark, target, files.curated_schema())
+    last3 = loaded.select("file_year", "file_month").distinct().orderBy(
+        F.col("file_year").desc(), F.col("file_month").desc()).limit(3)
+    rerun = (loaded.join(last3, ["file_year", "file_month"], "left_semi")
+                   .filter(F.col("store_and_fwd_flag") == "Y")
+                   .select(*loaded.columns)
+                   .checkpoint())  # cut the read of target before overwriting it
+    sink.write_partitioned(rerun, target)
+    return files.read_partitioned(spark, target, files.curated_schema())
+
+
+# -- C2-C4 flavour jobs ------------------------------------------------------------------------------
+
+HARMONIZE = {"a": harmonize.harmonize_a, "b": harmonize.harmonize_b}
+
+
+def publish_flavour(spark, sf_dir, flavour: str, target: str, strict: bool = False) -> list:
+    """read landed raw -> harmonise -> curate -> quality gate -> month replacement."""
+    raw = HARMONIZE[flavour](trips.read_landed(spark, sf_dir, flavour))
+    cur = curate(raw, adapter_dims(spark, sf_dir), C)
+    return sink.gated_publish(cur, target, strict=strict)
+
+
+def _published(spark, sf_dir, flavour):
+    target = scratch_path(spark, f"curated-{trips.FLAVOUR_VEHICLE[flavour]}")
+    publish_flavour(spark, sf_dir, flavour, target)
+    return files.read_partitioned(spark, target, files.curated_schema())
+
+
+@query("curate_flavour_a", O.curated_sql("a"))
+def curate_flavour_a(spark, sf_dir):
+    return _published(spark, sf_dir, "a")
+
+
+@query("curate_flavour_b", O.curated_sql("b"))
+def curate_flavour_b(spark, sf_dir):
+    return _published(spark, sf_dir, "b")
+
+
+@query("curate_both", f"""
+SELECT 'green' AS vehicle, * FROM ({O.curated_sql("b")})
+UNION ALL
+SELECT 'yellow' AS vehicle, * FROM ({O.curated_sql("a")})""")
+def curate_both(spark, sf_dir):
+    out = None
+    for flavour in ("b", "a"):  # same order as the job dispatcher: green, then yellow
+        df = _published(spark, sf_dir, flavour)
+        df = df.select(F.lit(trips.FLAVOUR_VEHICLE[flavour]).alias("vehicle"), *df.columns)
+        out = df if out is None else out.unionByName(df)
+    return out

@@ -25,17 +25,21 @@ def month_file_name(vehicle: str, year: Column, month: Column) -> Column:
 
 
 def write_month_files(df: DataFrame, folder: str, vehicle: str,
-                      year_col: str = "file_year", month_col: str = "file_month") -> str:
+                      year_col: str = "file_year", month_col: str = "file_month",
+                      overwrite: str = "dynamic") -> str:
     """Land ``df`` as one raw dataset per month under ``folder``: every month
     becomes a Spark output folder whose name ends in
     ``<vehicle>_tripdata_<yyyy>-<mm>.parquet`` (year and month then live only
     in the name, as with downloaded monthly files).  A rebalance on the month
     lets AQE split a large month over several writers and merge small ones,
-    so one month holding a third of the rows is not written by one task."""
-    out = (df.withColumn("_file", month_file_name(vehicle, F.col(year_col), F.col(month_col)))
+    so one month holding a third of the rows is not written by one task.
+    ``dynamic`` overwrite replaces only the months written (vintages can be
+    landed one after another into the same folder)."""
+    out = (df.withColumn("raw_file", month_file_name(vehicle, F.col(year_col), F.col(month_col)))
              .drop(year_col, month_col)
-             .hint("rebalance", "_file"))
-    out.write.mode("overwrite").partitionBy("_file").parquet(folder)
+             .hint("rebalance", "raw_file"))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+        .partitionBy("raw_file").parquet(folder))
     return folder
 
 
@@ -134,14 +138,12 @@ def read_reconciled(spark: SparkSession, paths: str | Sequence[str], provenance:
 
 # -- curated table ----------------------------------------------------------------------
 
-def curated_schema(layout=spec.CURATED_COLUMNS) -> StructType:
-    def target(t):
-        return "timestamp_ntz" if t == "timestamp" else t
-    return StructType.fromJson({"type": "struct", "fields": [
-        {"name": dst, "type": target(t), "nullable": True, "metadata": {}} for _, dst, t in layout]})
+def curated_schema(layout=spec.CURATED_COLUMNS) -> str:
+    """DDL schema of the curated table (partition columns stay strings)."""
+    return ", ".join(f"{dst} {'timestamp_ntz' if t == 'timestamp' else t}" for _, dst, t in layout)
 
 
-def read_partitioned(spark: SparkSession, path: str, schema: StructType | None = None,
+def read_partitioned(spark: SparkSession, path: str, schema: StructType | str | None = None,
                      where: Column | str | None = None) -> DataFrame:
     """Read a year/month partitioned table.  With an explicit schema the
     partition columns keep their declared type (``'01'`` stays a string

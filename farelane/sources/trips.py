@@ -126,22 +126,30 @@ def flavour_b_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- landed raw files ----------------------------------------------------------------
 
 FLAVOUR_VEHICLE = {"a": spec.VEHICLES[0], "b": spec.VEHICLES[1]}
+# Landing folders sit below a folder whose name looks like a month, so every
+# read also checks that year / month come from the file name only.
+TRAP_FOLDER = "snap-1999-12"
 _LANDED: dict[tuple, str] = {}
 
 
+def _memo(spark: SparkSession, key: tuple, build) -> str:
+    key = (spark.sparkContext.applicationId,) + key
+    if key not in _LANDED:
+        _LANDED[key] = build()
+    return _LANDED[key]
+
+
 def land_raw(spark: SparkSession, sf_dir: str, flavour: str = "a") -> str:
     """Write the flavour's raw records once per session as monthly raw files
     under the shared checkpoint folder; returns the folder."""
     from farelane.session import scratch_path
     from farelane.sources.files import write_month_files
 
-    key = (spark.sparkContext.applicationId, sf_dir, flavour)
-    if key not in _LANDED:
-        folder = scratch_path(spark, f"raw-{FLAVOUR_VEHICLE[flavour]}")
+    def build():
+        folder = scratch_path(spark, f"raw-{FLAVOUR_VEHICLE[flavour]}") + "/" + TRAP_FOLDER
         df = flavour_a_raw(spark, sf_dir) if flavour == "a" else flavour_b_raw(spark, sf_dir)
-        write_month_files(df, folder, FLAVOUR_VEHICLE[flavour])
-        _LANDED[key] = folder
-    return _LANDED[key]
+        return write_month_files(df, folder, FLAVOUR_VEHICLE[flavour])
+    return _memo(spark, (sf_dir, flavour), build)
 
 
 def read_landed(spark: SparkSession, sf_dir: str, flavour: str = "a") -> DataFrame:
@@ -150,3 +158,43 @@ def read_landed(spark: SparkSession, sf_dir: str, flavour: str = "a") -> DataFra
 
     folder = land_raw(spark, sf_dir, flavour)
     return with_file_month(read_months(spark, month_glob(folder, FLAVOUR_VEHICLE[flavour])))
+
+
+# Vintages: (first year, columns changed in files from that year on).
+COLUMN_VINTAGE_YEAR = 1998      # from here: cbd_congestion_fee appears, Airport_fee renamed
+TYPE_VINTAGE_YEARS = (1997, 1999)  # VendorID int -> bigint; passenger_count int -> bigint -> double
+
+
+def land_vintages(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """Flavour-A raw files whose schema drifts by year.
+
+    ``columns``: before 1998 the airport fee is spelled ``airport_fee`` and
+    there is no ``cbd_congestion_fee``; from 1998 both change.  ``types``:
+    VendorID is int before 1997 and bigint after; passenger_count is int,
+    then bigint (1997-1998), then double (from 1999).
+    """
+    from farelane.session import scratch_path
+    from farelane.sources.files import write_month_files
+
+    def build():
+        folder = scratch_path(spark, f"vintage-{kind}") + "/" + TRAP_FOLDER
+        raw = flavour_a_raw(spark, sf_dir)
+        y = F.col("file_year").cast("int")
+        if kind == "columns":
+            raw = raw.withColumn("Airport_fee", F.when(F.col("l_suppkey") % 4 == 0, F.lit(1.75)).otherwise(F.lit(0.0)))
+            old = raw.filter(y < COLUMN_VINTAGE_YEAR).withColumnRenamed("Airport_fee", "airport_fee")
+            new = (raw.filter(y >= COLUMN_VINTAGE_YEAR)
+                      .withColumn("cbd_congestion_fee",
+                                  F.when(F.col("l_partkey") % 2 == 1, F.lit(0.75)).otherwise(F.lit(0.0))))
+            parts = [old, new]
+        else:
+            a, b = TYPE_VINTAGE_YEARS
+            parts = [raw.filter(y < a).withColumns({"VendorID": F.col("VendorID").cast("int"),
+                                                    "passenger_count": F.col("passenger_count").cast("int")}),
+                     raw.filter((y >= a) & (y < b)).withColumns({"VendorID": F.col("VendorID").cast("bigint")}),
+                     raw.filter(y >= b).withColumns({"VendorID": F.col("VendorID").cast("bigint"),
+                                                     "passenger_count": F.col("passenger_count").cast("double")})]
+        for part in parts:
+            write_month_files(part, folder, FLAVOUR_VEHICLE["a"])
+        return folder
+    return _memo(spark, ("vintage", sf_dir, kind), build)
