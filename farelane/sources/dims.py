@@ -37,7 +37,7 @@ CSV_SCHEMAS = {
 }
 
 
-def read_csv_dim(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv_dim(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Header CSV with an explicit schema.  Blanks around values are removed
     (files put a blank after each comma), extra trailing tokens are ignored
     (PERMISSIVE), and strings such as ``NA`` / ``N/A`` stay strings."""
@@ -48,7 +48,7 @@ def read_csv_dim(spark: SparkSession, path: str, schema: StructType) -> DataFram
           .option("mode", "PERMISSIVE")
           .csv(path))
     return df.select(*[F.trim(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType)
-                       else F.col(f.name) for f in schema.fields])
+                       else F.col(f.name) for f in df.schema.fields])
 
 
 def read_lookup_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -59,12 +59,17 @@ def read_months(spark: SparkSession, paths: str | Sequence[str], merge_schema: b
 
 def with_file_month(df: DataFrame, pattern: str = spec.FILE_MONTH_PATTERN,
                     year_col: str = "file_year", month_col: str = "file_month") -> DataFrame:
-    """Add ``file_year`` / ``file_month`` (strings) taken from the name of the
-    file each row was read from.  Uses the ``_metadata`` column, which keeps
-    filter pushdown and column pruning (``input_file_name()`` blocks both)."""
-    path = F.col("_metadata.file_path")
-    return df.withColumns({year_col: F.regexp_extract(path, pattern, 1),
-                           month_col: F.regexp_extract(path, pattern, 2)})
+    """Add ``file_year`` / ``file_month`` (strings, '' when the name has no
+    month) taken from the name of the file each row was read from.
+
+    Uses the ``_metadata`` column, which keeps filter pushdown and column
+    pruning (``input_file_name()`` blocks both).  Per row, the path is first
+    cut to its last two segments and a single regex yields ``yyyy-mm``
+    (shared by both outputs through common-subexpression elimination).
+    """
+    tail = F.substring_index(F.col("_metadata.file_path"), "/", -2)
+    ym = F.regexp_extract(tail, pattern, 1)
+    return df.withColumns({year_col: F.substring(ym, 1, 4), month_col: F.substring(ym, 6, 2)})
 
 
 def input_months(df: DataFrame, pattern: str = spec.FILE_MONTH_PATTERN) -> "OrderedDict[tuple, list]":
@@ -75,7 +80,8 @@ def input_months(df: DataFrame, pattern: str = spec.FILE_MONTH_PATTERN) -> "Orde
     for p in df.inputFiles():
         m = rx.search(p)
         if m:
-            months.setdefault((m.group(1), m.group(2)), []).append(p)
+            year, month = m.group(1).split("-")
+            months.setdefault((year, month), []).append(p)
     return OrderedDict(sorted(months.items()))
 
 

@@ -173,7 +173,7 @@ FLAVOUR_A_TRIP_TYPE = 3
 RAW_FILE_TEMPLATE = "{vehicle}_tripdata_{year}-{month}.parquet"
 # Year and month of a raw file, taken from the file (or Spark output folder)
 # name, never from folders further up the path.
-FILE_MONTH_PATTERN = r"_(\d{4})-(\d{2})\.parquet(?:/[^/]*)?$"
+FILE_MONTH_PATTERN = r"_(\d{4}-\d{2})\.parquet(?:/[^/]*)?$"
 
 # Run modes.
 PAST_MONTHS_MAX = 300           # past_months N must satisfy 0 < N < 300
