@@ -684,3 +684,21 @@ def curate_both(spark, sf_dir):
         df = df.select(F.lit(trips.FLAVOUR_VEHICLE[flavour]).alias("vehicle"), *df.columns)
         out = df if out is None else out.unionByName(df)
     return out
+
+
+# -- streaming -------------------------------------------------------------------------------------
+
+from farelane.streaming import incremental  # noqa: E402
+
+
+@query("curate_incremental", O.curated_sql("a"))
+def curate_incremental(spark, sf_dir):
+    """File-stream run over the landed raw files (several micro-batches),
+    each rebuilding and publishing the months it touched."""
+    folder = trips.land_raw(spark, sf_dir, "a")
+    target = scratch_path(spark, "curated-stream")
+    dims_ = adapter_dims(spark, sf_dir)
+    incremental.run_incremental(
+        spark, folder, VEHICLE_A, target, scratch_path(spark, "stream-ckpt"),
+        lambda raw: curate(harmonize.harmonize_a(raw), dims_, C), files_per_batch=40)
+    return files.read_partitioned(spark, target, files.curated_schema())

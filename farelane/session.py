@@ -22,6 +22,10 @@ PLAN_DEFAULTS = {
     # Wall-clock arithmetic on TIMESTAMP_NTZ does not depend on it, but keep
     # derived LTZ values reproducible.
     "spark.sql.session.timeZone": "UTC",
+    # The repair / measure projections are wide; above ~8000 bytecodes
+    # HotSpot does not JIT a generated method, so let Spark split such
+    # stages into per-operator code instead of one huge method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -11,15 +13,22 @@ from farelane import spec
 # A dimension is broadcast only when it has at most this many rows; beyond
 # it the join stays a shuffle join (AQE may still convert it at run time).
 BROADCAST_MAX_ROWS = 1_000_000
+# Frames built from fixed values, with their row counts (no job needed).
+_KNOWN_ROWS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      known_rows: int | None = None) -> DataFrame:
     """``broadcast(dim)`` if ``dim`` provably has <= ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows per partition (a limited
-    count), so it stays cheap even when ``dim`` is unexpectedly large.
+    ``known_rows`` is for frames built from fixed values (size known without
+    a job).  Otherwise the check reads at most ``max_rows + 1`` rows per
+    partition (a limited count), so it stays cheap even when ``dim`` is
+    unexpectedly large; beyond the bound the join stays a shuffle join.
     """
-    n = dim.limit(max_rows + 1).count()
+    if known_rows is None:
+        known_rows = _KNOWN_ROWS.get(dim)
+    n = known_rows if known_rows is not None else dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
 
 
@@ -59,12 +68,14 @@ def read_lookup_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]
 
 
 def code_tables(spark: SparkSession) -> dict[str, DataFrame]:
-    """The three small code dimensions from their fixed values."""
-    return {
-        "payment_type": spark.createDataFrame(list(spec.PAYMENT_TYPES), CSV_SCHEMAS["payment_type"]),
-        "ratecode": spark.createDataFrame(list(spec.RATECODES), CSV_SCHEMAS["ratecode"]),
-        "trip_type": spark.createDataFrame(list(spec.TRIP_TYPES), CSV_SCHEMAS["trip_type"]),
-    }
+    """The three small code dimensions from their fixed values (their row
+    count is known, so the broadcast size check needs no job)."""
+    out = {}
+    for name, rows in (("payment_type", spec.PAYMENT_TYPES), ("ratecode", spec.RATECODES),
+                       ("trip_type", spec.TRIP_TYPES)):
+        out[name] = spark.createDataFrame(list(rows), CSV_SCHEMAS[name])
+        _KNOWN_ROWS[out[name]] = len(rows)
+    return out
 
 
 def zone_from_nation(spark: SparkSession, sf_dir: str) -> DataFrame:

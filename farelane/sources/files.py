@@ -50,10 +50,14 @@ def month_glob(folder: str, vehicle: str, year: str = "*", month: str = "*") ->
 
 # -- reading ----------------------------------------------------------------------
 
-def read_months(spark: SparkSession, paths: str | Sequence[str], merge_schema: bool = True) -> DataFrame:
+def read_months(spark: SparkSession, paths: str | Sequence[str], merge_schema: bool = True,
+                schema: StructType | str | None = None) -> DataFrame:
     """Multi-file Parquet scan; ``mergeSchema`` unions the column sets of
-    file vintages (column names merge case-insensitively)."""
+    file vintages (column names merge case-insensitively).  A known
+    ``schema`` (e.g. from an earlier merge) skips the footer-merge job."""
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(*paths)
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
 
 

@@ -130,6 +130,7 @@ FLAVOUR_VEHICLE = {"a": spec.VEHICLES[0], "b": spec.VEHICLES[1]}
 # read also checks that year / month come from the file name only.
 TRAP_FOLDER = "snap-1999-12"
 _LANDED: dict[tuple, str] = {}
+_SCHEMAS: dict[tuple, object] = {}
 
 
 def _memo(spark: SparkSession, key: tuple, build) -> str:
@@ -157,7 +158,11 @@ def read_landed(spark: SparkSession, sf_dir: str, flavour: str = "a") -> DataFra
     from farelane.sources.files import month_glob, read_months, with_file_month
 
     folder = land_raw(spark, sf_dir, flavour)
-    return with_file_month(read_months(spark, month_glob(folder, FLAVOUR_VEHICLE[flavour])))
+    glob = month_glob(folder, FLAVOUR_VEHICLE[flavour])
+    key = (spark.sparkContext.applicationId, "schema", folder)
+    if key not in _SCHEMAS:  # merge the footers once per landing
+        _SCHEMAS[key] = read_months(spark, glob).schema
+    return with_file_month(read_months(spark, glob, schema=_SCHEMAS[key]))
 
 
 # Vintages: (first year, columns changed in files from that year on).
