@@ -483,7 +483,6 @@ def quality_report(spark, sf_dir):
 
 # -- S1-S9 scans, run modes, calendar ----------------------------------------------------------------
 
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType  # noqa: E402
 
 from farelane.session import scratch_path  # noqa: E402
 from farelane.sinks import parquet as sink  # noqa: E402
@@ -591,21 +590,22 @@ def missing_months(spark, sf_dir):
     return calendar.missing_months(expected, observed)
 
 
-NATION_CSV_SCHEMA = StructType([StructField("n_nationkey", IntegerType()), StructField("n_name", StringType()),
-                                StructField("n_desc", StringType())])
+CUSTOMER_CSV_SCHEMA = "c_custkey bigint, c_name string, c_segment string"
 
 
 @query("csv_dim_scan", """
-SELECT n_nationkey, n_name, CASE WHEN n_regionkey = 0 THEN 'NA' WHEN n_regionkey = 4 THEN 'N/A'
-                                 ELSE 'Region ' || CAST(n_regionkey AS VARCHAR) END AS n_desc
-FROM nation""")
+SELECT c_custkey, c_name, CASE WHEN c_nationkey = 0 THEN 'NA' WHEN c_nationkey = 4 THEN 'N/A'
+                               ELSE c_mktsegment END AS c_segment
+FROM customer""")
 def csv_dim_scan(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation").select(
-        "n_nationkey", "n_name",
-        F.when(F.col("n_regionkey") == 0, F.lit("NA")).when(F.col("n_regionkey") == 4, F.lit("N/A"))
-         .otherwise(F.concat(F.lit("Region "), F.col("n_regionkey").cast("string"))).alias("n_desc"))
-    path = dims.write_lookup_csv(nation, scratch_path(spark, "lookup-csv"))
-    return dims.read_csv_dim(spark, path, NATION_CSV_SCHEMA)
+    """Customer rows written as lookup CSV files (blank after commas, quoted
+    strings, trailing comma, CRLF, 'NA' / 'N/A' strings) and read back."""
+    cust = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name",
+        F.when(F.col("c_nationkey") == 0, F.lit("NA")).when(F.col("c_nationkey") == 4, F.lit("N/A"))
+         .otherwise(F.col("c_mktsegment")).alias("c_segment"))
+    path = dims.write_lookup_csv(cust, scratch_path(spark, "lookup-csv"))
+    return dims.read_csv_dim(spark, path, CUSTOMER_CSV_SCHEMA)
 
 
 # -- S5, S6 curated table ----------------------------------------------------------------------------

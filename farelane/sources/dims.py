@@ -92,19 +92,21 @@ def zone_from_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_lookup_csv(df: DataFrame, path: str, quote_strings: bool = True, trailing_sep: bool = True,
                      line_sep: str = "\r\n") -> str:
-    """Write a (small) dimension as a lookup CSV in the hand-edited style:
-    header line, a blank after every comma, optionally quoted strings and a
-    trailing comma, CRLF line ends.  Dimensions are small, so one file."""
+    """Write a frame as lookup CSV files in the hand-edited style: a header
+    line in every file, a blank after every comma, optionally quoted strings
+    and a trailing comma, CRLF line ends.
+
+    Lines are rendered by Spark expressions and written by the CSV writer
+    (one file per partition, each with its header), with separator and quote
+    characters that never occur in the text, so each line is written as is.
+    """
     def render(f):
         v = F.col(f.name).cast("string")
         return F.concat(F.lit('"'), v, F.lit('"')) if quote_strings and isinstance(f.dataType, StringType) else v
-    header = ", ".join(df.columns)
     body = F.concat_ws(", ", *[render(f) for f in df.schema.fields])
     if trailing_sep:
         body = F.concat(body, F.lit(","))
-    spark = df.sparkSession
-    lines = spark.createDataFrame([(0, header)], "k int, value string").unionByName(
-        df.select(F.lit(1).alias("k"), body.alias("value")))
-    lines.coalesce(1).sortWithinPartitions("k").select("value").write.mode("overwrite").option(
-        "lineSep", line_sep).text(path)
+    (df.select(body.alias(", ".join(df.columns))).write.mode("overwrite")
+       .option("header", True).option("sep", "\u0001").option("quote", "\u0002")
+       .option("lineSep", line_sep).csv(path))
     return path
