@@ -650,7 +650,7 @@ def dynamic_overwrite_roundtrip(spark, sf_dir):
 HARMONIZE = {"a": harmonize.harmonize_a, "b": harmonize.harmonize_b}
 
 
-def publish_flavour(spark, sf_dir, flavour: str, target: str, strict: bool = False) -> list:
+def publish_flavour(spark, sf_dir, flavour: str, target: str, strict: bool = True) -> list:
     """read landed raw -> harmonise -> curate -> quality gate -> month replacement."""
     raw = HARMONIZE[flavour](trips.read_landed(spark, sf_dir, flavour))
     cur = curate(raw, adapter_dims(spark, sf_dir), C)
@@ -700,5 +700,5 @@ def curate_incremental(spark, sf_dir):
     dims_ = adapter_dims(spark, sf_dir)
     incremental.run_incremental(
         spark, folder, VEHICLE_A, target, scratch_path(spark, "stream-ckpt"),
-        lambda raw: curate(harmonize.harmonize_a(raw), dims_, C), files_per_batch=40)
+        lambda raw: curate(harmonize.harmonize_a(raw), dims_, C), files_per_batch=40, strict=True)
     return files.read_partitioned(spark, target, files.curated_schema())
