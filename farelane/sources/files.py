@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import re
 from collections import OrderedDict
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Iterable, Sequence
 
@@ -133,13 +134,16 @@ def reconcile(frames: Iterable[DataFrame]) -> DataFrame:
 
 def read_reconciled(spark: SparkSession, paths: str | Sequence[str], provenance: bool = True) -> DataFrame:
     """Read monthly files whose schemas drifted: months are grouped by their
-    footer schema (the driver reads one footer per month, no data), each
-    group is read with one scan (plus file provenance), and the groups are
-    reconciled."""
+    footer schema (one footer per month, read concurrently by the driver --
+    metadata only, no data), each group is read with one scan (plus file
+    provenance), and the groups are reconciled."""
     probe = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+    months = list(input_months(probe).values())
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        schemas = list(pool.map(lambda files: spark.read.parquet(files[0]).schema.json(), months))
     groups: "OrderedDict[str, list]" = OrderedDict()
-    for _, files in input_months(probe).items():
-        groups.setdefault(spark.read.parquet(files[0]).schema.json(), []).extend(files)
+    for schema, files in zip(schemas, months):
+        groups.setdefault(schema, []).extend(files)
     scans = [spark.read.parquet(*files) for files in groups.values()]
     if provenance:
         scans = [with_file_month(s) for s in scans]
