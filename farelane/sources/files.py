@@ -161,7 +161,10 @@ def read_partitioned(spark: SparkSession, path: str, schema: StructType | str |
                      where: Column | str | None = None) -> DataFrame:
     """Read a year/month partitioned table.  With an explicit schema the
     partition columns keep their declared type (``'01'`` stays a string
-    instead of being inferred as 1); a ``where`` on them prunes folders."""
+    instead of being inferred as 1) and position; a ``where`` on them
+    prunes folders."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(path)
+    if schema is not None:  # partition columns come last from the reader: restore declared order
+        df = df.select(*spark.createDataFrame([], schema).columns)
     return df.where(where) if where is not None else df
