@@ -32,6 +32,20 @@ def remove_reversals(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> Data
     return df.join(reversal_groups(df, cols).select(*keys), on=keys, how="left_anti")
 
 
+def drop_reversals_windowed(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """Pair removal with window aggregates over the six keys (no join).
+
+    One scan and one exchange, but the window gathers every pair group in one
+    task: only for data known to have no hot key.  NULL key parts never form
+    a pair, as in the equi-join form.
+    """
+    keys = list(cols.reversal_keys)
+    w = Window.partitionBy(*keys)
+    n, s = F.count(F.lit(1)).over(w), F.sum(cols.total).over(w)
+    pair = (n == 2) & (s == 0) & X.all_not_null(keys)
+    return df.withColumn("_pair", pair).filter(~F.col("_pair")).drop("_pair")
+
+
 def reversal_members(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
     """(reversal keys + fare) of every member row of a reversal pair.
 

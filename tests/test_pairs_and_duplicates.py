@@ -57,7 +57,8 @@ def test_fused_plan_equals_literal_plan_with_a_hot_key(spark):
     df = base.unionByName(pairs).repartition(6)
     fused = kept(_remove_pairs_and_duplicates(df, COLS, "fused"))
     literal = kept(_remove_pairs_and_duplicates(df, COLS, "literal"))
-    assert fused == literal and len(fused) > 0
+    window = kept(_remove_pairs_and_duplicates(df, COLS, "window"))
+    assert fused == literal == window and len(fused) > 0
 
 
 def test_duplicate_keys_counts(spark):
