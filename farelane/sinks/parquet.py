@@ -33,6 +33,41 @@ def write_partitioned(df: DataFrame, path: str, partition_cols=PARTITION_COLUMNS
     writer.parquet(path)
 
 
+def _month_folders(fs, root, depth: int):
+    """Partition folders ``k1=v1/.../kN=vN`` below ``root`` (metadata only)."""
+    level = [root]
+    for _ in range(depth):
+        level = [st.getPath() for p in level for st in fs.listStatus(p)
+                 if st.isDirectory() and "=" in st.getPath().getName()]
+    return level
+
+
+def promote_months(spark: SparkSession, staging: str, target: str,
+                   partition_cols=PARTITION_COLUMNS) -> list[str] | None:
+    """Move every staged partition folder into ``target``, replacing the
+    folder already there (the same delete + rename Spark's dynamic
+    overwrite performs at commit).  No data is rewritten.  Returns the moved
+    partitions, or ``None`` when staging and target live on different file
+    systems (the caller then copies)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    src_root, dst_root = path(staging), path(target)
+    fs = src_root.getFileSystem(conf)
+    if fs.getUri().toString() != dst_root.getFileSystem(conf).getUri().toString():
+        return None
+    moved = []
+    for folder in _month_folders(fs, src_root, len(partition_cols)):
+        rel = folder.toUri().getPath()[len(src_root.toUri().getPath()):].strip("/")
+        dst = path(dst_root, rel)
+        if fs.exists(dst):
+            fs.delete(dst, True)
+        fs.mkdirs(dst.getParent())
+        if not fs.rename(folder, dst):
+            raise IOError(f"could not move {folder} to {dst}")
+        moved.append(rel)
+    return moved
+
+
 def gated_publish(df: DataFrame, target: str, strict: bool = True,
                   spark: SparkSession | None = None) -> list[tuple]:
     """Curated frame -> quality gate -> month replacement in ``target``.
@@ -42,7 +77,8 @@ def gated_publish(df: DataFrame, target: str, strict: bool = True,
        same job (no extra pass over the raw data).
     2. Duplicate-key check on the staged table (reads 7 columns).
     3. Strict mode raises on any failure; ``target`` is then untouched.
-    4. Promote: dynamic overwrite of the staged months into ``target``.
+    4. Promote: the staged month folders replace the target's (a rename per
+       month, no rewrite); across file systems, a dynamic-overwrite copy.
     Returns the failing report rows.
     """
     spark = spark or df.sparkSession
@@ -58,5 +94,6 @@ def gated_publish(df: DataFrame, target: str, strict: bool = True,
     bad = [r for r in report if r[2] != 0]
     if bad and strict:
         raise quality.QualityError("quality gate failed: " + "; ".join(f"{c}({col})={n}" for c, col, n in bad))
-    write_partitioned(staged, target, overwrite="dynamic")
+    if promote_months(spark, staging, target) is None:
+        write_partitioned(staged, target, overwrite="dynamic")
     return bad

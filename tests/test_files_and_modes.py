@@ -82,3 +82,27 @@ def test_lookup_csv_quirks(spark):
             assert all(x.endswith(",") for x in lines[1:] if x)  # trailing comma, CRLF
     back = dims.read_csv_dim(spark, path, "code int, name string, note string")
     assert sorted(tuple(r) for r in back.collect()) == [(1, "JFK", "NA"), (99, "N/A", "x")]
+
+
+def test_gated_publish_replaces_months_by_moving_folders(spark):
+    from farelane.plans import quality
+    from farelane.sources.files import curated_schema
+    target = scratch_path(spark, "t")
+    cols = [c.split()[0] for c in curated_schema().split(", ")]
+
+    def frame(rows):
+        base = {c: None for c in cols}
+        out = []
+        for fy, fm, vendor in rows:
+            r = dict(base, file_year=fy, file_month=fm, vendor_id=vendor)
+            out.append(tuple(r[c] for c in cols))
+        return spark.createDataFrame(out, curated_schema())
+
+    sink.gated_publish(frame([("2024", "01", 1), ("2024", "02", 2)]), target, strict=False)
+    sink.gated_publish(frame([("2024", "02", 3), ("2024", "02", 4)]), target, strict=False)
+    back = files.read_partitioned(spark, target, curated_schema())
+    assert sorted((r.file_month, r.vendor_id) for r in back.collect()) == [("01", 1), ("02", 3), ("02", 4)]
+    with pytest.raises(quality.QualityError):
+        sink.gated_publish(frame([("2024", "01", 9)]), target, strict=True)
+    again = files.read_partitioned(spark, target, curated_schema())
+    assert sorted((r.file_month, r.vendor_id) for r in again.collect()) == [("01", 1), ("02", 3), ("02", 4)]
