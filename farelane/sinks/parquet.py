@@ -48,8 +48,11 @@ def promote_months(spark: SparkSession, staging: str, target: str,
     folder already there (the same delete + rename Spark's dynamic
     overwrite performs at commit).  No data is rewritten.  Returns the moved
     partitions, or ``None`` when staging and target live on different file
-    systems (the caller then copies)."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    systems or no JVM handle is available (the caller then copies)."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except AttributeError:  # no JVM handle (e.g. Spark Connect): caller copies
+        return None
     path = jvm.org.apache.hadoop.fs.Path
     src_root, dst_root = path(staging), path(target)
     fs = src_root.getFileSystem(conf)
