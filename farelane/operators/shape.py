@@ -14,16 +14,20 @@ def rename_reorder(df: DataFrame, layout=spec.CURATED_COLUMNS) -> DataFrame:
     return df.select(*[F.col(src).alias(dst) for src, dst, _ in layout])
 
 
-def cast_layout(df: DataFrame, layout=spec.CURATED_COLUMNS) -> DataFrame:
+def _target(t: str, timestamp_type: str) -> str:
+    if t != "timestamp":
+        return t
+    return "timestamp_ntz" if timestamp_type == "ntz" else "timestamp"
+
+
+def cast_layout(df: DataFrame, layout=spec.CURATED_COLUMNS, timestamp_type: str = "ntz") -> DataFrame:
     """Cast every curated column to its declared type (one projection).
-    ``timestamp`` is kept wall-clock (TIMESTAMP_NTZ)."""
-    def target(t):
-        return "timestamp_ntz" if t == "timestamp" else t
-    return df.select(*[F.col(dst).cast(target(t)).alias(dst) for _, dst, t in layout])
+    Timestamps stay wall-clock (TIMESTAMP_NTZ) unless ``timestamp_type="ltz"``
+    asks for session-zone TIMESTAMP (the wall clock is read in the session
+    time zone)."""
+    return df.select(*[F.col(dst).cast(_target(t, timestamp_type)).alias(dst) for _, dst, t in layout])
 
 
-def to_curated(df: DataFrame, layout=spec.CURATED_COLUMNS) -> DataFrame:
+def to_curated(df: DataFrame, layout=spec.CURATED_COLUMNS, timestamp_type: str = "ntz") -> DataFrame:
     """Rename, reorder and cast in a single projection."""
-    def target(t):
-        return "timestamp_ntz" if t == "timestamp" else t
-    return df.select(*[F.col(src).cast(target(t)).alias(dst) for src, dst, t in layout])
+    return df.select(*[F.col(src).cast(_target(t, timestamp_type)).alias(dst) for src, dst, t in layout])

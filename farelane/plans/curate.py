@@ -69,6 +69,7 @@ def curate_columns(df: DataFrame, dims: dict[str, DataFrame], cols: TripColumns
 
 
 def curate(df: DataFrame, dims: dict[str, DataFrame], cols: TripColumns = DEFAULT_COLUMNS,
-           plan: str = "fused", zone_key: str = "LocationID") -> DataFrame:
-    """Harmonised raw trips -> the 44-column curated trips."""
-    return shape.to_curated(curate_columns(df, dims, cols, plan, zone_key))
+           plan: str = "fused", zone_key: str = "LocationID", timestamp_type: str = "ntz") -> DataFrame:
+    """Harmonised raw trips -> the 44-column curated trips.  ``timestamp_type``
+    ``"ltz"`` emits session-zone TIMESTAMP columns instead of TIMESTAMP_NTZ."""
+    return shape.to_curated(curate_columns(df, dims, cols, plan, zone_key), timestamp_type=timestamp_type)

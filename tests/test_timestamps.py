@@ -65,3 +65,11 @@ def test_duration_is_whole_seconds(spark):
     df = spark.createDataFrame([("2024", "01", ts("2024-01-01 00:00:00.900"), ts("2024-01-01 00:01:00.100"))], SCHEMA)
     assert measures.add_duration(df).first().trip_duration_min == 1.0
     assert F is not None
+
+
+def test_curated_layout_can_emit_session_zone_timestamps(spark):
+    from farelane.operators import shape
+    from farelane.sources.files import curated_schema
+    df = spark.createDataFrame([], curated_schema())
+    assert dict(shape.cast_layout(df).dtypes)["pickup_datetime"] == "timestamp_ntz"
+    assert dict(shape.cast_layout(df, timestamp_type="ltz").dtypes)["pickup_datetime"] == "timestamp"
