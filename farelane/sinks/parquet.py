@@ -13,7 +13,6 @@ advisory-size writer tasks and merge small months.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from farelane.plans import quality
 from farelane.session import scratch_path

@@ -11,12 +11,19 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane import spec
 
 
+def bounds(spark: SparkSession, as_of: str, first_year: int = spec.FIRST_PUBLISHED_YEAR) -> DataFrame:
+    """One-row bounds frame for a scheduled run: first published year and the
+    run date (``yyyy-mm-dd``, passed in by the scheduler)."""
+    return spark.createDataFrame([(first_year, as_of)], "first_year int, as_of string").select(
+        "first_year", F.to_date("as_of").alias("as_of"))
+
+
 def horizon_year(as_of: Column, lag_months: int = spec.PUBLICATION_LAG_MONTHS) -> Column:
     return F.year(F.add_months(as_of.cast("date"), -lag_months))
 

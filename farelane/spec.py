@@ -169,8 +169,7 @@ FLAVOUR_A_TIMESTAMPS = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
 FLAVOUR_B_TIMESTAMPS = ("lpep_pickup_datetime", "lpep_dropoff_datetime")
 FLAVOUR_A_TRIP_TYPE = 3
 
-# Raw file names: <vehicle>_tripdata_<yyyy>-<mm>.parquet
-RAW_FILE_TEMPLATE = "{vehicle}_tripdata_{year}-{month}.parquet"
+# Raw file names are <vehicle>_tripdata_<yyyy>-<mm>.parquet.
 # Year and month of a raw file, taken from the file (or Spark output folder)
 # name, never from folders further up the path.
 FILE_MONTH_PATTERN = r"_(\d{4}-\d{2})\.parquet(?:/[^/]*)?$"

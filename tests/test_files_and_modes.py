@@ -106,3 +106,12 @@ def test_gated_publish_replaces_months_by_moving_folders(spark):
         sink.gated_publish(frame([("2024", "01", 9)]), target, strict=True)
     again = files.read_partitioned(spark, target, curated_schema())
     assert sorted((r.file_month, r.vendor_id) for r in again.collect()) == [("01", 1), ("02", 3), ("02", 4)]
+
+
+def test_expected_and_missing_months_for_a_run_date(spark):
+    b = calendar.bounds(spark, "2025-02-10")  # Jan/Feb: the year list stops at 2024
+    exp = calendar.expected_months(b, vehicles=("yellow",))
+    assert exp.count() == 3 * 12  # 2022, 2023, 2024
+    seen = spark.createDataFrame([("yellow", 2024, m) for m in range(1, 12)], "vehicle string, year int, month int")
+    missing = calendar.missing_months(exp.filter("year = 2024"), seen)
+    assert [(r.year, r.month) for r in missing.collect()] == [(2024, 12)]
