@@ -26,12 +26,18 @@ shuffle), for data known to have no hot key.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from farelane.operators import clean, dedup, enrich, measures, shape
 from farelane.spec import DEFAULT_COLUMNS, TripColumns
 
 
 def _remove_pairs_and_duplicates(df: DataFrame, cols: TripColumns, plan: str) -> DataFrame:
+    if plan == "single":
+        f = F.col
+        keep = ((f(cols.distance) >= 0) & (f(cols.fare) >= 0) & (f(cols.total) >= 0)
+                & ((f(cols.distance) > 0) | (f(cols.total) > 0)))
+        return dedup.best_without_pairs(df, keep, cols)
     if plan == "window":
         df = dedup.drop_reversals_windowed(df, cols)
         df = clean.filter_both_zero(clean.filter_non_negative(df, cols), cols)

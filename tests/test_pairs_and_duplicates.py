@@ -58,7 +58,8 @@ def test_fused_plan_equals_literal_plan_with_a_hot_key(spark):
     fused = kept(_remove_pairs_and_duplicates(df, COLS, "fused"))
     literal = kept(_remove_pairs_and_duplicates(df, COLS, "literal"))
     window = kept(_remove_pairs_and_duplicates(df, COLS, "window"))
-    assert fused == literal == window and len(fused) > 0
+    single = kept(_remove_pairs_and_duplicates(df, COLS, "single"))
+    assert fused == literal == window == single and len(fused) > 0
 
 
 def test_duplicate_keys_counts(spark):

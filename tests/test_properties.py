@@ -29,8 +29,8 @@ def test_pair_and_duplicate_plans_agree(spark, rows, parts):
              for r in data[::3]]
     df = spark.createDataFrame(data, SCHEMA).repartition(parts)
     results = {p: sorted(x.rid for x in _remove_pairs_and_duplicates(df, COLS, p).collect())
-               for p in ("fused", "literal", "window")}
-    assert results["fused"] == results["literal"] == results["window"]
+               for p in ("fused", "literal", "window", "single")}
+    assert results["fused"] == results["literal"] == results["window"] == results["single"]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
