@@ -31,7 +31,8 @@ JOB_FLAVOURS = {"yellow": ("yellow",), "green": ("green",), "both": ("green", "y
 
 def run_job(spark: SparkSession, jobs: str, run_mode: str, months: int, raw_root: str,
             lookups: str | dict, curated_root: str, cols: spec.TripColumns = spec.DEFAULT_COLUMNS,
-            strict: bool = True, minimum_month: int = spec.SPECIFIC_MONTH_MIN) -> dict[str, list]:
+            strict: bool = True, minimum_month: int = spec.SPECIFIC_MONTH_MIN,
+            plan: str = "fused", timestamp_type: str = "ntz") -> dict[str, list]:
     """Run the curation for ``jobs`` in (yellow, green, both); returns the gate
     failures per vehicle (empty lists when all checks pass)."""
     if jobs not in JOB_FLAVOURS:
@@ -44,7 +45,7 @@ def run_job(spark: SparkSession, jobs: str, run_mode: str, months: int, raw_root
     for vehicle in JOB_FLAVOURS[jobs]:
         raw = runmodes.select_months(spark, f"{raw_root.rstrip('/')}/{vehicle}", vehicle, run_mode,
                                      months, minimum_month)
-        curated = curate(FLAVOURS[vehicle](raw), dim_set, cols)
+        curated = curate(FLAVOURS[vehicle](raw), dim_set, cols, plan=plan, timestamp_type=timestamp_type)
         report[vehicle] = gated_publish(curated, f"{curated_root.rstrip('/')}/{vehicle}", strict=strict)
     return report
 
@@ -58,10 +59,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--lookups", required=True)
     p.add_argument("--curated-root", required=True)
     p.add_argument("--report-only", action="store_true", help="publish even when a gate check fails")
+    p.add_argument("--plan", choices=("fused", "window", "single", "literal"), default="fused",
+                   help="physical plan for pair removal + keep-best (window: only for data without hot keys)")
+    p.add_argument("--timestamp-type", choices=("ntz", "ltz"), default="ntz")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("farelane-curate").getOrCreate()
     report = run_job(spark, a.jobs, a.run_mode, a.months, a.raw_root, a.lookups, a.curated_root,
-                     strict=not a.report_only)
+                     strict=not a.report_only, plan=a.plan, timestamp_type=a.timestamp_type)
     for vehicle, failures in report.items():
         print(vehicle, "gate ok" if not failures else failures)
 
