@@ -5,12 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram_join, packing, sentencepiece_codec
+from . import language_gru, ngram_join, packing, quality_qda, sentencepiece_codec, toxicity_fm
 from .common import table
 
+#: A document is kept from this quality on, and dropped from this toxicity on.
+QUALITY_KEPT, TOXICITY_DROPPED = 0.7, 0.3
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
@@ -36,8 +38,37 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def remainder(modulus: int) -> Column:
+    """crc32 of the id's decimal text, modulo ``modulus``: the folds."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = quality_qda.features(table(spark, sf_dir, "documents"))
+    model = quality_qda.fit(x, table(spark, sf_dir, "labels").where(remainder(4) != 2), "quality")
+    return judged(quality_qda.score(x, model), QUALITY_KEPT)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity_fm.fit(docs, table(spark, sf_dir, "labels").where(remainder(4) != 2), "toxic")
+    return judged(toxicity_fm.score(docs, machine), TOXICITY_DROPPED)
+
+
+def judged(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select("doc_id", (remainder(4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = language_gru.fit(docs.where(remainder(5) != 0))
+    return language_gru.predict(docs, net).select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_ngram_jaccard_join, op3_sentencepiece)
+    f.__name__: f for f in (
+        op1_best_fit_packing, op2_ngram_jaccard_join, op3_sentencepiece, op4_quality_classifier, op9_toxicity, op10_language_id)
 }
 
 #: DuckDB SQL where SQL can express the result.
