@@ -6,7 +6,9 @@ from __future__ import annotations
 import sys
 import types
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.session import scratch_path
@@ -65,3 +67,43 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         cur = saved(moved.unionAll(root.select("hi", F.col("m").alias("lo"))).where("lo <> hi").distinct(), "cc")
     return cur.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionAll(
         cur.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct())
+
+
+def shared_cells(cells: DataFrame) -> DataFrame:
+    """Of ``cells`` (cell, id), those that hold more than one id, each member
+    beside the cell's smallest id (``lead``).  Minima are partial aggregates
+    and the join can be split, so a hot cell is never gathered."""
+    lead = cells.groupBy("cell").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("cell", "lead")
+    return saved(cells.join(lead, "cell"), "shared")
+
+
+def cell_links(shared: DataFrame, facts: DataFrame, may: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
+               verified: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Enough links to know the components of all verified pairs that share a
+    cell: ``(a, b)``.
+
+    First each member is held against its cell's smallest id, which is linear
+    and joins tight groups.  Then pairs of different components are verified:
+    members outside the component of the cell's smallest id against all
+    members.  Links inside one component cannot change it, so none that
+    matters is lost, and no group's pairs are all emitted.
+
+    ``may(a, b)`` says by ``facts`` (id, ...) which pairs to verify; a and b
+    give the columns of either side.
+    """
+    names = [c for c in facts.columns if c != "id"]
+    side = {s: facts.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in names]) for s in "ab"}
+    a, b = (lambda c: F.col(f"a_{c}")), (lambda c: F.col(f"b_{c}"))
+    stars = shared.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    links = verified(stars.join(side["a"], "a").join(side["b"], "b").where(may(a, b)).select("a", "b"), "links")
+    comp = saved(components(links), "component")
+    named = saved(shared.join(comp, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+                  .join(comp.select(F.col("id").alias("lead"), F.col("component").alias("lc")), "lead", "left")
+                  .withColumn("lc", F.coalesce("lc", "lead")), "named")
+    apart = named.join(named.where("c <> lc").select("cell").distinct(), "cell", "left_semi")
+    x = apart.where("c <> lc").select("cell", F.col("id").alias("a"), F.col("c").alias("ca")).join(side["a"], "a")
+    y = apart.where("id <> lead").select("cell", F.col("id").alias("b"), F.col("c").alias("cb"),
+                                         (F.col("c") == F.col("lc")).alias("main")).join(side["b"], "b")
+    rest = (x.join(y, "cell").where((F.col("ca") != F.col("cb")) & (F.col("main") | (F.col("a") < F.col("b"))) & may(a, b))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return links.unionByName(verified(rest, "more"))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, saved, small_batches, worker_cache
+from .common import cell_links, components, saved, shared_cells, small_batches, worker_cache
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Neighbouring band limits; wider bands need fewer cells sent twice but looser bounds.
@@ -200,44 +200,19 @@ def similarity_components(docs: DataFrame, percent: int = 90, width: int = 3, id
                  .join(reps, ["h1", "h2", "n_shingles", "rep"], "left_semi")
                  .select(F.col("rep").alias("id"), "cells"), "once")
     cells = once.select("id", F.explode("cells").alias("cell"))
-    # Members of cells that more than one set shares, with the cell's smallest id.
-    lead = cells.groupBy("cell").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("cell", "lead")
-    shared = saved(cells.join(lead, "cell"), "shared")
+    shared = shared_cells(cells)
     involved = shared.select("id").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     lists = saved(texts.join(involved, "id", "left_semi").mapInArrow(
         _hash_lists("id", "text", width), "id long, n long, sketch array<long>, hashes binary"), "hashes")
-    slim = lists.select("id", "n", "sketch")
-
     def verified(pairs: DataFrame, label: str) -> DataFrame:
         a = lists.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
         b = lists.select(F.col("id").alias("b"), F.col("hashes").alias("hb"))
         return saved(pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb")
                      .mapInArrow(_linked(percent), "a long, b long"), label)
 
-    stars = shared.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    x = slim.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    y = slim.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    may = _may_link(F.col("na"), F.col("nb"), F.col("sa"), F.col("sb"), percent)
-    links = verified(stars.join(x, "a").join(y, "b").where(may).select("a", "b"), "links")
-    comp = saved(components(links), "component")
-    # Pairs of one cell whose components still differ: members outside the
-    # leader's component against all members of the cell.
-    named = (shared.join(comp, "id", "left").withColumn("c", F.coalesce("component", "id"))
-             .join(comp.select(F.col("id").alias("lead"), F.col("component").alias("lc")), "lead", "left")
-             .withColumn("lc", F.coalesce("lc", "lead")).join(slim, "id")
-             .select("cell", "id", "n", "c", "lc", "lead", "sketch"))
-    named = saved(named, "named")
-    mixed = named.where("c <> lc").select("cell").distinct()
-    apart = named.join(mixed, "cell", "left_semi")
-    p = apart.where("c <> lc").select("cell", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("sketch").alias("sa"))
-    q = apart.select("cell", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("sketch").alias("sb"),
-                     (F.col("c") == F.col("lc")).alias("main"), "lead")
-    rest = (p.join(q, "cell").where((F.col("ca") != F.col("cb")) & (F.col("main") | (F.col("a") < F.col("b")))
-                                    & (F.col("b") != F.col("lead")) & may)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = verified(rest, "more")
-    whole = components(links.unionByName(more)).withColumnRenamed("id", "rep")
+    links = cell_links(shared, lists.drop("hashes"), lambda x, y: _may_link(x("n"), y("n"), x("sketch"), y("sketch"), percent), verified)
+    whole = components(links).withColumnRenamed("id", "rep")
     # An id that stands for several sets joins their links, as it is one node.
     classes = reps.join(whole, "rep", "left").select(
         "h1", "h2", "n_shingles", F.coalesce("component", "rep").alias("reached"))

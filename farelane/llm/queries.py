@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_gru, ngram_join, packing, quality_qda, sentencepiece_codec, toxicity_fm
+from . import (fingerprints, language_gru, license_scan, line_dedup, ngram_join, packing, quality_qda, sentencepiece_codec,
+               topk_nra, toxicity_fm)
 from .common import table
 
 #: A document is kept from this quality on, and dropped from this toxicity on.
@@ -49,6 +50,35 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(quality_qda.score(x, model), QUALITY_KEPT)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = license_scan.scan(table(spark, sf_dir, "documents"))
+    starts, base = F.col("places.first_word"), F.col("places.label")
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    best = F.greatest(F.coalesce(F.array_max("found.containment"), F.lit(0.0)), F.when(F.size("places") > 0, 1.0).otherwise(0.0))
+    return got.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+                      F.array_max(starts).alias("last_word"), joined(base).alias("base_labels"),
+                      joined(F.concat(base, "found.label")).alias("labels"), best.alias("score"))
+
+
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_nra.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = fingerprints.edited(fingerprints.with_next(table(spark, sf_dir, "documents")))
+    both = fingerprints.with_fingerprint(both, "edited", "edited_fingerprint")
+    written = lambda c: F.array_join(c, " ")
+    return both.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), written("fingerprint").alias("fingerprint"),
+                       written("edited_fingerprint").alias("edited_fingerprint"),
+                       fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+                       fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     machine = toxicity_fm.fit(docs, table(spark, sf_dir, "labels").where(remainder(4) != 2), "toxic")
@@ -68,7 +98,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_best_fit_packing, op2_ngram_jaccard_join, op3_sentencepiece, op4_quality_classifier, op9_toxicity, op10_language_id)
+        op1_best_fit_packing, op2_ngram_jaccard_join, op3_sentencepiece, op4_quality_classifier, op5_line_dedup, op6_license_scan,
+        op7_exact_topk, op8_document_fingerprints, op9_toxicity, op10_language_id)
 }
 
 #: DuckDB SQL where SQL can express the result.
