@@ -55,13 +55,11 @@ TEMPLATES = [
     ("reserved", "All rights reserved."),
 ]
 _FIND = re.compile(WORDS).findall
-_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def words_of(text: str | None) -> list[str]:
     """Words of a text after lower-casing A-Z."""
-    text = text or ""
-    return _FIND(text.lower() if text.isascii() else text.translate(_LOWER))
+    return _FIND((text or "").encode().lower().decode())  # bytes.lower() changes A-Z alone
 
 
 def block_starts(n: int, block: int = BLOCK_WORDS) -> list[int]:

@@ -183,29 +183,48 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
     return train(found, sample["label"].to_numpy(np.float64), buckets)
 
 
+def _scorer(machine: Machine):
+    """A function from texts to scores, with a table of the tokens it met."""
+    kept = {int(b): i for i, b in enumerate(machine.buckets)}
+    table: dict[str, list[int]] = {}  # rows of the machine, of every token seen
+
+    def scores(texts: list[str | None]) -> np.ndarray:
+        rows = []
+        if len(table) > CACHE_WORDS:
+            table.clear()
+        for text in texts:
+            found: set[int] = set()
+            for t in set((text or "").split()):
+                ids = table.get(t)
+                if ids is None:
+                    ids = table[t] = [kept[b] for b in buckets_of(t) if b in kept]
+                if ids:
+                    found.update(ids)
+            rows.append(sorted(found))
+        starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+        return machine.scores(np.array([i for r in rows for i in r], dtype=np.int64), starts)
+    return scores
+
+
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, score`` for every row."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = {int(b): i for i, b in enumerate(machine.buckets)}
-        table: dict[str, list[int]] = {}  # rows of the machine, of every token seen
+        scores = _scorer(machine)
         for batch in batches:
-            rows = []
-            if len(table) > CACHE_WORDS:
-                table.clear()
-            for text in batch.column(text_col).to_pylist():
-                found: set[int] = set()
-                for t in set((text or "").split()):
-                    ids = table.get(t)
-                    if ids is None:
-                        ids = table[t] = [kept[b] for b in buckets_of(t) if b in kept]
-                    if ids:
-                        found.update(ids)
-                rows.append(sorted(found))
-            starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
-            flat = np.array([i for r in rows for i in r], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(machine.scores(flat, starts), pa.float64())],
+            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(scores(batch.column(text_col).to_pylist()), pa.float64())],
                                              names=[id_col, "score"])
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double")
+
+
+def keep_below(docs: DataFrame, machine: Machine, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns; no shuffle."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = _scorer(machine)
+        for batch in batches:
+            yield batch.filter(pa.array(scores(batch.column(text_col).to_pylist()) < threshold))
+    return docs.mapInArrow(run, docs.schema)
