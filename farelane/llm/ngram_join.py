@@ -20,7 +20,7 @@ emitting all pairs of a group.
 
 Defined results: NULL or empty text, or text without words, has no shingles
 and links with nothing; with fewer words than a shingle the whole sequence is
-one.  One result row per input row; rows that repeat an id count as copies
+one.  A NULL id links with nothing.  One result row per input row; rows that repeat an id count as copies
 of one document when their sets are equal; if not, the id joins both sets'
 links.  Columns other than the id and the text are ignored.  An empty table
 gives no rows.
@@ -221,6 +221,6 @@ def similarity_components(docs: DataFrame, percent: int = 90, width: int = 3, id
     # a class may hold a copy with an id below its stand-in's
     least = smallest.groupBy("reached").agg(F.min("first").cast("long").alias("least"))
     named = smallest.join(least, "reached").select("h1", "h2", "n_shingles", F.least("least", "reached").cast(kind).alias("component_id"))
-    found = sets.where(f"n_shingles > 0").join(named, ["h1", "h2", "n_shingles"]).select(id_col, "n_shingles", "component_id")
-    none = sets.where("n_shingles = 0").select(id_col, "n_shingles", F.col(id_col).alias("component_id"))
+    found = sets.where(f"n_shingles > 0 AND `{id_col}` IS NOT NULL").join(named, ["h1", "h2", "n_shingles"]).select(id_col, "n_shingles", "component_id")
+    none = sets.where(f"n_shingles = 0 OR `{id_col}` IS NULL").select(id_col, "n_shingles", F.col(id_col).alias("component_id"))
     return found.unionByName(none)
