@@ -52,7 +52,9 @@ def _encode(model_file: str, id_col: str, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        direct = not words_keep_markers_first([model.id_to_piece(i) for i in range(model.get_piece_size())])
+        pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+        # a lone marker is a word without text, which the library would not see
+        direct = not words_keep_markers_first(pieces) or MARK not in pieces
         table = worker_cache("sentencepiece_ids")
         for batch in batches:
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
@@ -60,6 +62,7 @@ def _encode(model_file: str, id_col: str, text_col: str):
                 raws = [np.array(model.encode(t), dtype="<i4").tobytes() for t in texts]
             else:
                 split = [marked_words(t) for t in texts]
+                table[""] = np.array([model.piece_to_id(MARK)], dtype="<i4").tobytes()
                 new = list({w for ws in split for w in ws if w not in table})
                 for word, ids in zip(new, model.encode(new, num_threads=1)):
                     table[word] = np.array(ids, dtype="<i4").tobytes()
