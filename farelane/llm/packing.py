@@ -29,8 +29,8 @@ from .common import saved, small_batches, worker_cache
 CAPACITY = 2048
 #: Pieces that one task packs together.
 GROUP_ROWS = 100_000
-#: Distinct words that a Python worker remembers.
-CACHE_WORDS = 400_000
+#: Distinct words, and parts of words, that a Python worker remembers.
+CACHE_WORDS, CACHE_CORES = 300_000, 1_000_000
 
 
 def _word_ids(words: list[str], tokenizer, cores: dict) -> list[bytes]:
@@ -68,8 +68,8 @@ def _piece_batches(tokenizer_file: str, capacity: int, id_col: str, text_col: st
             ids = batch.column(id_col).to_pylist()
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
             split = [t.replace("\n", " ").split(" ") for t in texts]
-            for t in (table, cores):
-                if len(t) > CACHE_WORDS:
+            for t, most in ((table, CACHE_WORDS), (cores, CACHE_CORES)):
+                if len(t) > most:
                     t.clear()
             new = list({w for ws in split for w in ws if w not in table})
             table.update(zip(new, _word_ids(new, tokenizer, cores)))
