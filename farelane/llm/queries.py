@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (fingerprints, language_gru, license_scan, line_dedup, ngram_join, packing, quality_qda, sentencepiece_codec,
-               topk_nra, toxicity_fm)
+from . import (fingerprints, language_gru, license_scan, line_dedup, ngram_join, oracle, packing, quality_qda,
+               sentencepiece_codec, topk_nra, toxicity_fm)
 from .common import table
 
 #: A document is kept from this quality on, and dropped from this toxicity on.
@@ -103,4 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL where SQL can express the result.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_ngram_jaccard_join": oracle.NGRAM_JOIN,
+    "op6_license_scan": oracle.license_scan(license_scan.TEMPLATES, license_scan.BLOCK_WORDS, str(license_scan.THRESHOLD)),
+    "op7_exact_topk": oracle.TOP_K,
+}

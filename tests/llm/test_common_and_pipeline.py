@@ -91,3 +91,15 @@ def test_stages_on_awkward_documents(spark, sf, docs, empty):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, frame, sf)
             assert out.count() <= frame.count() * 40 and (name == "best_fit_packing" or out.columns == frame.columns)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_queries_match_their_sql(spark, sf, name):
+    import duckdb
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    want = con.execute(queries.ORACLE[name])
+    names = [c[0] for c in want.description]
+    rows = lambda it: sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in it), key=str)
+    assert rows(queries.QUERIES[name](spark, sf).select(*names).collect()) == rows(want.fetchall())
