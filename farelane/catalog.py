@@ -12,6 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from farelane import oracle as O
+from farelane import spec
 from farelane.operators import dedup, harmonize
 from farelane.plans.curate import curate
 from farelane.sources import dims, trips
@@ -114,10 +115,10 @@ def recompute_total(spark, sf_dir):
 
 
 @query("recompute_total_strict", O.ctes("h") + f"""
-SELECT {ID_SQL}, fare_amount + tip_amount + tolls_amount AS total_amount FROM h""")
+SELECT {ID_SQL}, fare_amount + extra + mta_tax + tip_amount + tolls_amount + improvement_surcharge
+       + congestion_surcharge + Airport_fee AS total_amount FROM h""")
 def recompute_total_strict(spark, sf_dir):
-    df = clean.recompute_total_strict(raw_a(spark, sf_dir), ("fare_amount", "tip_amount", "tolls_amount"))
-    return df.select(*IDENT, "total_amount")
+    return clean.recompute_total_strict(raw_a(spark, sf_dir)).select(*IDENT, "total_amount")
 
 
 # -- D2-D5 timestamps ---------------------------------------------------------------------
@@ -181,13 +182,13 @@ def impute_null_zero(spark, sf_dir):
 
 
 @query("impute_numeric", O.ctes("h") + f"""
-SELECT {ID_SQL}, {", ".join(f"coalesce({x}, 0) AS {x}" for x in C.zero_fill)} FROM h""")
+SELECT {ID_SQL}, {", ".join(f"coalesce({x}, 0) AS {x}" for x in O.ZERO_FILLED)} FROM h""")
 def impute_numeric(spark, sf_dir):
     return clean.impute_zero(raw_a(spark, sf_dir), C).select(*IDENT, *C.zero_fill)
 
 
 @query("impute_codes", O.ctes("h") + f"""
-SELECT {ID_SQL}, {", ".join(f"coalesce({k}, {v!r}) AS {k}" for k, v in C.code_defaults.items())} FROM h""")
+SELECT {ID_SQL}, {", ".join(f"coalesce({k}, {v}) AS {k}" for k, v in O.CODE_FILLED.items())} FROM h""")
 def impute_codes(spark, sf_dir):
     return clean.impute_codes(raw_a(spark, sf_dir), C).select(*IDENT, *C.code_defaults)
 
@@ -327,8 +328,8 @@ def reversal_anti_join(spark, sf_dir):
 
 @query("lookup_left_join", O.ctes("h") + f"""
 SELECT {ID_SQL}, h.RatecodeID, rc.RatecodeDesc, h.payment_type, pt.payment_type_desc
-FROM h LEFT JOIN {O.ratecode_sql()} ON h.RatecodeID = rc.RatecodeID
-       LEFT JOIN {O.payment_sql()} ON h.payment_type = pt.payment_type""")
+FROM h LEFT JOIN {O.RATECODE_SQL} ON h.RatecodeID = rc.RatecodeID
+       LEFT JOIN {O.PAYMENT_SQL} ON h.payment_type = pt.payment_type""")
 def lookup_left_join(spark, sf_dir):
     d = dims.code_tables(spark)
     df = enrich.lookup_join(raw_a(spark, sf_dir), d["ratecode"], "RatecodeID")
@@ -336,6 +337,14 @@ def lookup_left_join(spark, sf_dir):
     return df.select(*IDENT, "RatecodeID", "RatecodeDesc", "payment_type", "payment_type_desc")
 
 
+@query("lookup_trip_type", O.ctes("h", flavour="b") + f"""
+SELECT {ID_SQL}, h.trip_type, tt.trip_type_desc FROM h LEFT JOIN {O.TRIP_TYPE_SQL} ON h.trip_type = tt.trip_type""")
+def lookup_trip_type(spark, sf_dir):
+    raw = harmonize.harmonize_b(trips.read_landed(spark, sf_dir, "b"))
+    df = enrich.lookup_join(raw, dims.code_tables(spark)["trip_type"], "trip_type")
+    return df.select(*IDENT, "trip_type", "trip_type_desc")
+
+
 ZONE_OUT = ["PULocationID", "PU_Borough", "PU_Zone", "PU_service_zone",
             "DOLocationID", "DO_Borough", "DO_Zone", "DO_service_zone"]
 
@@ -406,7 +415,8 @@ def profile_long(spark, sf_dir):
 
 def _boxplot_sql(source: str, groups: list[str], value: str) -> str:
     g = ", ".join(groups)
-    on = " AND ".join(f"s.{x} = b.{x}" for x in groups)
+    on = " AND ".join(f"s.{x} IS NOT DISTINCT FROM b.{x}" for x in groups)
+    same = " AND ".join(f"c.{x} IS NOT DISTINCT FROM b.{x}" for x in groups)
     r = lambda e, a: f"round({e}, 4) AS {a}"
     return f"""
 q AS (SELECT {g}, count({value}) AS n, quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS median,
@@ -417,12 +427,17 @@ c AS (SELECT {', '.join('b.' + x for x in groups)}, min(s.{value}) AS mn, max(s.
       FROM {source} s JOIN b ON {on} GROUP BY {', '.join('b.' + x for x in groups)})
 SELECT {', '.join('b.' + x for x in groups)}, n, {r('mn', 'min')}, {r('q1', 'q1')}, {r('median', 'median')}, {r('q3', 'q3')},
        {r('mx', 'max')}, {r('iqr', 'iqr')}, {r('lower_fence', 'lower_fence')}, {r('upper_fence', 'upper_fence')}, n_outliers
-FROM b JOIN c USING ({g})"""
+FROM b JOIN c ON {same}"""
 
 
-@query("boxplot_stats", "WITH" + _boxplot_sql("events", ["event_type"], "value"))
+@query("boxplot_stats", """WITH ev AS (SELECT nullif(event_type, 'click') AS event_type,
+  CASE WHEN event_id % 3 = 0 THEN 1.0 ELSE value END AS value FROM events),""" + _boxplot_sql("ev", ["event_type"], "value"))
 def boxplot_stats(spark, sf_dir):
-    return profile.boxplot_stats(table(spark, sf_dir, "events"), ["event_type"], "value")
+    """With a NULL group (clicks) and a hot value (a third of the rows)."""
+    ev = table(spark, sf_dir, "events").select(
+        F.nullif(F.col("event_type"), F.lit("click")).alias("event_type"),
+        F.when(F.col("event_id") % 3 == 0, F.lit(1.0)).otherwise(F.col("value")).alias("value"))
+    return profile.boxplot_stats(ev, ["event_type"], "value")
 
 
 _BAND_SQL = """miles_per_minute <= 2 AND miles_per_minute >= 0.01
@@ -438,10 +453,31 @@ lng AS ({' UNION ALL '.join(f"SELECT stage, '{m}' AS measure, {m} AS value FROM
                                                   + _boxplot_sql("lng", ["stage", "measure"], "value")))
 def boxplot_before_after(spark, sf_dir):
     m = clean.drop_any_null(_measured(raw_a(spark, sf_dir)), _MEASURE_NAMES)
-    staged = (m.withColumn("stage", F.lit("before"))
-               .unionByName(clean.filter_outlier_bands(m, "trip").withColumn("stage", F.lit("after"))))
-    lng = staged.unpivot(["stage"], _MEASURE_NAMES, "measure", "value")
-    return profile.boxplot_stats(lng, ["stage", "measure"], "value")
+    return profile.boxplot_stats(_staged(m, "trip", _MEASURE_NAMES), ["stage", "measure"], "value")
+
+
+def _staged(m, band: str, names: list[str]):
+    """Long rows (stage, measure, value): every row 'before', those inside the
+    band 'after' too.  One scan: a row is multiplied, not read again."""
+    inside = clean.trip_band() if band == "trip" else clean.fare_band()
+    stages = F.when(inside, F.array(F.lit("before"), F.lit("after"))).otherwise(F.array(F.lit("before")))
+    return m.select(F.explode(stages).alias("stage"), *names).unpivot(["stage"], names, "measure", "value")
+
+
+_FARE_BAND_SQL = """fare_amount_per_mile <= 30 AND fare_amount_per_mile >= 0
+  AND fare_amount_per_min <= 15 AND fare_amount_per_min >= 0"""
+_AMOUNT_NAMES = ["fare_amount_per_mile", "fare_amount_per_min", "fare_amount", "total_amount"]
+
+
+@query("boxplot_amounts", O.ctes("h", extra=HM_SQL + ",\n" + f"""
+nn AS (SELECT * FROM hm WHERE {' AND '.join(f"{m} IS NOT NULL" for m in _AMOUNT_NAMES)}),
+staged AS (SELECT 'before' AS stage, * FROM nn UNION ALL SELECT 'after' AS stage, * FROM nn WHERE {_FARE_BAND_SQL}),
+lng AS ({' UNION ALL '.join(f"SELECT stage, '{m}' AS measure, {m} AS value FROM staged" for m in _AMOUNT_NAMES)}),"""
+                                             + _boxplot_sql("lng", ["stage", "measure"], "value")))
+def boxplot_amounts(spark, sf_dir):
+    """The four amounts before and after the fare band."""
+    m = clean.drop_any_null(_measured(raw_a(spark, sf_dir)), _AMOUNT_NAMES)
+    return profile.boxplot_stats(_staged(m, "fare", _AMOUNT_NAMES), ["stage", "measure"], "value")
 
 
 @query("preview_top5", O.ctes("h") + f"""
@@ -451,24 +487,23 @@ def preview_top5(spark, sf_dir):
     return profile.preview(neg, IDENT, 5).select(*IDENT, "fare_amount")
 
 
-@query("sample_rows")
+@query("sample_rows", """
+SELECT * FROM events WHERE CAST('0x' || substr(md5('42|' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 1""")
 def sample_rows(spark, sf_dir):
-    return profile.sample_rows(table(spark, sf_dir, "events"), 0.01, seed=42)
+    return profile.sample_rows(table(spark, sf_dir, "events"), ["event_id"], 1, seed=42)
 
 
 # -- Q0-Q6 quality ----------------------------------------------------------------------------------
 
 def _quality_sql() -> str:
-    from farelane import spec
-    meta = [("column_present", c, 0) for _, c, _ in spec.CURATED_COLUMNS]
-    meta += [("column_type", c, 0) for _, c, _ in spec.CURATED_COLUMNS]
+    meta = [(check, c, 0) for check in ("column_present", "column_type") for c in O.CURATED_NAMES]
     values = ", ".join(f"('{a}', '{b}', {n})" for a, b, n in meta)
-    checks = [("zero", c, f"{c} = 0") for c in spec.QUALITY_NOT_ZERO]
-    checks += [("negative", c, f"{c} < 0") for c in spec.QUALITY_NOT_NEGATIVE]
-    checks += [("null", c, f"{c} IS NULL") for c in spec.QUALITY_NOT_NULL]
+    checks = [("zero", c, f"{c} = 0") for c in O.NOT_ZERO]
+    checks += [("negative", c, f"{c} < 0") for c in O.NOT_NEGATIVE]
+    checks += [("null", c, f"{c} IS NULL") for c in O.NOT_NULL]
     counts = "\nUNION ALL ".join(f"SELECT '{a}', '{b}', count(*) FILTER (WHERE {p}) FROM cur" for a, b, p in checks)
-    keys = ", ".join(spec.QUALITY_UNIQUE_KEY)
-    dup = (f"SELECT 'duplicate_key', '{','.join(spec.QUALITY_UNIQUE_KEY)}', count(*) FROM "
+    keys = ", ".join(O.UNIQUE_KEY)
+    dup = (f"SELECT 'duplicate_key', '{','.join(O.UNIQUE_KEY)}', count(*) FROM "
            f"(SELECT {keys} FROM cur GROUP BY {keys} HAVING count(*) > 1)")
     return (O.ctes("cur") + f"""SELECT "check", "column", CAST(bad_rows AS BIGINT) AS bad_rows FROM (
 SELECT * FROM (VALUES {values}) AS v("check", "column", bad_rows)
@@ -481,6 +516,26 @@ def quality_report(spark, sf_dir):
     return quality.quality_report(curate_trips(spark, sf_dir))
 
 
+def _broken_sql() -> str:
+    """The report of a frame without airport_fee, with text totals and some
+    distances negated."""
+    bad = {("column_present", "airport_fee"), ("column_type", "airport_fee"), ("column_type", "total_amount")}
+    values = ", ".join(f"('{k}', '{c}', {int((k, c) in bad)})" for k in ("column_present", "column_type") for c in O.CURATED_NAMES)
+    return O.ctes("cur") + f"""SELECT "check", "column", CAST(bad_rows AS BIGINT) AS bad_rows FROM (
+SELECT * FROM (VALUES {values}) AS v("check", "column", bad_rows)
+UNION ALL SELECT 'negative', 'trip_distance', count(*) FILTER (WHERE trip_distance > 10) FROM cur)"""
+
+
+@query("quality_schema", _broken_sql())
+def quality_schema(spark, sf_dir):
+    """Schema checks, and one row check, on a deliberately broken frame."""
+    broken = (curate_trips(spark, sf_dir).drop("airport_fee")
+              .withColumns({"total_amount": F.col("total_amount").cast("string"),
+                            "trip_distance": F.when(F.col("trip_distance") > 10, -F.col("trip_distance")).otherwise(F.col("trip_distance"))}))
+    report = quality.quality_report(broken)
+    return report.where("check LIKE 'column%' OR (check = 'negative' AND column = 'trip_distance')")
+
+
 # -- S1-S9 scans, run modes, calendar ----------------------------------------------------------------
 
 
@@ -492,12 +547,8 @@ VEHICLE_A = trips.FLAVOUR_VEHICLE["a"]
 SEL_SQL = f"SELECT {ID_SQL}, file_year, file_month FROM raw"
 
 
-@query("scan_merge_schema", O.ctes("raw") + f"""
-SELECT {ID_SQL}, file_year, file_month,
-       CAST(CASE WHEN l_suppkey % 4 = 0 THEN 1.75 ELSE 0.0 END AS DOUBLE) AS airport_fee,
-       CAST(CASE WHEN CAST(file_year AS INTEGER) >= 1998 THEN CASE WHEN l_partkey % 2 = 1 THEN 0.75 ELSE 0.0 END END
-            AS DOUBLE) AS cbd_congestion_fee
-FROM raw""")
+@query("scan_merge_schema", O.ctes("h", flavour="v") + f"""
+SELECT {ID_SQL}, file_year, file_month, Airport_fee AS airport_fee, cbd_congestion_fee FROM h""")
 def scan_merge_schema(spark, sf_dir):
     folder = trips.land_vintages(spark, sf_dir, "columns")
     df = files.with_file_month(files.read_months(spark, files.month_glob(folder, VEHICLE_A)))
@@ -505,6 +556,22 @@ def scan_merge_schema(spark, sf_dir):
                      "cbd_congestion_fee")
 
 
+@query("curate_vintages", O.curated_sql("v"))
+def curate_vintages(spark, sf_dir):
+    """Files that spell the airport fee in two ways and gain a column, curated."""
+    folder = trips.land_vintages(spark, sf_dir, "columns")
+    raw = runmodes.select_months(spark, folder, VEHICLE_A, "full_load")
+    return curate(harmonize.harmonize_a(raw), adapter_dims(spark, sf_dir), C)
+
+
+@query("curate_type_vintages", O.curated_sql("a"))
+def curate_type_vintages(spark, sf_dir):
+    """Files whose column types drift, curated."""
+    folder = trips.land_vintages(spark, sf_dir, "types")
+    raw = runmodes.select_months(spark, folder, VEHICLE_A, "full_load")
+    return curate(harmonize.harmonize_a(raw), adapter_dims(spark, sf_dir), C)
+
+
 @query("schema_reconcile", O.ctes("raw") + f"""
 SELECT {ID_SQL}, file_year, file_month, CAST(VendorID AS BIGINT) AS VendorID,
        CAST(passenger_count AS DOUBLE) AS passenger_count FROM raw""")
@@ -583,7 +650,8 @@ def missing_months(spark, sf_dir):
     expected = calendar.expected_months(_bounds(spark, sf_dir))
     observed = None
     for flavour, vehicle in trips.FLAVOUR_VEHICLE.items():
-        seen = trips.read_landed(spark, sf_dir, flavour).select(
+        listing = files.file_listing(spark, files.month_glob(trips.land_raw(spark, sf_dir, flavour), vehicle))
+        seen = files.listed_months(listing).select(
             F.lit(vehicle).alias("vehicle"), F.col("file_year").cast("int").alias("year"),
             F.col("file_month").cast("int").alias("month"))
         observed = seen if observed is None else observed.unionByName(seen)
@@ -608,6 +676,27 @@ def csv_dim_scan(spark, sf_dir):
     return dims.read_csv_dim(spark, path, CUSTOMER_CSV_SCHEMA)
 
 
+def lookup_folder(spark, sf_dir) -> str:
+    """The four lookup tables written as CSV files in the hand-edited style."""
+    folder = scratch_path(spark, "lookups")
+    codes = dims.code_tables(spark)
+    for name in ("payment_type", "ratecode", "trip_type"):
+        dims.write_lookup_csv(codes[name], f"{folder}/{name}.csv", quote_strings=False, trailing_sep=name == "ratecode")
+    dims.write_lookup_csv(dims.zone_from_nation(spark, sf_dir), f"{folder}/taxi_zone.csv")
+    return folder
+
+
+@query("curate_csv_lookups", O.ctes("cur") + """SELECT c.*, tt.trip_type_desc FROM (
+  SELECT cur.*, 3 AS trip_type FROM cur) c LEFT JOIN """ + O.TRIP_TYPE_SQL + " ON c.trip_type = tt.trip_type")
+def curate_csv_lookups(spark, sf_dir):
+    """The curated trips with all four lookups read from their CSV files."""
+    t = dims.read_lookup_folder(spark, lookup_folder(spark, sf_dir))
+    tables = {"ratecode": t["ratecode"], "payment_type": t["payment_type"], "zone": t["taxi_zone"]}
+    wide = enrich.lookup_join(curate_columns(raw_a(spark, sf_dir), tables, C), t["trip_type"], "trip_type")
+    layout = (*spec.CURATED_COLUMNS, ("trip_type", "trip_type", "int"), ("trip_type_desc", "trip_type_desc", "string"))
+    return shape.to_curated(wide, layout)
+
+
 # -- S5, S6 curated table ----------------------------------------------------------------------------
 
 def _curated_table(spark, sf_dir) -> str:
@@ -700,5 +789,5 @@ def curate_incremental(spark, sf_dir):
     dims_ = adapter_dims(spark, sf_dir)
     incremental.run_incremental(
         spark, folder, VEHICLE_A, target, scratch_path(spark, "stream-ckpt"),
-        lambda raw: curate(harmonize.harmonize_a(raw), dims_, C), files_per_batch=40, strict=True)
+        lambda raw, cols: curate(harmonize.harmonize_a(raw), dims_, cols), C, files_per_batch=40, strict=True)
     return files.read_partitioned(spark, target, files.curated_schema())

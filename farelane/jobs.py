@@ -43,10 +43,12 @@ def run_job(spark: SparkSession, jobs: str, run_mode: str, months: int, raw_root
                "zone": tables["taxi_zone"]}
     report = {}
     for vehicle in JOB_FLAVOURS[jobs]:
-        raw = runmodes.select_months(spark, f"{raw_root.rstrip('/')}/{vehicle}", vehicle, run_mode,
-                                     months, minimum_month)
+        folder = f"{raw_root.rstrip('/')}/{vehicle}"
+        picked = runmodes.selected_months(spark, folder, vehicle, run_mode, months, minimum_month)
+        raw = runmodes.read_selected(spark, folder, vehicle, picked)
         curated = curate(FLAVOURS[vehicle](raw), dim_set, cols, plan=plan, timestamp_type=timestamp_type)
-        report[vehicle] = gated_publish(curated, f"{curated_root.rstrip('/')}/{vehicle}", strict=strict)
+        report[vehicle] = gated_publish(curated, f"{curated_root.rstrip('/')}/{vehicle}", strict, picked, timestamp_type,
+                                        (*spec.QUALITY_UNIQUE_KEY, *(("file_year", "file_month") if cols.scope else ())))
     return report
 
 
@@ -59,12 +61,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--lookups", required=True)
     p.add_argument("--curated-root", required=True)
     p.add_argument("--report-only", action="store_true", help="publish even when a gate check fails")
-    p.add_argument("--plan", choices=("fused", "window", "single", "literal"), default="fused",
+    p.add_argument("--plan", choices=("fused", "window"), default="fused",
                    help="physical plan for pair removal + keep-best (window: only for data without hot keys)")
+    p.add_argument("--pair-scope", choices=("load", "month"), default="load",
+                   help="search pairs and duplicates in all loaded months, or inside each file month (as the stream does)")
     p.add_argument("--timestamp-type", choices=("ntz", "ltz"), default="ntz")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("farelane-curate").getOrCreate()
-    report = run_job(spark, a.jobs, a.run_mode, a.months, a.raw_root, a.lookups, a.curated_root,
+    cols = spec.DEFAULT_COLUMNS.by_month() if a.pair_scope == "month" else spec.DEFAULT_COLUMNS
+    report = run_job(spark, a.jobs, a.run_mode, a.months, a.raw_root, a.lookups, a.curated_root, cols,
                      strict=not a.report_only, plan=a.plan, timestamp_type=a.timestamp_type)
     for vehicle, failures in report.items():
         print(vehicle, "gate ok" if not failures else failures)

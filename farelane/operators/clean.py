@@ -17,9 +17,9 @@ from farelane.spec import DEFAULT_COLUMNS, TripColumns
 # -- totals ------------------------------------------------------------------
 
 def recompute_total(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
-    """total := sum of the charge components, NULL read as 0 (overwrites)."""
-    present = [x for x in cols.total_components if x in df.columns]
-    return df.withColumn(cols.total, X.sum_null_as_zero(present).cast("double"))
+    """total := sum of the charge components, NULL read as 0 (overwrites).
+    Every component must exist (see ``harmonize.canonical``)."""
+    return df.withColumn(cols.total, X.sum_null_as_zero(cols.total_components).cast("double"))
 
 
 def recompute_total_strict(df: DataFrame, components: Sequence[str] = spec.STRICT_TOTAL_COMPONENTS,
@@ -84,14 +84,13 @@ def impute_passengers(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> Dat
 
 
 def impute_zero(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
-    """NULL charge/distance -> 0 (present columns only)."""
-    return df.withColumns({x: F.coalesce(F.col(x), F.lit(0)) for x in cols.zero_fill if x in df.columns})
+    """NULL charge/distance -> 0."""
+    return df.withColumns({x: F.coalesce(F.col(x), F.lit(0)) for x in cols.zero_fill})
 
 
 def impute_codes(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
     """NULL code -> its 'unknown' code."""
-    return df.withColumns({k: F.coalesce(F.col(k), F.lit(v))
-                           for k, v in cols.code_defaults.items() if k in df.columns})
+    return df.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in cols.code_defaults.items()})
 
 
 def impute_timestamps(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:

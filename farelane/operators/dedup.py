@@ -64,32 +64,6 @@ def reversal_members(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> Data
                  .filter(F.col(cols.fare).isNotNull()))
 
 
-def best_without_pairs(df: DataFrame, keep, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
-    """Pair removal + keep-best from a single scan.
-
-    One partial aggregate on the seven keys keeps, per group, the row count,
-    the total sum and the best row among those satisfying ``keep`` (a row
-    filter applied before keep-best).  Pair statistics on the six keys are
-    sums over these summaries (a pair group has two rows, so its total is
-    exact).  The pair members' fares come from the summaries' fare key, and
-    the anti join on the seven keys reuses the summaries' partitioning.
-    """
-    keys7, keys6 = list(cols.dedup_keys), list(cols.reversal_keys)
-    tiebreak = cols.tiebreak or [x for x in df.columns if x not in keys7 and x != cols.total]
-    order = F.struct(F.col(cols.total).isNull(), -F.col(cols.total), *[F.col(t) for t in tiebreak])
-    row = F.struct(*[F.col(c) for c in df.columns])
-    summary = df.groupBy(*keys7).agg(F.count(F.lit(1)).alias("_n"), F.sum(cols.total).alias("_s"),
-                                     F.min_by(row, F.when(keep, order)).alias("_best"))
-    pairs = (summary.groupBy(*keys6)
-                    .agg(F.sum("_n").alias("_n6"), F.sum("_s").alias("_s6"),
-                         F.min(cols.fare).alias("_f1"), F.max(cols.fare).alias("_f2"))
-                    .filter((F.col("_n6") == 2) & (F.col("_s6") == 0) & X.all_not_null(keys6)))
-    members = (pairs.select(*keys6, F.explode(F.array_distinct(F.array("_f1", "_f2"))).alias(cols.fare))
-                    .filter(F.col(cols.fare).isNotNull()))
-    kept = summary.filter(F.col("_best").isNotNull()).join(members, on=keys7, how="left_anti")
-    return kept.select("_best.*")
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their count."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))

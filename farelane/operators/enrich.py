@@ -1,25 +1,21 @@
-"""Dimension lookups.  Dimensions are broadcast only after their size is
-checked (see :func:`farelane.sources.dims.bounded_broadcast`)."""
+"""Dimension lookups.  Spark broadcasts a dimension when its size is known to
+be below ``spark.sql.autoBroadcastJoinThreshold`` (bytes), at planning or, by
+AQE, once it is measured; a larger one is joined by shuffle."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.sources.dims import bounded_broadcast
 
+def lookup_join(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Left equi join ``USING (key)``: adds the dimension's other columns."""
+    return df.join(dim, on=key, how="left")
 
-def lookup_join(df: DataFrame, dim: DataFrame, key: str, checked: bool = False) -> DataFrame:
-    """Left equi join ``USING (key)``: adds the dimension's other columns.
-    ``checked``: the caller already applied the size check to ``dim``."""
-    return df.join(dim if checked else bounded_broadcast(dim), on=key, how="left")
 
-
-def role_join(df: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, prefix: str,
-              checked: bool = False) -> DataFrame:
+def role_join(df: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, prefix: str) -> DataFrame:
     """Left join of one dimension in a role: dimension columns are renamed
     ``<prefix><name>`` before the join and the dimension key is dropped."""
-    dim = dim if checked else bounded_broadcast(dim)
     renamed = dim.select(F.col(dim_key).alias("_role_key"),
                          *[F.col(x).alias(prefix + x) for x in dim.columns if x != dim_key])
     joined = df.join(renamed, df[fact_key] == F.col("_role_key"), "left")
@@ -36,7 +32,5 @@ def enrich_trips(df: DataFrame, ratecode: DataFrame, payment_type: DataFrame,
     out = lookup_join(out, payment_type, "payment_type")
     if trip_type is not None:
         out = lookup_join(out, trip_type, "trip_type")
-    zone = bounded_broadcast(zone)  # one size check for both roles
-    out = role_join(out, zone, "PULocationID", zone_key, "PU_", checked=True)
-    out = role_join(out, zone, "DOLocationID", zone_key, "DO_", checked=True)
-    return out
+    out = role_join(out, zone, "PULocationID", zone_key, "PU_")
+    return role_join(out, zone, "DOLocationID", zone_key, "DO_")

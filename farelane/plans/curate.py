@@ -17,10 +17,9 @@ Removing pairs after keep-best is exact: a pair group on the six keys is
 removed whole, duplicate groups nest inside it, and a surviving row always
 carries one of the two member fares.  Every shuffle is preceded by a
 map-side reduction, so a key holding a third of the rows never lands whole
-in one task.  ``plan="literal"`` keeps the textbook order (aggregate +
-anti join, then window) for comparison; ``plan="window"`` computes the pair
-test with window aggregates on the same exchange as keep-best (one scan, one
-shuffle), for data known to have no hot key.
+in one task.  ``plan="window"`` computes the pair test with window aggregates
+on the same exchange as keep-best (one scan, one shuffle), for data known to
+have no hot key.
 """
 
 from __future__ import annotations
@@ -33,19 +32,10 @@ from farelane.spec import DEFAULT_COLUMNS, TripColumns
 
 
 def _remove_pairs_and_duplicates(df: DataFrame, cols: TripColumns, plan: str) -> DataFrame:
-    if plan == "single":
-        f = F.col
-        keep = ((f(cols.distance) >= 0) & (f(cols.fare) >= 0) & (f(cols.total) >= 0)
-                & ((f(cols.distance) > 0) | (f(cols.total) > 0)))
-        return dedup.best_without_pairs(df, keep, cols)
     if plan == "window":
         df = dedup.drop_reversals_windowed(df, cols)
         df = clean.filter_both_zero(clean.filter_non_negative(df, cols), cols)
         return dedup.dedup_trips(df, cols)
-    if plan == "literal":
-        df = dedup.remove_reversals(df, cols)
-        df = clean.filter_both_zero(clean.filter_non_negative(df, cols), cols)
-        return dedup.dedup_trips(df, cols)
     members = dedup.reversal_members(df, cols)
     kept = dedup.dedup_trips(clean.filter_both_zero(clean.filter_non_negative(df, cols), cols), cols)
     return kept.join(members, on=list(cols.dedup_keys), how="left_anti")

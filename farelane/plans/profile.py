@@ -1,11 +1,12 @@
 """Profiles: conditional counts, distinct values, previews, samples and
 five-number (box-plot) summaries.
 
-Exact quantiles without gathering a group: values are range-partitioned on
-(group, value), so a group holding a third of the rows is spread over many
-tasks; each task numbers its sorted rows, per-(group, partition) counts
-(a table of at most #groups + #partitions rows) give every chunk its rank
-offset, and the handful of rows at the wanted ranks are fetched by id.
+Exact quantiles without gathering a group: rows are first counted by (group,
+value), a partial aggregate that collapses hot values.  Approximate quantiles
+of the distinct values cut each group into chunks; the chunks' counts locate
+the chunk that holds a wanted rank, and cumulative counts inside that chunk
+alone give the value.  Ranks are found by value and count, never by row
+number, so no result depends on how rows are partitioned.
 """
 
 from __future__ import annotations
@@ -47,66 +48,76 @@ def preview(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def sample_rows(df: DataFrame, fraction: float = 0.01, seed: int = 42) -> DataFrame:
-    """Bernoulli sample without replacement (seeded)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, keys: Sequence[str], percent: int = 1, seed: int = 42) -> DataFrame:
+    """Sample without replacement of about ``percent`` % of the rows, by an
+    md5 of the key columns: the same rows for any file layout."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    return df.where(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100 < percent)
 
 
 # -- exact quantiles ------------------------------------------------------------------
 
-def group_quantiles(df: DataFrame, groups: Sequence[str], value: str,
-                    probs: dict[str, float]) -> DataFrame:
-    """Exact interpolated quantiles (``quantile_cont``) of ``value`` per group.
+#: Chunks of a group's distinct values.
+CHUNKS = 64
 
-    Returns ``groups + [n] + list(probs)``.  NULL values are ignored.
-    """
-    groups = list(groups)
-    base = df.select(*groups, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    ranked = (base.repartitionByRange(*groups, "_v")
-                  .sortWithinPartitions(*groups, "_v")
-                  .withColumn("_pid", F.spark_partition_id())
-                  .withColumn("_rid", F.monotonically_increasing_id()))
-    chunks = ranked.groupBy(*groups, "_pid").agg(F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*groups)
-    chunks = chunks.withColumns({
-        "_offset": F.coalesce(F.sum("_cnt").over(w.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                              F.lit(0)),
-        "_n": F.sum("_cnt").over(w)})
+
+def _chunked_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """``_g`` (struct of the groups, equal also where NULL), ``_v``, its count
+    ``_n`` and its ``_chunk``.  Checkpointed, so later steps share one copy."""
+    counts = (df.where(F.col(value).isNotNull())
+                .groupBy(F.struct(*groups).alias("_g"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+                .checkpoint())
+    edges = counts.groupBy("_g").agg(F.percentile_approx("_v", [i / CHUNKS for i in range(1, CHUNKS)], 1000).alias("_edges"))
+    return (counts.join(edges, "_g")
+                  .select("_g", "_v", "_n", F.size(F.filter("_edges", lambda e: e < F.col("_v"))).alias("_chunk"))
+                  .checkpoint())
+
+
+def _quantiles(counts: DataFrame, probs: dict[str, float]) -> DataFrame:
+    """``_g, n`` and the quantiles, from :func:`_chunked_counts`."""
+    w = Window.partitionBy("_g")
+    before = w.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = counts.groupBy("_g", "_chunk").agg(F.sum("_n").alias("_cnt"))  # CHUNKS rows a group at most
+    chunks = chunks.withColumns({"_offset": F.coalesce(F.sum("_cnt").over(before), F.lit(0)), "n": F.sum("_cnt").over(w)})
     # wanted ranks: floor and ceil of p * (n - 1) for every probability
     prob_arr = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(float(p)).alias("p")) for k, p in probs.items()])
-    sizes = chunks.select(*groups, "_n").distinct()
-    wanted = (sizes.select(*groups, "_n", F.explode(prob_arr).alias("_q"))
-                   .withColumn("_pos", F.col("_q.p") * (F.col("_n") - 1))
-                   .select(*groups, "_n", F.col("_q.name").alias("_name"), "_pos",
-                           F.explode(F.array(F.floor("_pos"), F.ceil("_pos"))).alias("_rank")))
-    located = (wanted.join(chunks.drop("_n"), on=groups)
-                     .filter((F.col("_rank") >= F.col("_offset")) & (F.col("_rank") < F.col("_offset") + F.col("_cnt")))
-                     .select(*groups, "_n", "_name", "_pos", "_rank",
-                             (F.col("_first") + F.col("_rank") - F.col("_offset")).alias("_rid")))
-    # located is tiny (<= #groups x 2 x #probs rows) but only known at run time:
-    # AQE measures it and broadcasts it, or keeps the shuffle join.
-    fetched = ranked.select("_rid", "_v").join(located, on="_rid")
-    per_prob = (fetched.groupBy(*groups, "_n", "_name", "_pos")
-                       .agg(F.min_by("_v", "_rank").alias("_lo"), F.max_by("_v", "_rank").alias("_hi"))
-                       .withColumn("_q", F.col("_lo") + (F.col("_pos") - F.floor("_pos")) * (F.col("_hi") - F.col("_lo"))))
-    out = per_prob.groupBy(*groups, F.col("_n").alias("n")).pivot("_name", list(probs)).agg(F.first("_q"))
-    return out
+    wanted = (chunks.select("*", F.explode(prob_arr).alias("_q"))
+                    .withColumn("_pos", F.col("_q.p") * (F.col("n") - 1))
+                    .select("_g", "_chunk", "_offset", "_cnt", "n", F.col("_q.name").alias("_name"), "_pos",
+                            F.explode(F.array(F.floor("_pos"), F.ceil("_pos"))).alias("_rank"))
+                    .where((F.col("_rank") >= F.col("_offset")) & (F.col("_rank") < F.col("_offset") + F.col("_cnt"))))
+    inside = Window.partitionBy("_g", "_chunk").orderBy("_v")
+    near = (counts.join(wanted.select("_g", "_chunk").distinct(), ["_g", "_chunk"], "left_semi")
+                  .withColumn("_upto", F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))))
+    at = F.col("_rank") - F.col("_offset")
+    found = near.join(wanted, ["_g", "_chunk"]).where((at < F.col("_upto")) & (at >= F.col("_upto") - F.col("_n")))
+    per_prob = (found.groupBy("_g", "n", "_name", "_pos")
+                     .agg(F.min_by("_v", "_rank").alias("_lo"), F.max_by("_v", "_rank").alias("_hi"))
+                     .withColumn("_q", F.col("_lo") + (F.col("_pos") - F.floor("_pos")) * (F.col("_hi") - F.col("_lo"))))
+    return per_prob.groupBy("_g", "n").pivot("_name", list(probs)).agg(F.first("_q"))
+
+
+def group_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """Exact interpolated quantiles (``quantile_cont``) of ``value`` per group.
+
+    Returns ``groups + [n] + list(probs)``.  NULL values are ignored; a NULL
+    group is a group.
+    """
+    q = _quantiles(_chunked_counts(df, groups, value), probs)
+    return q.select(*[F.col(f"_g.{g}").alias(g) for g in groups], "n", *probs)
 
 
 def boxplot_stats(df: DataFrame, groups: Sequence[str], value: str, digits: int = 4) -> DataFrame:
     """Five-number summary per group: n, min, q1, median, q3, max, IQR,
     whisker bounds (1.5 IQR) and the number of values outside them."""
-    groups = list(groups)
-    q = group_quantiles(df, groups, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    q = q.withColumns({"iqr": F.col("q3") - F.col("q1")})
-    q = q.withColumns({"lower_fence": F.col("q1") - 1.5 * F.col("iqr"),
-                       "upper_fence": F.col("q3") + 1.5 * F.col("iqr")})
-    v = F.col(value)
-    counts = (df.join(q.select(*groups, "lower_fence", "upper_fence"), on=groups)
-                .groupBy(*groups)
-                .agg(F.min(v).alias("min"), F.max(v).alias("max"),
-                     F.count_if((v < F.col("lower_fence")) | (v > F.col("upper_fence"))).alias("n_outliers")))
+    counts = _chunked_counts(df, groups, value)
+    q = _quantiles(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}).withColumn("iqr", F.col("q3") - F.col("q1"))
+    q = q.withColumns({"lower_fence": F.col("q1") - 1.5 * F.col("iqr"), "upper_fence": F.col("q3") + 1.5 * F.col("iqr")})
+    outside = (F.col("_v") < F.col("lower_fence")) | (F.col("_v") > F.col("upper_fence"))
+    ends = (counts.join(q.select("_g", "lower_fence", "upper_fence"), "_g").groupBy("_g")
+                  .agg(F.min("_v").alias("min"), F.max("_v").alias("max"),
+                       F.sum(F.when(outside, F.col("_n")).otherwise(0)).alias("n_outliers")))
     r = lambda c: F.round(F.col(c), digits).alias(c)
-    return q.join(counts, on=groups).select(
-        *groups, F.col("n").cast("bigint").alias("n"), r("min"), r("q1"), r("median"), r("q3"), r("max"),
-        r("iqr"), r("lower_fence"), r("upper_fence"), F.col("n_outliers").cast("bigint").alias("n_outliers"))
+    return q.join(ends, "_g").select(
+        *[F.col(f"_g.{g}").alias(g) for g in groups], F.col("n").cast("bigint").alias("n"), r("min"), r("q1"), r("median"),
+        r("q3"), r("max"), r("iqr"), r("lower_fence"), r("upper_fence"), F.col("n_outliers").cast("bigint").alias("n_outliers"))

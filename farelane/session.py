@@ -26,6 +26,8 @@ PLAN_DEFAULTS = {
     # HotSpot does not JIT a generated method, so let Spark split such
     # stages into per-operator code instead of one huge method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Checkpointed copies (staged months, value counts) go when no longer used.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -56,7 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(configured)
         current = spark.sparkContext.getCheckpointDir()
     if not current:
-        # Only reached in local tests: a cluster always names a shared folder.
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         local = tempfile.mkdtemp(prefix="farelane-ckpt-")
         spark.conf.set("spark.checkpoint.dir", local)
         spark.sparkContext.setCheckpointDir(local)

@@ -12,11 +12,13 @@ advisory-size writer tasks and merge small months.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
+from farelane import spec
 from farelane.plans import quality
-from farelane.session import scratch_path
-from farelane.sources.files import curated_schema, read_partitioned
 
 PARTITION_COLUMNS = ("file_year", "file_month")
 
@@ -32,70 +34,34 @@ def write_partitioned(df: DataFrame, path: str, partition_cols=PARTITION_COLUMNS
     writer.parquet(path)
 
 
-def _month_folders(fs, root, depth: int):
-    """Partition folders ``k1=v1/.../kN=vN`` below ``root`` (metadata only)."""
-    level = [root]
-    for _ in range(depth):
-        level = [st.getPath() for p in level for st in fs.listStatus(p)
-                 if st.isDirectory() and "=" in st.getPath().getName()]
-    return level
-
-
-def promote_months(spark: SparkSession, staging: str, target: str,
-                   partition_cols=PARTITION_COLUMNS) -> list[str] | None:
-    """Move every staged partition folder into ``target``, replacing the
-    folder already there (the same delete + rename Spark's dynamic
-    overwrite performs at commit).  No data is rewritten.  Returns the moved
-    partitions, or ``None`` when staging and target live on different file
-    systems or no JVM handle is available (the caller then copies)."""
-    try:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    except AttributeError:  # no JVM handle (e.g. Spark Connect): caller copies
-        return None
-    path = jvm.org.apache.hadoop.fs.Path
-    src_root, dst_root = path(staging), path(target)
-    fs = src_root.getFileSystem(conf)
-    if fs.getUri().toString() != dst_root.getFileSystem(conf).getUri().toString():
-        return None
-    moved = []
-    for folder in _month_folders(fs, src_root, len(partition_cols)):
-        rel = folder.toUri().getPath()[len(src_root.toUri().getPath()):].strip("/")
-        dst = path(dst_root, rel)
-        if fs.exists(dst):
-            fs.delete(dst, True)
-        fs.mkdirs(dst.getParent())
-        if not fs.rename(folder, dst):
-            raise IOError(f"could not move {folder} to {dst}")
-        moved.append(rel)
-    return moved
+def clear_month(spark: SparkSession, target: str, values: Sequence[str], schema: StructType,
+                partition_cols=PARTITION_COLUMNS) -> None:
+    """Leave one partition of ``target`` without rows: dynamic overwrite does
+    not touch a partition that the written frame has no row of."""
+    folder = "/".join([target.rstrip("/"), *[f"{k}={v}" for k, v in zip(partition_cols, values)]])
+    inner = StructType([f for f in schema.fields if f.name not in partition_cols])
+    spark.createDataFrame([], inner).write.mode("overwrite").parquet(folder)
 
 
-def gated_publish(df: DataFrame, target: str, strict: bool = True,
-                  spark: SparkSession | None = None) -> list[tuple]:
+def gated_publish(df: DataFrame, target: str, strict: bool = True, months: Sequence[tuple] | None = None,
+                  timestamp_type: str = "ntz", unique_key: Sequence[str] = spec.QUALITY_UNIQUE_KEY) -> list[tuple]:
     """Curated frame -> quality gate -> month replacement in ``target``.
 
-    1. Write once to a staging folder under the shared checkpoint dir; the
-       zero / negative / NULL counts ride along as an ``Observation`` of that
-       same job (no extra pass over the raw data).
-    2. Duplicate-key check on the staged table (reads 7 columns).
-    3. Strict mode raises on any failure; ``target`` is then untouched.
-    4. Promote: the staged month folders replace the target's (a rename per
-       month, no rewrite); across file systems, a dynamic-overwrite copy.
+    1. Checkpoint the frame once in the shared checkpoint folder; Spark's
+       cleaner removes the copy when it is no longer used.
+    2. All checks on that copy.  Strict mode raises on any failure; ``target``
+       is then untouched.
+    3. Dynamic overwrite from the executors replaces the months present.
+       ``months`` (file_year, file_month) names what was processed: a month
+       of those that has no row left is emptied.
     Returns the failing report rows.
     """
-    spark = spark or df.sparkSession
-    staging = scratch_path(spark, "staging")
-    observed, obs, checks = quality.observed_counts(df)
-    write_partitioned(observed, staging, overwrite="static")
-    metrics = obs.get
-    report = quality.schema_checks(df)
-    report += [(chk, col, int(metrics[f"{chk}:{col}"])) for chk, col, _ in checks]
-    staged = read_partitioned(spark, staging, curated_schema())
-    dup = quality.duplicate_report(staged).first()
-    report.append((dup["check"], dup["column"], int(dup["bad_rows"])))
-    bad = [r for r in report if r[2] != 0]
-    if bad and strict:
-        raise quality.QualityError("quality gate failed: " + "; ".join(f"{c}({col})={n}" for c, col, n in bad))
-    if promote_months(spark, staging, target) is None:
-        write_partitioned(staged, target, overwrite="dynamic")
+    staged = df.checkpoint()
+    bad = quality.gate(staged, strict, timestamp_type, unique_key)
+    write_partitioned(staged, target, overwrite="dynamic")
+    if months:
+        present = {tuple(r) for r in staged.select(*PARTITION_COLUMNS).distinct().collect()}  # a row per month
+        for month in months:
+            if tuple(month) not in present:
+                clear_month(df.sparkSession, target, month, staged.schema)
     return bad

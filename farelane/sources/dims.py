@@ -1,37 +1,13 @@
-"""Dimension tables: CSV reader, built-in code tables, size-checked broadcast."""
+"""Dimension tables: CSV reader and built-in code tables."""
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from farelane import spec
 
-# A dimension is broadcast only when it has at most this many rows; beyond
-# it the join stays a shuffle join (AQE may still convert it at run time).
-BROADCAST_MAX_ROWS = 1_000_000
-# Frames built from fixed values, with their row counts (no job needed).
-_KNOWN_ROWS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """``broadcast(dim)`` if ``dim`` provably has <= ``max_rows`` rows.
-
-    ``known_rows`` is for frames built from fixed values (size known without
-    a job).  Otherwise the check reads at most ``max_rows + 1`` rows per
-    partition (a limited count), so it stays cheap even when ``dim`` is
-    unexpectedly large; beyond the bound the join stays a shuffle join.
-    """
-    if known_rows is None:
-        known_rows = _KNOWN_ROWS.get(dim)
-    n = known_rows if known_rows is not None else dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 CSV_SCHEMAS = {
     "payment_type": StructType([StructField("payment_type", IntegerType()),
                                 StructField("payment_type_desc", StringType())]),
@@ -55,6 +31,7 @@ def read_csv_dim(spark: SparkSession, path: str, schema: StructType | str) -> Da
           .option("ignoreLeadingWhiteSpace", True)
           .option("ignoreTrailingWhiteSpace", True)
           .option("mode", "PERMISSIVE")
+          .option("escape", '"')
           .csv(path))
     return df.select(*[F.trim(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType)
                        else F.col(f.name) for f in df.schema.fields])
@@ -68,14 +45,9 @@ def read_lookup_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]
 
 
 def code_tables(spark: SparkSession) -> dict[str, DataFrame]:
-    """The three small code dimensions from their fixed values (their row
-    count is known, so the broadcast size check needs no job)."""
-    out = {}
-    for name, rows in (("payment_type", spec.PAYMENT_TYPES), ("ratecode", spec.RATECODES),
-                       ("trip_type", spec.TRIP_TYPES)):
-        out[name] = spark.createDataFrame(list(rows), CSV_SCHEMAS[name])
-        _KNOWN_ROWS[out[name]] = len(rows)
-    return out
+    """The three small code dimensions from their fixed values."""
+    return {name: spark.createDataFrame(list(rows), CSV_SCHEMAS[name]) for name, rows in (
+        ("payment_type", spec.PAYMENT_TYPES), ("ratecode", spec.RATECODES), ("trip_type", spec.TRIP_TYPES))}
 
 
 def zone_from_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,9 +72,11 @@ def write_lookup_csv(df: DataFrame, path: str, quote_strings: bool = True, trail
     (one file per partition, each with its header), with separator and quote
     characters that never occur in the text, so each line is written as is.
     """
-    def render(f):
+    def render(f):  # NULL is an empty field; a quote inside a value is doubled
         v = F.col(f.name).cast("string")
-        return F.concat(F.lit('"'), v, F.lit('"')) if quote_strings and isinstance(f.dataType, StringType) else v
+        if quote_strings and isinstance(f.dataType, StringType):
+            v = F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.coalesce(v, F.lit(""))
     body = F.concat_ws(", ", *[render(f) for f in df.schema.fields])
     if trailing_sep:
         body = F.concat(body, F.lit(","))

@@ -3,9 +3,7 @@ file provenance and partition-pruned reads of the curated table."""
 
 from __future__ import annotations
 
-import re
 from collections import OrderedDict
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Iterable, Sequence
 
@@ -45,8 +43,9 @@ def write_month_files(df: DataFrame, folder: str, vehicle: str,
 
 
 def month_glob(folder: str, vehicle: str, year: str = "*", month: str = "*") -> str:
-    """Glob matching monthly raw files (plain files or Spark output folders)."""
-    return f"{folder.rstrip('/')}/*{vehicle}_tripdata_{year}-{month}.parquet"
+    """Glob matching monthly raw files (plain files or Spark output folders)
+    of this vehicle, and no file whose name merely ends like one."""
+    return f"{folder.rstrip('/')}/{{,raw_file=}}{vehicle}_tripdata_{year}-{month}.parquet"
 
 
 # -- reading ----------------------------------------------------------------------
@@ -77,17 +76,22 @@ def with_file_month(df: DataFrame, pattern: str = spec.FILE_MONTH_PATTERN,
     return df.withColumns({year_col: F.substring(ym, 1, 4), month_col: F.substring(ym, 6, 2)})
 
 
-def input_months(df: DataFrame, pattern: str = spec.FILE_MONTH_PATTERN) -> "OrderedDict[tuple, list]":
-    """Month manifest of a scan from its file listing (metadata only, no
-    data is read): {(yyyy, mm): [paths]} sorted by month."""
-    rx = re.compile(pattern)
-    months: dict[tuple, list] = {}
-    for p in df.inputFiles():
-        m = rx.search(p)
-        if m:
-            year, month = m.group(1).split("-")
-            months.setdefault((year, month), []).append(p)
-    return OrderedDict(sorted(months.items()))
+def file_listing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``path`` of every file below ``paths``; no file is opened (the binary
+    source reads contents only when that column is asked for)."""
+    return spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths)).select("path")
+
+
+def listed_months(listing: DataFrame, pattern: str = spec.FILE_MONTH_PATTERN) -> DataFrame:
+    """Distinct ``(file_year, file_month)`` of a listing's file names."""
+    ym = F.regexp_extract(F.substring_index("path", "/", -2), pattern, 1)
+    return (listing.select(ym.alias("ym")).where("ym <> ''").distinct()
+                   .select(F.substring("ym", 1, 4).alias("file_year"), F.substring("ym", 6, 2).alias("file_month")))
+
+
+def months_of(spark: SparkSession, folder: str, vehicle: str) -> list[tuple[str, str]]:
+    """Months with raw files, in order.  Only one row per month reaches the driver."""
+    return sorted(tuple(r) for r in listed_months(file_listing(spark, month_glob(folder, vehicle))).collect())
 
 
 # -- schema reconcile ------------------------------------------------------------------
@@ -132,29 +136,45 @@ def reconcile(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [aligned(f) for f in frames])
 
 
+def mergeable_scans(spark: SparkSession, paths: Sequence[str]) -> "list[tuple[list[str], StructType]]":
+    """Cut ``paths`` into lists that Spark can merge into one schema, with
+    those schemas.  Every footer counts: Spark merges them in its tasks.  Only
+    where types conflict are the paths halved, down to single files, so the
+    number of merges follows the number of changes, not of files."""
+    paths = list(paths)
+    try:
+        return [(paths, read_months(spark, paths).schema)]
+    except Exception as exc:  # the class differs between Spark's front ends
+        if "CANNOT_MERGE" not in str(exc):
+            raise
+    if len(paths) == 1:  # one month whose files differ
+        found = sorted(r.path for r in file_listing(spark, paths).collect() if r.path.endswith(".parquet"))
+        if found == paths or len(found) < 2:
+            raise ValueError(f"cannot merge the schemas below {paths[0]}")
+        paths = found
+    half = len(paths) // 2
+    return mergeable_scans(spark, paths[:half]) + mergeable_scans(spark, paths[half:])
+
+
 def read_reconciled(spark: SparkSession, paths: str | Sequence[str], provenance: bool = True) -> DataFrame:
-    """Read monthly files whose schemas drifted: months are grouped by their
-    footer schema (one footer per month, read concurrently by the driver --
-    metadata only, no data), each group is read with one scan (plus file
-    provenance), and the groups are reconciled."""
-    probe = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
-    months = list(input_months(probe).values())
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        schemas = list(pool.map(lambda files: spark.read.parquet(files[0]).schema.json(), months))
-    groups: "OrderedDict[str, list]" = OrderedDict()
-    for schema, files in zip(schemas, months):
-        groups.setdefault(schema, []).extend(files)
-    scans = [spark.read.parquet(*files) for files in groups.values()]
+    """Read monthly files whose schemas drifted: one scan per group of files
+    that merge, reconciled by name with widened types.  Without drift this is
+    one merged scan."""
+    groups: "OrderedDict[str, tuple[StructType, list[str]]]" = OrderedDict()
+    for part, schema in mergeable_scans(spark, [paths] if isinstance(paths, str) else paths):
+        groups.setdefault(schema.json(), (schema, []))[1].extend(part)
+    scans = [read_months(spark, part, schema=schema) for schema, part in groups.values()]
     if provenance:
         scans = [with_file_month(s) for s in scans]
-    return reconcile(scans)
+    return scans[0] if len(scans) == 1 else reconcile(scans)
 
 
 # -- curated table ----------------------------------------------------------------------
 
-def curated_schema(layout=spec.CURATED_COLUMNS) -> str:
+def curated_schema(layout=spec.CURATED_COLUMNS, timestamp_type: str = "ntz") -> str:
     """DDL schema of the curated table (partition columns stay strings)."""
-    return ", ".join(f"{dst} {'timestamp_ntz' if t == 'timestamp' else t}" for _, dst, t in layout)
+    stamp = "timestamp_ntz" if timestamp_type == "ntz" else "timestamp"
+    return ", ".join(f"{dst} {stamp if t == 'timestamp' else t}" for _, dst, t in layout)
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: StructType | str | None = None,

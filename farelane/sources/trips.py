@@ -59,6 +59,13 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ln == 2, F.lit(None)).when(F.col("l_returnflag") == "R", F.lit("Y"))
          .otherwise(F.lit("N")).alias("store_and_fwd_flag"),
         _null_when(ok % 11 == 0, ln % 2 + 1).cast("bigint").alias("trip_type"),
+        _null_when(ln == 4, (pk % 3) * 0.5).alias("extra"),
+        _null_when(sk % 10 == 0, F.lit(0.5)).alias("mta_tax"),
+        _null_when(ok % 9 == 0, F.lit(0.25)).alias("improvement_surcharge"),
+        _null_when(pk % 7 == 0, (ln % 2) * 2.5).alias("congestion_surcharge"),
+        _null_when(ok % 19 == 0, F.when(sk % 4 == 0, 1.75).otherwise(0.0)).alias("Airport_fee"),
+        _null_when(ok % 23 == 0, (pk % 5) * 0.25).alias("ehail_fee"),
+        _null_when(ln == 5, F.when(pk % 2 == 1, 0.75).otherwise(0.0)).alias("cbd_congestion_fee"),
         ok.alias("l_orderkey"), pk.alias("l_partkey"), sk.alias("l_suppkey"),
     )
 
@@ -70,24 +77,18 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok = F.col("l_orderkey")
     original = t0.withColumn("copy_no", F.lit(0))
     reversal = (t0.filter(ok % 50 == 0)
-                  .withColumns({"fare_amount": -F.col("fare_amount"),
-                                "tip_amount": -F.col("tip_amount"),
-                                "tolls_amount": -F.col("tolls_amount"),
-                                "copy_no": F.lit(1)}))
+                  .withColumns({"copy_no": F.lit(1), **{x: -F.col(x) for x in spec.TOTAL_COMPONENTS}}))
     duplicate = (t0.filter(ok % 40 == 1)
                    .withColumns({"tip_amount": F.lit(None).cast("double"), "copy_no": F.lit(2)}))
     return original.unionByName(reversal).unionByName(duplicate)
 
 
-_NULL_CHARGES = ("extra", "mta_tax", "improvement_surcharge", "congestion_surcharge")
-
-
 def _raw_total() -> Column:
     return F.col("fare_amount") + F.col("tip_amount") + F.col("tolls_amount")
 
 
-def flavour_a_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yellow-shaped raw records (tpep_* names, airport fee, no trip type)."""
+def flavour_a_raw(spark: SparkSession, sf_dir: str, cbd: bool = False) -> DataFrame:
+    """Yellow-shaped raw records (tpep_* names, airport fee; no trip type, e-hail or CBD fee)."""
     t = raw_trips(spark, sf_dir)
     return t.select(
         "VendorID",
@@ -95,11 +96,8 @@ def flavour_a_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("dropoff_datetime").alias("tpep_dropoff_datetime"),
         "passenger_count", "trip_distance", "RatecodeID", "store_and_fwd_flag",
         "PULocationID", "DOLocationID", "payment_type", "fare_amount",
-        *[F.lit(None).cast("double").alias(x) for x in _NULL_CHARGES[:2]],
-        "tip_amount", "tolls_amount",
-        *[F.lit(None).cast("double").alias(x) for x in _NULL_CHARGES[2:]],
-        _raw_total().alias("total_amount"),
-        F.lit(None).cast("double").alias("Airport_fee"),
+        "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge",
+        _raw_total().alias("total_amount"), "Airport_fee", *(["cbd_congestion_fee"] if cbd else []),
         "file_year", "file_month", *IDENTITY)
 
 
@@ -112,14 +110,9 @@ def flavour_b_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("dropoff_datetime").alias("lpep_dropoff_datetime"),
         "store_and_fwd_flag", "RatecodeID", "PULocationID", "DOLocationID",
         "passenger_count", "trip_distance", "fare_amount",
-        *[F.lit(None).cast("double").alias(x) for x in _NULL_CHARGES[:2]],
-        "tip_amount", "tolls_amount",
-        F.lit(None).cast("double").alias("ehail_fee"),
-        F.lit(None).cast("double").alias("improvement_surcharge"),
+        "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee", "improvement_surcharge",
         _raw_total().alias("total_amount"),
-        "payment_type", "trip_type",
-        F.lit(None).cast("double").alias("congestion_surcharge"),
-        F.lit(None).cast("double").alias("cbd_congestion_fee"),
+        "payment_type", "trip_type", "congestion_surcharge", "cbd_congestion_fee",
         "file_year", "file_month", *IDENTITY)
 
 
@@ -183,15 +176,12 @@ def land_vintages(spark: SparkSession, sf_dir: str, kind: str) -> str:
 
     def build():
         folder = scratch_path(spark, f"vintage-{kind}") + "/" + TRAP_FOLDER
-        raw = flavour_a_raw(spark, sf_dir)
+        raw = flavour_a_raw(spark, sf_dir, cbd=kind == "columns")
         y = F.col("file_year").cast("int")
         if kind == "columns":
-            raw = raw.withColumn("Airport_fee", F.when(F.col("l_suppkey") % 4 == 0, F.lit(1.75)).otherwise(F.lit(0.0)))
-            old = raw.filter(y < COLUMN_VINTAGE_YEAR).withColumnRenamed("Airport_fee", "airport_fee")
-            new = (raw.filter(y >= COLUMN_VINTAGE_YEAR)
-                      .withColumn("cbd_congestion_fee",
-                                  F.when(F.col("l_partkey") % 2 == 1, F.lit(0.75)).otherwise(F.lit(0.0))))
-            parts = [old, new]
+            old = (raw.filter(y < COLUMN_VINTAGE_YEAR).drop("cbd_congestion_fee")
+                      .withColumnRenamed("Airport_fee", "airport_fee"))
+            parts = [old, raw.filter(y >= COLUMN_VINTAGE_YEAR)]
         else:
             a, b = TYPE_VINTAGE_YEARS
             parts = [raw.filter(y < a).withColumns({"VendorID": F.col("VendorID").cast("int"),

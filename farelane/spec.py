@@ -27,18 +27,6 @@ STRICT_TOTAL_COMPONENTS = (
     "improvement_surcharge", "congestion_surcharge", "Airport_fee",
 )
 
-# A charge and its reversal share these six values.
-REVERSAL_KEYS = (
-    "VendorID", "pickup_datetime", "dropoff_datetime",
-    "PULocationID", "DOLocationID", "trip_distance",
-)
-
-# Duplicate trips share these seven values.
-DEDUP_KEYS = (
-    "VendorID", "pickup_datetime", "dropoff_datetime",
-    "trip_distance", "fare_amount", "PULocationID", "DOLocationID",
-)
-
 # Charges whose NULL becomes 0.
 ZERO_FILL_COLUMNS = (
     "trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount",
@@ -202,6 +190,10 @@ class TripColumns:
     total_components: tuple = TOTAL_COMPONENTS
     zero_fill: tuple = ZERO_FILL_COLUMNS
     code_defaults: dict = field(default_factory=lambda: dict(CODE_DEFAULTS))
+    # Further keys of pairs and duplicates.  Empty: they are searched in all
+    # rows of a load.  File year and month: inside each monthly file only, so
+    # that the result does not depend on which months are loaded together.
+    scope: tuple = ()
     # Total order for keep-best ties after total_amount desc.  ``None`` means
     # "every other column", which is deterministic for any input.
     tiebreak: tuple | None = None
@@ -209,12 +201,15 @@ class TripColumns:
     @property
     def reversal_keys(self) -> tuple:
         return (self.vendor, self.pickup, self.dropoff, self.pu_location,
-                self.do_location, self.distance)
+                self.do_location, self.distance, *self.scope)
 
     @property
     def dedup_keys(self) -> tuple:
         return (self.vendor, self.pickup, self.dropoff, self.distance,
-                self.fare, self.pu_location, self.do_location)
+                self.fare, self.pu_location, self.do_location, *self.scope)
+
+    def by_month(self) -> "TripColumns":
+        return self.with_(scope=(self.file_year, self.file_month))
 
     def with_(self, **kw) -> "TripColumns":
         return replace(self, **kw)

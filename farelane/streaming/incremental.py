@@ -10,8 +10,11 @@ from all of its files), curates, gates and publishes them.  Re-running a
 month is idempotent.  Progress lives in a checkpoint under the shared
 checkpoint folder, so a restarted job continues where it stopped.
 
-Duplicate and reversal detection is scoped to the months a batch rebuilds
-(raw files are monthly, and both copies of a trip land in the same file).
+Pairs and duplicates are searched inside each file month
+(:meth:`farelane.spec.TripColumns.by_month`): what a batch holds must not
+change the rows.  A batch load searches all the months that it loads unless
+its columns are scoped the same way, so a charge and its reversal that lie in
+files of different months are a pair there and not here.
 """
 
 from __future__ import annotations
@@ -19,34 +22,34 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from farelane import spec
 from farelane.sinks.parquet import gated_publish
-from farelane.sources.files import month_glob, read_months, with_file_month
+from farelane.sources.files import listed_months, month_glob
+from farelane.sources.runmodes import read_selected
+from farelane.spec import DEFAULT_COLUMNS, TripColumns
 
 
 def run_incremental(spark: SparkSession, folder: str, vehicle: str, target: str, checkpoint: str,
-                    curate_fn: Callable[[DataFrame], DataFrame], files_per_batch: int = 0,
-                    strict: bool = False) -> list:
-    """Process all raw files not yet seen; returns the per-batch gate failures."""
-    glob = month_glob(folder, vehicle)
-    schema = read_months(spark, glob).schema
-    reader = spark.readStream.schema(schema)
+                    curate_fn: Callable[[DataFrame, TripColumns], DataFrame],
+                    cols: TripColumns = DEFAULT_COLUMNS, files_per_batch: int = 0, strict: bool = False) -> list:
+    """Process all raw files not yet seen; returns the per-batch gate failures.
+
+    ``curate_fn`` gets the raw rows of whole months and ``cols`` scoped to the
+    file month.  The stream carries file names only, so files of any schema
+    vintage pass."""
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    stream = reader.parquet(glob).select(F.col("_metadata.file_path").alias("path"))
+    stream = reader.load(month_glob(folder, vehicle)).select("path")
     failures: list = []
 
     def rebuild_months(batch: DataFrame, epoch_id: int) -> None:
-        # months touched by this batch: at most one row per file month
-        ym = F.regexp_extract(F.substring_index("path", "/", -2), spec.FILE_MONTH_PATTERN, 1)
-        months = [r.ym for r in batch.select(ym.alias("ym")).where("ym != ''").distinct().collect()]
-        if not months:
-            return
-        paths = [month_glob(folder, vehicle, m[:4], m[5:]) for m in sorted(months)]
-        curated = curate_fn(with_file_month(read_months(spark, paths)))
-        failures.extend((epoch_id,) + tuple(r) for r in gated_publish(curated, target, strict=strict))
+        months = sorted(tuple(r) for r in listed_months(batch).collect())  # months touched by this batch
+        if months:
+            curated = curate_fn(read_selected(spark, folder, vehicle, months), cols.by_month())
+            failures.extend((epoch_id,) + tuple(r) for r in gated_publish(
+                curated, target, strict, months, unique_key=(*spec.QUALITY_UNIQUE_KEY, "file_year", "file_month")))
 
     query = (stream.writeStream.foreachBatch(rebuild_months)
              .option("checkpointLocation", checkpoint)

@@ -84,20 +84,82 @@ def test_lookup_csv_quirks(spark):
     assert sorted(tuple(r) for r in back.collect()) == [(1, "JFK", "NA"), (99, "N/A", "x")]
 
 
-def test_gated_publish_replaces_months_by_moving_folders(spark):
-    from farelane.plans import quality
-    from farelane.sources.files import curated_schema
+def curated_frame(spark, rows):
+    cols = [c.split()[0] for c in files.curated_schema().split(", ")]
+    out = []
+    for fy, fm, vendor in rows:
+        r = dict({c: None for c in cols}, file_year=fy, file_month=fm, vendor_id=vendor)
+        out.append(tuple(r[c] for c in cols))
+    return spark.createDataFrame(out, files.curated_schema())
+
+
+def test_publish_empties_a_processed_month_without_rows(spark):
     target = scratch_path(spark, "t")
-    cols = [c.split()[0] for c in curated_schema().split(", ")]
+    sink.gated_publish(curated_frame(spark, [("2024", "01", 1), ("2024", "02", 2)]), target, strict=False)
+    # February is processed again and loses all its rows; January is not processed
+    sink.gated_publish(curated_frame(spark, []), target, strict=False, months=[("2024", "02")])
+    back = files.read_partitioned(spark, target, files.curated_schema())
+    assert [(r.file_month, r.vendor_id) for r in back.collect()] == [("01", 1)]
+    # a strict gate on nothing passes, and a month that never existed stays empty
+    assert sink.gated_publish(curated_frame(spark, []), target, strict=True, months=[("2024", "03")]) == []
+    assert back.count() == 1
+
+
+def test_no_folder_but_the_checkpoint_without_a_shared_one(spark, monkeypatch):
+    from farelane import session
+
+    class Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
 
-    def frame(rows):
-        base = {c: None for c in cols}
-        out = []
-        for fy, fm, vendor in rows:
-            r = dict(base, file_year=fy, file_month=fm, vendor_id=vendor)
-            out.append(tuple(r[c] for c in cols))
-        return spark.createDataFrame(out, curated_schema())
 
+def test_other_files_and_blanks_in_paths(spark):
+    root = scratch_path(spark, "a b")
+    _land(spark, root, [(1, "2024", "01"), (2, "2024", "02")], "id int, file_year string, file_month string")
+    one = spark.createDataFrame([(9,)], "id int")
+    one.write.parquet(f"{root}/bak_yellow_tripdata_2024-01.parquet")
+    one.write.parquet(f"{root}/green_tripdata_2024-05.parquet")
+    assert files.months_of(spark, root, "yellow") == [("2024", "01"), ("2024", "02")]
+    for mode, n, want in (("full_load", 0, [1, 2]), ("past_months", 1, [2])):
+        assert sorted(r.id for r in runmodes.select_months(spark, root, "yellow", mode, n).collect()) == want
+
+
+def test_every_footer_of_a_month_counts(spark):
+    root = scratch_path(spark, "t")
+    _land(spark, root, [(1, "2024", "01")], "id int, file_year string, file_month string")
+    month = f"{root}/raw_file=yellow_tripdata_2024-01.parquet"
+    spark.createDataFrame([(2, "x")], "id int, extra string").write.mode("append").parquet(month)
+    got = files.read_reconciled(spark, files.month_glob(root, "yellow"))
+    assert sorted((r.id, r.extra) for r in got.collect()) == [(1, None), (2, "x")]
+    # files of one month whose types conflict are told apart too
+    spark.createDataFrame([(3.5, "y")], "id double, extra string").write.mode("append").parquet(month)
+    got = files.read_reconciled(spark, files.month_glob(root, "yellow"))
+    assert sorted((r.id, r.extra or "", r.file_month) for r in got.collect()) == [(1.0, "", "01"), (2.0, "x", "01"), (3.5, "y", "01")]
+
+
+def test_csv_keeps_nulls_and_quotes_in_place(spark):
+    src = spark.createDataFrame([(1, None, "z"), (2, 'a "b", c', None)], "code int, name string, note string")
+    path = dims.write_lookup_csv(src, scratch_path(spark, "csv"))
+    got = {r.code: (r.name, r.note) for r in dims.read_csv_dim(spark, path, "code int, name string, note string").collect()}
+    assert got == {1: (None, "z"), 2: ('a "b", c', None)}
+
+
+def test_gated_publish_replaces_months(spark):
+    from farelane.plans import quality
+    from farelane.sources.files import curated_schema
+    target = scratch_path(spark, "t")
+    frame = lambda rows: curated_frame(spark, rows)
     sink.gated_publish(frame([("2024", "01", 1), ("2024", "02", 2)]), target, strict=False)
     sink.gated_publish(frame([("2024", "02", 3), ("2024", "02", 4)]), target, strict=False)
     back = files.read_partitioned(spark, target, curated_schema())

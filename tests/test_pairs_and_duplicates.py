@@ -4,7 +4,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from farelane.operators import dedup
-from farelane.plans.curate import _remove_pairs_and_duplicates
+from comparison_plans import apply as _remove_pairs_and_duplicates
 from farelane.spec import DEFAULT_COLUMNS
 
 T0 = dt.datetime(2024, 1, 1, 10, 0)

@@ -37,3 +37,26 @@ def test_profile_wide_and_long(spark):
     long = {(r.column, r.check): r.bad_rows for r in profile.profile_long(df, ["x"]).collect()}
     assert long == {("x", "negative"): 1, ("x", "zero"): 1}
     assert F is not None
+
+
+def test_null_group_hot_value_and_no_exchange_reuse(spark):
+    rows = [(None if i % 4 == 0 else "a", 5.0 if i % 3 == 0 else float(i % 701)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r.g: r for r in profile.boxplot_stats(df, ["g"], "v").collect()}
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert set(got) == {None, "a"}
+    for g, r in got.items():
+        x = np.array([v for k, v in rows if k == g])
+        q1, q2, q3 = np.quantile(x, [.25, .5, .75])
+        assert (r.n, r.min, r.max) == (len(x), x.min(), x.max())
+        assert np.allclose([r.q1, r.median, r.q3], [q1, q2, q3])
+        assert r.n_outliers == ((x < q1 - 1.5 * (q3 - q1)) | (x > q3 + 1.5 * (q3 - q1))).sum()
+
+
+def test_sample_does_not_depend_on_the_layout(spark):
+    df = spark.range(20000).select(F.col("id"), (F.col("id") % 7).alias("x"))
+    a, b = (sorted(r.id for r in profile.sample_rows(d, ["id"], 3).collect()) for d in (df.repartition(1), df.repartition(9, "x")))
+    assert a == b and 450 < len(a) < 750

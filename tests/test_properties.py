@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from farelane.plans import profile
-from farelane.plans.curate import _remove_pairs_and_duplicates
+from comparison_plans import apply as _remove_pairs_and_duplicates
 from farelane.spec import DEFAULT_COLUMNS
 
 T = [dt.datetime(2024, 1, 1, 10, 0), dt.datetime(2024, 1, 1, 10, 5), None]

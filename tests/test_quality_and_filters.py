@@ -41,3 +41,13 @@ def test_impute_codes_and_passengers(spark):
     out = clean.impute_codes(clean.impute_passengers(df)).collect()
     assert tuple(out[0]) == (1, 264, 264, 99, "N", 5, 3)
     assert tuple(out[1]) == (1, 5, 6, 1, "Y", 2, 3)
+
+
+def test_charges_under_any_spelling_count(spark):
+    from farelane.operators import harmonize
+    df = spark.createDataFrame([(10.0, 1.25, 1)], "fare_amount double, airport_fee double, passenger_count int")
+    out = clean.impute_zero(clean.recompute_total(harmonize.canonical(df)).withColumn("trip_distance", clean.F.lit(None).cast("double")))
+    r = out.first()
+    assert (r.total_amount, r.Airport_fee, r.cbd_congestion_fee, r.trip_distance) == (11.25, 1.25, 0.0, 0.0)
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):  # an absent component is an error, never left out
+        clean.recompute_total(df.select("fare_amount")).collect()
