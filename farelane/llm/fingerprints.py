@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TOKEN_CHARS, TOKENS, INNER = 8, 6, 5
+TOKEN_CHARS, TOKENS, INNER = 4, 6, 5
 #: Rows that one group of neighbouring ids holds, and the groups at most (more rows then share one).
 GROUP_ROWS, GROUPS = 4000, 10_000
 

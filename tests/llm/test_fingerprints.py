@@ -34,7 +34,7 @@ def test_anchors_are_closed_syncmers(spark):
     text = " ".join(rng.choice("abcdefgh") * rng.randrange(1, 20) for _ in range(300))
     df = spark.createDataFrame([(text,)], "text string")
     r = P.with_positions(P.with_fingerprint(df, "text", "fp"), "text", "at").first()
-    tokens = [w[i:i + 8] for w in text.split() for i in range(0, len(w), 8)]
+    tokens = [w[i:i + P.TOKEN_CHARS] for w in text.split() for i in range(0, len(w), P.TOKEN_CHARS)]
     one = dict(spark.createDataFrame([(t,) for t in set(tokens)], "t string").select("t", F.xxhash64("t")).collect())
     pairs = {(a, b) for a, b in zip(tokens, tokens[1:])}
     two = {(x.a, x.b): x.h for x in spark.createDataFrame([(a, b, one[a], one[b]) for a, b in pairs], "a string, b string, x long, y long")
