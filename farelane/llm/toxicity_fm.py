@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import saved, small_batches, worker_cache
 
-SAMPLE_ROWS = 40_000
+SAMPLE_ROWS = 30_000
 BUCKETS = 1 << 20
 BUCKETS_KEPT = 4096
 MIN_CHI2 = 12.0
