@@ -9,7 +9,8 @@ either alone.
 Learning takes a bounded sample of labelled rows, SAMPLE_ROWS at most (those
 with the smallest hash of their id), small enough to broadcast.  Of these, the
 BUCKETS_KEPT buckets that differ most between the classes (chi-square, at
-least MIN_CHI2) enter the machine.  Scoring covers every row's whole text.
+least MIN_CHI2) enter the machine, if their odds differ by a factor of
+MIN_ODDS: a smaller one only says how long the texts are.  Scoring covers every row's whole text.
 
 Defined results: NULL text counts as empty; a text without terms in the
 machine has the score of its bias.  Without labelled rows of both classes,
@@ -35,9 +36,9 @@ from .common import saved, small_batches, worker_cache
 SAMPLE_ROWS = 30_000
 BUCKETS = 1 << 20
 BUCKETS_KEPT = 4096
-MIN_CHI2 = 12.0
+MIN_CHI2, MIN_ODDS = 25.0, 3.0
 FACTORS = 4
-EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.05, 1e-5
+EPOCHS, BATCH, RATE, DECAY = 12, 256, 0.03, 1e-4
 CACHE_WORDS = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -172,8 +173,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
     a, b, total = F.col("n1"), F.col("n0"), float(n0 + n1)
     chi2 = total * F.pow(a * F.lit(float(n0)) - b * F.lit(float(n1)), 2) / (
         F.lit(float(n0)) * F.lit(float(n1)) * (a + b) * F.greatest(F.lit(total) - a - b, F.lit(0.5)))
+    odds = F.abs(F.log((a + 0.5) / (F.lit(float(n1)) - a + 0.5)) - F.log((b + 0.5) / (F.lit(float(n0)) - b + 0.5)))
     best = (terms.mapInArrow(_counts, "bucket long, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-            .withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "bucket").limit(BUCKETS_KEPT).select("bucket"))
+            .withColumn("chi2", chi2).where((F.col("chi2") >= MIN_CHI2) & (odds >= float(np.log(MIN_ODDS)))).orderBy(F.desc("chi2"), "bucket").limit(BUCKETS_KEPT).select("bucket"))
     buckets = np.array(sorted(r.bucket for r in best.collect()), dtype=np.int64)
     sample = terms.select("label", F.array_intersect("terms", F.lit([int(b) for b in buckets]).cast("array<int>")).alias("terms")
                           if len(buckets) else F.array().cast("array<int>").alias("terms")).toPandas()
