@@ -18,15 +18,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Removes the files of a query's own shuffles as soon as the query has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once below ``spark.checkpoint.dir`` and read back: cuts
     the lineage, survives lost executors and fixes the rows of
     non-deterministic plans."""
-    # the files of this write's own shuffles go as soon as it has ended
-    df.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_path(spark, label), spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
@@ -77,33 +84,45 @@ def shared_cells(cells: DataFrame) -> DataFrame:
     return saved(cells.join(lead, "cell"), "shared")
 
 
-def cell_links(shared: DataFrame, facts: DataFrame, may: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
-               verified: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """Enough links to know the components of all verified pairs that share a
-    cell: ``(a, b)``.
+def cell_components(shared: DataFrame, facts: DataFrame, may: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
+                    plausible: Callable[[DataFrame, str], DataFrame], verified: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Components of all verified pairs that share a cell: ``(id, component)``
+    for every id that has a link.
 
-    First each member is held against its cell's smallest id, which is linear
-    and joins tight groups.  Then pairs of different components are verified:
-    members outside the component of the cell's smallest id against all
-    members.  Links inside one component cannot change it, so none that
-    matters is lost, and no group's pairs are all emitted.
+    Each member is paired with the smallest ids of its cells, which is linear
+    in the members.  Of those pairs, first one a member is verified, which
+    joins tight groups; then those whose ends are still apart.  Last, members
+    outside the component of their cell's smallest id are held against all
+    members of the cell in other components.  Links inside one component
+    cannot change it, so none that matters is lost, and no group's pairs are
+    all emitted.
 
-    ``may(a, b)`` says by ``facts`` (id, ...) which pairs to verify; a and b
-    give the columns of either side.
+    ``may(a, b)`` says by ``facts`` (id, ...) which pairs can link; a and b
+    give the columns of either side.  ``plausible`` narrows pairs at little
+    cost, ``verified`` decides.
     """
     names = [c for c in facts.columns if c != "id"]
     side = {s: facts.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in names]) for s in "ab"}
     a, b = (lambda c: F.col(f"a_{c}")), (lambda c: F.col(f"b_{c}"))
     stars = shared.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = verified(stars.join(side["a"], "a").join(side["b"], "b").where(may(a, b)).select("a", "b"), "links")
+    stars = plausible(stars.join(side["a"], "a").join(side["b"], "b").where(may(a, b)).select("a", "b"), "stars")
+    links = verified(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "links")
     comp = saved(components(links), "component")
+    ends = [comp.select(F.col("id").alias(s), F.col("component").alias(f"c{s}")) for s in "ab"]
+    apart = (stars.join(ends[0], "a", "left").join(ends[1], "b", "left")
+             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+    more = verified(apart, "links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        comp = saved(components(links), "component")
     named = saved(shared.join(comp, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
                   .join(comp.select(F.col("id").alias("lead"), F.col("component").alias("lc")), "lead", "left")
                   .withColumn("lc", F.coalesce("lc", "lead")), "named")
-    apart = named.join(named.where("c <> lc").select("cell").distinct(), "cell", "left_semi")
-    x = apart.where("c <> lc").select("cell", F.col("id").alias("a"), F.col("c").alias("ca")).join(side["a"], "a")
-    y = apart.where("id <> lead").select("cell", F.col("id").alias("b"), F.col("c").alias("cb"),
+    mixed = named.join(named.where("c <> lc").select("cell").distinct(), "cell", "left_semi")
+    x = mixed.where("c <> lc").select("cell", F.col("id").alias("a"), F.col("c").alias("ca")).join(side["a"], "a")
+    y = mixed.where("id <> lead").select("cell", F.col("id").alias("b"), F.col("c").alias("cb"),
                                          (F.col("c") == F.col("lc")).alias("main")).join(side["b"], "b")
     rest = (x.join(y, "cell").where((F.col("ca") != F.col("cb")) & (F.col("main") | (F.col("a") < F.col("b"))) & may(a, b))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return links.unionByName(verified(rest, "more"))
+    last = verified(plausible(rest, "rest"), "links")
+    return comp if last.isEmpty() else saved(components(links.unionByName(last)), "component")

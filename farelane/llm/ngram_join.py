@@ -10,19 +10,18 @@ documents agree in at least one whole cell (pigeonhole): equal cells give the
 candidates, and no link is lost.  A document near the end of its band also
 sends the cells of the next band.
 
-Equal sets meet first, by a 128-bit set hash, and only one of each goes on.
-Candidates are verified exactly on the shingle hashes.  First each member of
-a cell is held against the cell's smallest id; that is linear, and joins
-tight groups.  Then pairs of different components that share a cell are
-verified too, those that length and a 512-bit parity sketch cannot rule out.
-Links inside one component cannot change it, so components are exact without
-emitting all pairs of a group.
+Equal sets are one node, named by the first half of a 128-bit set hash.
+Members of a cell are held against the cell's smallest id, then, where their
+components still differ, against each other (see ``common.cell_components``); so
+components are exact without emitting all pairs of a group.  Lengths and a
+512-bit parity sketch rule out most pairs in the join, a parity sketch as wide
+as the sets need most of the rest, and the shingle hashes decide.
 
 Defined results: NULL or empty text, or text without words, has no shingles
 and links with nothing; with fewer words than a shingle the whole sequence is
-one.  A NULL id links with nothing.  One result row per input row; rows that repeat an id count as copies
-of one document when their sets are equal; if not, the id joins both sets'
-links.  Columns other than the id and the text are ignored.  An empty table
+one.  A NULL id links with nothing.  One result row per input row, repeated
+rows too; rows of one id with different texts are different nodes.  Columns
+other than the id and the text are ignored.  An empty table
 gives no rows.
 """
 
@@ -36,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cell_links, components, saved, shared_cells, small_batches, worker_cache
+from .common import cell_components, saved, shared_cells, small_batches, worker_cache
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Neighbouring band limits; wider bands need fewer cells sent twice but looser bounds.
@@ -77,6 +76,14 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return np.unique(h)
 
 
+def set_hash(s: np.ndarray) -> tuple[int | None, int | None]:
+    """128 bits that name a set of shingle hashes; none for the empty set."""
+    if len(s) == 0:
+        return None, None
+    return (int(np.bitwise_xor.reduce(mix(s)).view(np.int64)),
+            int(np.add.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D))).view(np.int64)))
+
+
 def _word_hasher():
     import xxhash
     table = worker_cache("word_hashes")
@@ -135,8 +142,7 @@ def _sets(id_col: str, text_col: str, width: int, percent: int):
                 seen.clear()
             for text in batch.column(text_col).to_pylist():
                 s = shingle_hashes(hashes(text), width)
-                key = (len(s), int(np.bitwise_xor.reduce(mix(s)).view(np.int64)),
-                       int(np.add.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D))).view(np.int64))) if len(s) else (0, None, None)
+                key = (len(s), *set_hash(s))
                 for to, v in zip((sizes, h1, h2), key):
                     to.append(v)
                 cells.append(None if key in seen or not len(s) else cells_of(s, limits, percent).view(np.int64))
@@ -147,19 +153,58 @@ def _sets(id_col: str, text_col: str, width: int, percent: int):
     return run
 
 
-def _hash_lists(id_col: str, text_col: str, width: int):
+def parity(s: np.ndarray, bits: int) -> np.ndarray:
+    """Parity sketch of a set, as bytes; ``bits`` is a power of two."""
+    at = (mix(s) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little")
+
+
+def width_of(size: int, percent: int) -> int:
+    """Bits of a set's wide sketch: several for each difference allowed."""
+    return 1 << max(9, (8 * most_different(2 * size, percent)).bit_length())
+
+
+def differing(x: np.ndarray, y: np.ndarray) -> int:
+    """Differing bits of two parity sketches; the wider is folded, which keeps
+    it a parity sketch."""
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _hash_lists(text_col: str, width: int, percent: int):
+    """Per node: size, sketches and all hashes; a task sends each node once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _word_hasher()
+        seen: set[int | None] = {None}
         for batch in batches:
-            raw, sketch = [], []
+            ids, raw, sketch, wide = [], [], [], []
             for text in batch.column(text_col).to_pylist():
                 s = shingle_hashes(hashes(text), width)
+                node = set_hash(s)[0]
+                if node in seen:
+                    continue
+                seen.add(node)
+                ids.append(node)
                 raw.append(s.tobytes())
-                bits = np.bincount((mix(s) >> np.uint64(55)).astype(np.int64), minlength=512) & 1
-                sketch.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array([len(r) // 8 for r in raw], pa.int64()),
-                                              pa.array(sketch, pa.list_(pa.int64())), pa.array(raw, pa.binary())],
-                                             names=["id", "n", "sketch", "hashes"])
+                sketch.append(parity(s, 64 * SKETCH_WORDS).view(np.int64))
+                wide.append(parity(s, width_of(len(s), percent)).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array([len(r) // 8 for r in raw], pa.int64()), pa.array(sketch, pa.list_(pa.int64())),
+                 pa.array(wide, pa.binary()), pa.array(raw, pa.binary())], names=["id", "n", "sketch", "wide", "hashes"])
+    return run
+
+
+def _close(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for a, b, n in zip(batch.column("wa"), batch.column("wb"), batch.column("n").to_pylist()):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint8) for v in (a, b))
+                ok.append(differing(x, y) <= most_different(n, percent))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
     return run
 
 
@@ -193,34 +238,35 @@ def similarity_components(docs: DataFrame, percent: int = 90, width: int = 3, id
     keyed = saved(docs.mapInArrow(_sets(id_col, text_col, width, percent),
                                   f"`{id_col}` {kind}, n_shingles long, h1 long, h2 long, cells array<long>"), "sets")
     sets = keyed.drop("cells")
-    # Equal sets: one id stands for all of them.
-    reps = saved(keyed.where(f"cells IS NOT NULL AND `{id_col}` IS NOT NULL").groupBy("h1", "h2", "n_shingles")
-                 .agg(F.min(F.col(id_col).cast("long")).alias("rep")), "reps")
-    once = saved(keyed.where("cells IS NOT NULL").withColumn("rep", F.col(id_col).cast("long"))
-                 .join(reps, ["h1", "h2", "n_shingles", "rep"], "left_semi")
-                 .select(F.col("rep").alias("id"), "cells"), "once")
-    cells = once.select("id", F.explode("cells").alias("cell"))
+    # Copies in other tasks repeat their cells; the node is the same.
+    cells = keyed.where("cells IS NOT NULL").select(F.col("h1").alias("id"), F.explode("cells").alias("cell"))
     shared = shared_cells(cells)
-    involved = shared.select("id").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    lists = saved(texts.join(involved, "id", "left_semi").mapInArrow(
-        _hash_lists("id", "text", width), "id long, n long, sketch array<long>, hashes binary"), "hashes")
+    # One row stands for each node that shares a cell; its text is read again.
+    stands = (sets.where(f"n_shingles > 0 AND `{id_col}` IS NOT NULL").groupBy("h1").agg(F.min(id_col).alias("stand"))
+              .join(shared.select(F.col("id").alias("h1")).distinct(), "h1", "left_semi").select("stand").distinct())
+    texts = docs.select(F.col(id_col).alias("stand"), F.col(text_col).alias("text")).join(stands, "stand", "left_semi")
+    lists = saved(texts.mapInArrow(
+        _hash_lists("text", width, percent), "id long, n long, sketch array<long>, wide binary, hashes binary"), "hashes")
+
+    def plausible(pairs: DataFrame, label: str) -> DataFrame:
+        a = lists.select(F.col("id").alias("a"), F.col("wide").alias("wa"), F.col("n").alias("na"))
+        b = lists.select(F.col("id").alias("b"), F.col("wide").alias("wb"), F.col("n").alias("nb"))
+        return saved(pairs.join(a, "a").join(b, "b").select("a", "b", "wa", "wb", (F.col("na") + F.col("nb")).alias("n"))
+                     .mapInArrow(_close(percent), "a long, b long"), label)
+
     def verified(pairs: DataFrame, label: str) -> DataFrame:
         a = lists.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
         b = lists.select(F.col("id").alias("b"), F.col("hashes").alias("hb"))
         return saved(pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb")
                      .mapInArrow(_linked(percent), "a long, b long"), label)
 
-    links = cell_links(shared, lists.drop("hashes"), lambda x, y: _may_link(x("n"), y("n"), x("sketch"), y("sketch"), percent), verified)
-    whole = components(links).withColumnRenamed("id", "rep")
-    # An id that stands for several sets joins their links, as it is one node.
-    classes = reps.join(whole, "rep", "left").select(
-        "h1", "h2", "n_shingles", F.coalesce("component", "rep").alias("reached"))
-    smallest = (sets.where("n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(F.min(id_col).alias("first"))
-                .join(classes, ["h1", "h2", "n_shingles"]))
-    # a class may hold a copy with an id below its stand-in's
-    least = smallest.groupBy("reached").agg(F.min("first").cast("long").alias("least"))
-    named = smallest.join(least, "reached").select("h1", "h2", "n_shingles", F.least("least", "reached").cast(kind).alias("component_id"))
-    found = sets.where(f"n_shingles > 0 AND `{id_col}` IS NOT NULL").join(named, ["h1", "h2", "n_shingles"]).select(id_col, "n_shingles", "component_id")
+    whole = cell_components(shared, lists.select("id", "n", "sketch"),
+                            lambda x, y: _may_link(x("n"), y("n"), x("sketch"), y("sketch"), percent), plausible, verified)
+    # The smallest document id of each node, then of each component.
+    nodes = sets.where(f"n_shingles > 0 AND `{id_col}` IS NOT NULL").groupBy("h1", "h2").agg(F.min(id_col).alias("first"))
+    reached = nodes.join(whole.withColumnRenamed("id", "h1"), "h1", "left").withColumn("c", F.coalesce("component", "h1"))
+    least = reached.groupBy("c").agg(F.min("first").alias("component_id"))
+    named = reached.join(least, "c").select("h1", "h2", "component_id")
+    found = sets.where(f"n_shingles > 0 AND `{id_col}` IS NOT NULL").join(named, ["h1", "h2"]).select(id_col, "n_shingles", "component_id")
     none = sets.where(f"n_shingles = 0 OR `{id_col}` IS NULL").select(id_col, "n_shingles", F.col(id_col).alias("component_id"))
     return found.unionByName(none)
