@@ -51,7 +51,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), max_bits=None)
     return cleaned.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 
