@@ -8,8 +8,10 @@ on its own six tokens alone, so an edit disturbs only the windows that
 overlap it, and the same passage gives the same anchors wherever it stands.
 
 Defined results: NULL text counts as empty and has no anchors; a text of
-fewer than six tokens has one anchor, of all its tokens.  Two empty
-fingerprints have likeness 1, an empty and another one 0.
+fewer than six tokens has one anchor, of all its tokens; where no window is
+chosen (six to eight tokens), the one with the smallest anchor is.  So only a
+text without tokens has none.  Two empty fingerprints have likeness 1, an
+empty and another one 0.
 """
 
 from __future__ import annotations
@@ -52,8 +54,15 @@ def _anchor(p: str, i: Column) -> Column:
 def _from_pairs(df: DataFrame, p: str, h: str, out: str) -> DataFrame:
     chosen = F.filter(F.transform(F.sequence(F.lit(0), F.size(p) - INNER), lambda i: F.when(_closed(p, i), _anchor(p, i))),
                       lambda x: x.isNotNull())
-    return df.withColumn(out, F.when(F.size(p) >= INNER, F.array_distinct(chosen))
-                         .when(F.size(h) > 0, F.array(F.hash(F.col(h)))).otherwise(F.array().cast("array<int>")))
+    df = df.withColumn(out, F.when(F.size(p) >= INNER, F.array_distinct(chosen))
+                       .when(F.size(h) > 0, F.array(F.hash(F.col(h)))).otherwise(F.array().cast("array<int>")))
+    return df.withColumn(out, F.when((F.size(out) == 0) & (F.size(p) >= INNER), F.array(_least(p)["anchor"])).otherwise(F.col(out)))
+
+
+def _least(p: str) -> Column:
+    """The window with the smallest anchor (anchor, position)."""
+    return F.array_min(F.transform(F.sequence(F.lit(0), F.size(p) - INNER),
+                                   lambda i: F.struct(_anchor(p, i).alias("anchor"), i.alias("position"))))
 
 
 def with_positions(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -62,11 +71,13 @@ def with_positions(df: DataFrame, text: str, out: str) -> DataFrame:
     h, p = f"_{out}_h", f"_{out}_p"
     df = df.withColumn(h, F.transform(F.regexp_extract_all(F.col(text), F.lit(r"(\S{1,%d})" % TOKEN_CHARS)), lambda t: F.xxhash64(t)))
     df = _pairs(df, h, p)
-    return df.withColumn(out, F.when(F.size(p) >= INNER, F.transform(
+    df = df.withColumn(out, F.when(F.size(p) >= INNER, F.transform(
         F.filter(F.sequence(F.lit(0), F.size(p) - INNER), lambda i: _closed(p, i)),
         lambda i: F.struct(i.alias("position"), _anchor(p, i).alias("anchor")))).when(
         F.size(h) > 0, F.array(F.struct(F.lit(0).alias("position"), F.hash(F.col(h)).alias("anchor")))).otherwise(
-        F.array().cast("array<struct<position:int,anchor:int>>"))).drop(h, p)
+        F.array().cast("array<struct<position:int,anchor:int>>")))
+    one = F.array(F.struct(_least(p)["position"].alias("position"), _least(p)["anchor"].alias("anchor")))
+    return df.withColumn(out, F.when((F.size(out) == 0) & (F.size(p) >= INNER), one).otherwise(F.col(out))).drop(h, p)
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -74,3 +74,15 @@ def test_groups_of_ids(spark):
     bounds = sorted(random.Random(1).sample(range(1000), 50))
     df = spark.range(1000).select("id", P._group(F.col("id"), bounds).alias("g"))
     assert all(r.g == sum(b <= r.id for b in bounds) for r in df.collect())
+
+
+def test_a_text_with_a_token_has_an_anchor(spark):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=rng.randrange(1, 5))) for _ in range(n)) for n in range(1, 12) for _ in range(60)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = P.with_positions(P.with_fingerprint(df, "text", "fp"), "text", "at").collect()
+    assert all(r.fp and list(dict.fromkeys(x.anchor for x in r["at"])) == r.fp for r in rows)
+    assert all(0 <= x.position <= max(0, len(r.text.split()) - P.TOKENS) for r in rows for x in r["at"])
+    both = spark.createDataFrame([(a, b) for a, b in zip(texts[300:480:2], texts[301:480:2])], "a string, b string")
+    both = P.with_fingerprint(P.with_fingerprint(both, "a", "fa"), "b", "fb").where("a <> b")
+    assert both.where(P.likeness(F.col("fa"), F.col("fb")) == 1).isEmpty()
