@@ -7,6 +7,11 @@ hashes lies at its first or last place.  Whether a window is chosen depends
 on its own six tokens alone, so an edit disturbs only the windows that
 overlap it, and the same passage gives the same anchors wherever it stands.
 
+Limit: tokens are cut on a grid from the start of each run of non-space.  In
+scripts without spaces and in long unspaced strings, a character put in or
+taken out moves all later cuts of the run, and a passage inside a run keeps
+its anchors only where its place differs by a multiple of TOKEN_CHARS.
+
 Defined results: NULL text counts as empty and has no anchors; a text of
 fewer than six tokens has one anchor, of all its tokens; where no window is
 chosen (six to eight tokens), the one with the smallest anchor is.  So only a
