@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from farelane import spec
@@ -45,8 +47,16 @@ def read_lookup_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]
 
 
 def code_tables(spark: SparkSession) -> dict[str, DataFrame]:
-    """The three small code dimensions from their fixed values."""
-    return {name: spark.createDataFrame(list(rows), CSV_SCHEMAS[name]) for name, rows in (
+    """The three small code dimensions from their fixed values.
+
+    Built from Arrow, so each is a local relation whose size the planner
+    knows: joins broadcast it at planning and never shuffle the facts on a
+    code of a few values (a frame made from a list has no known size)."""
+    def local(name: str, rows) -> DataFrame:
+        schema = CSV_SCHEMAS[name]
+        columns = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(zip(*rows), schema)]
+        return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names), schema)
+    return {name: local(name, rows) for name, rows in (
         ("payment_type", spec.PAYMENT_TYPES), ("ratecode", spec.RATECODES), ("trip_type", spec.TRIP_TYPES))}
 
 

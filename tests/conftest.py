@@ -3,7 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from farelane.session import local_session  # noqa: E402
 
@@ -13,7 +14,3 @@ def spark():
     s = local_session(4, shuffle_partitions=8, app_name="farelane-tests")
     yield s
 
-
-def ts(text):
-    import datetime as dt
-    return None if text is None else dt.datetime.fromisoformat(text)

@@ -58,3 +58,11 @@ def test_code_tables_are_broadcast_without_a_count_job(spark, capsys):
     facts = spark.range(10).select(F.col("id").alias("RatecodeID"))
     plan = plan_of(enrich.lookup_join(facts, codes["ratecode"], "RatecodeID"), capsys)
     assert "BroadcastHashJoin" in plan
+
+
+def test_curation_shuffles_facts_three_times_and_never_on_a_code(spark, capsys):
+    plan = plan_of(catalog.curate_trips(spark, SF), capsys)
+    tree = plan[plan.index("== Physical Plan =="):plan.index("(1) ")]
+    assert tree.count("SortMergeJoin") <= 1  # the pair members; no code or zone
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert len(keys) <= 3 and not any(k.split("#")[0] in ("RatecodeID", "payment_type") for k in keys)

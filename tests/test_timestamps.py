@@ -1,7 +1,7 @@
 """Year repair, clamp, month fill (unit frames)."""
 from pyspark.sql import functions as F
 
-from conftest import ts
+from frames import ts
 from farelane.operators import clean
 
 SCHEMA = "file_year string, file_month string, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz"
