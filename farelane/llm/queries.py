@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (fingerprints, language_gru, license_scan, line_dedup, ngram_join, oracle, packing, quality_qda,
+from . import (fingerprints, language_gru, license_scan, line_dedup, ngram_join, oracle, packing, periodic_runs, quality_qda,
                sentencepiece_codec, topk_nra, toxicity_fm)
 from .common import table
 
@@ -96,10 +96,40 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_gru.predict(docs, net).select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def looped(doc_id: int | None, words: int):
+    """The contract's order of a text's words: of every tenth document, by its
+    id, those from one place on repeat a first stretch."""
+    import zlib
+
+    import numpy as np
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10 or not words:
+        return None
+    g = h // 10
+    a = g % words
+    order = np.arange(words)
+    order[a:] = a + (order[a:] - a) % (1 + (words - a) // (3 + g % 8))
+    return order
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), order=looped)
+    written = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    # greatest exact length / period, then smallest start and period: cross products decide
+    more = lambda x, y: x["length"] * y["period"] - y["length"] * x["period"]
+    before = lambda x, y: (more(x, y) > 0) | ((more(x, y) == 0) & ((x["start"] < y["start"]) | ((x["start"] == y["start"]) & (x["period"] < y["period"]))))
+    best = F.when(F.size("runs") > 0, F.reduce(F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))), F.get("runs", F.lit(0)),
+                                               lambda x, y: F.when(before(y, x), y).otherwise(x)))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.try_divide(1000 * F.col("best.length"), F.col("best.period"))).alias("exponent_milli"),
+        F.sha2(written, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_ngram_jaccard_join, op3_sentencepiece, op4_quality_classifier, op5_line_dedup, op6_license_scan,
-        op7_exact_topk, op8_document_fingerprints, op9_toxicity, op10_language_id)
+        op7_exact_topk, op8_document_fingerprints, op9_toxicity, op10_language_id, op11_periodic_runs)
 }
 
 #: DuckDB SQL where SQL can express the result.
