@@ -56,3 +56,45 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(b.n_base, 0) AS n_base, b.first_w
        coalesce(b.base_labels, '') AS base_labels, coalesce(l.labels, '') AS labels,
        greatest(coalesce(c.best, 0), CASE WHEN b.n_base > 0 THEN 1.0 ELSE 0.0 END) AS score
 FROM d LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+     f AS (SELECT page_id, payload, sha1(payload) AS h, min(page_id) OVER (PARTITION BY payload) AS first FROM p)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(h, (5 * (i // 4) + 1)::BIGINT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+def vector_codes(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """Plain k-means per part: every part against every entry."""
+    def assigned(turn: int) -> str:
+        return f"""a{turn} AS (SELECT k, vec_id, label, p, any_value(y) AS y, arg_min(e, d * {entries} + e) AS e, min(d) AS d FROM (
+    SELECT k, vec_id, label, p, y, e, list_sum(list_transform(list_zip(y, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM v JOIN c{turn} USING (p)) GROUP BY k, vec_id, label, p)"""
+
+    def moved(turn: int) -> str:
+        return f"""m{turn} AS (SELECT p, e, list(mean ORDER BY i) AS c FROM (
+    SELECT p, e, i, floor(sum(y[i])::DOUBLE / count(*))::BIGINT AS mean FROM (SELECT p, e, y, unnest(range(1, len(y) + 1)) AS i FROM a{turn})
+    GROUP BY p, e, i) GROUP BY p, e),
+c{turn + 1} AS (SELECT c{turn}.p, c{turn}.e, coalesce(m{turn}.c, c{turn}.c) AS c FROM c{turn} LEFT JOIN m{turn} USING (p, e))"""
+    steps = ",\n".join(s for turn in range(rounds) for s in (assigned(turn), moved(turn)))
+    return f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id) AS k, vec_id, label,
+                     list_transform(embedding, lambda c: floor({scale} * c::DOUBLE)::BIGINT) AS x FROM embeddings
+              WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+v AS MATERIALIZED (SELECT k, vec_id, label, p, x[(p * (len(x) // {parts}) + 1):((p + 1) * (len(x) // {parts}))] AS y
+      FROM (SELECT *, unnest(range({parts})) AS p FROM kept)),
+c0 AS (SELECT p, k - 1 AS e, y AS c FROM v WHERE k <= {entries}),
+{steps},
+{assigned(rounds)},
+codes AS (SELECT k, vec_id, label, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY k, vec_id, label),
+digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM codes, digest
+"""
+
+
+VECTOR_CODES = vector_codes(16, 64, 2, 256)

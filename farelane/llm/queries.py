@@ -8,9 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelane.session import scratch_path
+
 from . import (fingerprints, language_gru, license_scan, line_dedup, ngram_join, oracle, packing, periodic_runs, quality_qda,
-               sentencepiece_codec, topk_nra, toxicity_fm)
-from .common import table
+               sentencepiece_codec, topk_nra, toxicity_fm, vector_codes, warc_bundles)
+from .common import saved, table
 
 #: A document is kept from this quality on, and dropped from this toxicity on.
 QUALITY_KEPT, TOXICITY_DROPPED = 0.7, 0.3
@@ -126,10 +128,31 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(written, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, folder = table(spark, sf_dir, "pages"), scratch_path(spark, "warc")
+    index = warc_bundles.write_bundles(warc_bundles.classify(pages), folder)
+    records = saved(warc_bundles.read_bundles(index, folder).drop("payload"), "records")
+    if not warc_bundles.broken_revisits(records).isEmpty():
+        raise RuntimeError("a revisit record does not find its response")
+    key = lambda c: warc_bundles.row_key(c, pages.schema["page_id"].dataType.simpleString())
+    return records.select(key("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", key("refers_to").alias("refers_to"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import hashlib
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    # few rows a label: sums are partial, and only they meet the codes again
+    total = coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    return (coded.join(total, F.col("label").eqNullSafe(F.col("of")))
+            .select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_ngram_jaccard_join, op3_sentencepiece, op4_quality_classifier, op5_line_dedup, op6_license_scan,
-        op7_exact_topk, op8_document_fingerprints, op9_toxicity, op10_language_id, op11_periodic_runs)
+        op7_exact_topk, op8_document_fingerprints, op9_toxicity, op10_language_id, op11_periodic_runs,
+        op12_warc_bundles, op13_vector_codes)
 }
 
 #: DuckDB SQL where SQL can express the result.
@@ -137,4 +160,6 @@ ORACLE: dict[str, str] = {
     "op2_ngram_jaccard_join": oracle.NGRAM_JOIN,
     "op6_license_scan": oracle.license_scan(license_scan.TEMPLATES, license_scan.BLOCK_WORDS, str(license_scan.THRESHOLD)),
     "op7_exact_topk": oracle.TOP_K,
+    "op12_warc_bundles": oracle.WARC,
+    "op13_vector_codes": oracle.VECTOR_CODES,
 }
