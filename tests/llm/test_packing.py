@@ -1,4 +1,5 @@
 import math
+import unicodedata
 import zlib
 
 import numpy as np
@@ -108,3 +109,63 @@ def test_sequences_hold_the_ids(docs):
 @pytest.mark.parametrize("n", [0, 1])
 def test_bound_of_little(n):
     assert packing.lower_bound(np.array([5] * n, dtype=np.int64), 10) == n
+
+
+def _same_ids(words):
+    tokenizer = Tokenizer.from_file(PATH)
+    table = packing.WordIds(tokenizer)
+    for at in range(0, len(words), 2000):
+        some = words[at:at + 2000]
+        want = tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
+        assert table.of(some)[0].tolist() == want, [w for w in some if table.of([w])[0].tolist() != tokenizer.encode(w, add_special_tokens=False).ids]
+
+
+def test_words_of_every_code_point_match_the_library():
+    points = [chr(c) for c in range(33, 0x110000) if not 0xD800 <= c < 0xE000 and not chr(c).isspace() and unicodedata.category(chr(c)) not in ("Cn", "Co")]
+    _same_ids([w for c in points for w in (f"{c}.", f"a{c}!b", f"Zz{c}***")])
+
+
+def test_letters_with_every_mark_match_the_library():
+    marks = [chr(c) for c in range(0x300, 0x1F000) if unicodedata.category(chr(c)).startswith("M")]
+    _same_ids([w for m in marks for letter in "aÉİΣकড়가ß" for w in (f"{letter}{m}.", f"x{letter}{m}", f"{m}{letter}'s")])
+
+
+@given(st.lists(st.text(st.sampled_from("abÀéßİΣक़ড়'<|>.,!-*0²ªµ़́\t "), max_size=8), min_size=1, max_size=30))
+@settings(max_examples=200, deadline=None)
+def test_mixed_words_match_the_library(words):
+    _same_ids([w for w in words if not w.isspace()] or ["a"])
+
+
+def test_forgotten_words_are_learned_again():
+    tokenizer = Tokenizer.from_file(PATH)
+    table = packing.WordIds(tokenizer, 3, 2)
+    for text in ("one two three four, five.", "two SIX seven!", "one one two"):
+        assert table.of(text.split(" "))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_repeated_rows_are_spread_and_certified(spark, monkeypatch):
+    rows = [(7, 0, 0, 1000, 99)] * 1000
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").repartition(4)
+    groups, counted = [], packing.saved
+
+    def looked_at(df, label):
+        out = counted(df, label)
+        if label == "packed" and not groups:
+            groups.extend(r["count"] for r in out.groupBy("part").count().collect())
+        return out
+    monkeypatch.setattr(packing, "saved", looked_at)
+    packed = packing.pack(pieces, group_rows=100).toPandas()
+    assert len(groups) == 10 and max(groups) < 200
+    assert len(packed) == 1000 and packed.sequence_id.nunique() == 500
+    small = packing.pack(spark.createDataFrame(rows[:5], pieces.schema)).toPandas()
+    assert small.sequence_id.nunique() == 3 and small.certified.all()
+
+
+def test_a_group_above_its_bound_is_not_certified():
+    import pandas as pd
+    # 6 + 4 and 5 + 3 + 2 fill two sequences; best fit leaves 4 + 5 and a third
+    for sizes in ([6, 5, 4, 3, 2], [6, 6, 4, 4], [5, 5, 5], [4, 4, 4, 3, 3, 2]):
+        n = len(sizes)
+        frame = pd.DataFrame({"doc_id": range(n), "piece": 0, "start": 0, "length": sizes, "ids_crc32": 0, packing.ROW: range(n)})
+        got = packing._pack_group(10, "doc_id")(frame)
+        assert (got["certified"] == (got["bin"].nunique() == packing.lower_bound(np.array(sizes), 10))).all()
