@@ -5,12 +5,17 @@ score.  The lists are read in step from their best end; a candidate's score
 lies between what was read of it plus the lists' worst entries, and what was
 read plus the entries reached.  Reading stops when no outsider's upper bound
 reaches the k-th best lower bound (ties stay in); the scores of those left are
-then resolved.
+then resolved.  The bounds of a block of queries after one more stretch of the
+lists are products of matrices; where a first stretch rules out less than half
+of the candidates, the lists are read to their end at once.
 
 Candidates are dealt to blocks of about BLOCK_ROWS rows, queries to blocks of
-QUERY_ROWS; every query block meets every candidate block, and the blocks'
-winners are merged.  A query block travels to the candidate blocks, never the
-other way round, and no task holds more than one block of each.
+QUERY_ROWS.  In a first round each query block meets one candidate block; the
+k-th best score found is where the query's bounds begin in the second round,
+in which it meets all others: a candidate block whose best entries together
+do not reach it is not read at all.  Query blocks travel to the candidate
+blocks, of which there is a copy for every GROUP_BLOCKS query blocks, so the
+meetings spread over tasks and no task holds more than one block of each.
 
 Defined results: vectors that are NULL or hold a NULL or non-finite component
 take no part, nor do NULL ids.  Components missing at the end of a shorter
@@ -32,7 +37,11 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
-BLOCK_ROWS, QUERY_ROWS = 8192, 256
+BLOCK_ROWS, QUERY_ROWS = 4096, 256
+#: Query blocks that meet one copy of a candidate block.
+GROUP_BLOCKS = 16
+#: Shares of the lists read before the whole of them.
+DEPTHS = (1 / 16, 1 / 4)
 
 
 def integer_vectors(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> DataFrame:
@@ -45,73 +54,106 @@ def integer_vectors(vectors: DataFrame, scale: int, id_col: str, vector_col: str
             .groupBy("vec_id").agg(F.min("x").alias("x")))
 
 
-def _packed(rows: DataFrame, block: Column, name: str) -> DataFrame:
-    """One row per block: ids and the matrix as bytes."""
+def _packed(rows: DataFrame, block: Column, name: str, extra: str | None = None) -> DataFrame:
+    """One row per block: ids and the matrix as bytes (and a column of doubles)."""
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")
         d = max(map(len, pdf["x"]), default=0)
         m = np.zeros((len(pdf), d), np.int64)
         for i, x in enumerate(pdf["x"]):
             m[i, :len(x)] = x
-        return pd.DataFrame({name: [pdf[name].iloc[0]], f"{name}_ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()],
-                             f"{name}_rows": [m.tobytes()]})
+        out = {name: [pdf[name].iloc[0]], f"{name}_ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()], f"{name}_rows": [m.tobytes()]}
+        if extra:
+            out[f"{name}_{extra}"] = [pdf[extra].to_numpy(np.float64).tobytes()]
+        return pd.DataFrame(out)
     return rows.withColumn(name, block).groupBy(name).applyInPandas(
-        pack, f"{name} long, {name}_ids binary, {name}_rows binary")
+        pack, f"{name} long, {name}_ids binary, {name}_rows binary" + (f", {name}_{extra} binary" if extra else ""))
 
 
 class SortedLists:
     """The candidates of one block, sorted per dimension."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
-        self.ids, self.rows = ids, rows
-        self.order = np.argsort(rows, axis=0, kind="stable").T.copy()  # d x n, ascending
-        self.values = np.take_along_axis(rows.T, self.order, axis=1).astype(np.float64)
+        self.ids, self.rows, self.x = ids, rows, rows.astype(np.float64)
+        order = np.argsort(rows, axis=0, kind="stable")
+        self.values = np.take_along_axis(self.x, order, axis=0)  # ascending
+        self.rank = np.empty(rows.shape, np.int32)
+        np.put_along_axis(self.rank, order, np.arange(len(rows), dtype=np.int32)[:, None], axis=0)
 
     def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best candidates other than ``own``."""
-        n, d = self.rows.shape
-        free = self.ids != own
-        dims = np.flatnonzero(query)
-        q = query[dims].astype(np.float64)
-        worst = np.where(q > 0, self.values[dims, 0], self.values[dims, -1]) * q
-        low = np.where(free, worst.sum(), -np.inf)  # lower bounds
-        read = np.zeros(n)  # what was read of each candidate
-        unread = np.ones((n, len(dims)), np.float32)
-        depth, step = 0, max(k, n // 16)
-        left = free
-        while depth < n and len(dims) and free.sum() > k:
-            to = min(n, depth + step)
-            at = np.arange(depth, to)
-            at = np.where(q[:, None] > 0, n - 1 - at, at)  # the best end of each list
-            who = np.take_along_axis(self.order[dims], at, axis=1)
-            adds = np.take_along_axis(self.values[dims], at, axis=1) * q[:, None]
-            read += np.bincount(who.ravel(), adds.ravel(), n)
-            low += np.bincount(who.ravel(), (adds - worst[:, None]).ravel(), n)
-            unread[who, np.arange(len(dims))[:, None]] = 0
-            high = read + unread.astype(np.float64) @ adds[:, -1]
-            bound = np.partition(low, n - k)[n - k]
-            left = free & (high >= bound)
-            if left.sum() <= max(4 * k, n // 64):
+        return self.best(query[None], np.array([own]), k, np.array([-np.inf]))[0]
+
+    def read(self, pos: np.ndarray, neg: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds (queries x candidates) after ``depth``
+        entries of each list: ``pos`` reads from the high end, ``neg`` from
+        the low end."""
+        n = len(self.ids)
+        first, last, high, low = self.values[0], self.values[-1], self.values[n - depth], self.values[depth - 1]
+        up, down = self.rank >= n - depth, self.rank < depth
+        lows = (pos @ first + neg @ last)[:, None] + pos @ np.where(up, self.x - first, 0).T + neg @ np.where(down, self.x - last, 0).T
+        highs = (pos @ high + neg @ low)[:, None] + pos @ np.where(up, self.x - high, 0).T + neg @ np.where(down, self.x - low, 0).T
+        return lows, highs
+
+    def best(self, queries: np.ndarray, own: np.ndarray, k: int, bounds: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query ids and scores of the k best candidates other than its
+        own whose scores reach its bound."""
+        n = len(self.ids)
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(queries)
+        if n == 0 or queries.shape[1] == 0:
+            self_free = [np.flatnonzero(self.ids != o)[:k] for o in own]
+            return [(self.ids[f], np.zeros(len(f), np.int64)) if b <= 0 else o for f, b, o in zip(self_free, bounds, out)]
+        q = queries.astype(np.float64)
+        pos, neg, bounds = np.maximum(q, 0), np.minimum(q, 0), bounds.copy()
+
+        def settle(i: int, left: np.ndarray, scores: np.ndarray) -> None:
+            order = np.lexsort((self.ids[left], -scores))[:k]
+            order = order[scores[order] >= bounds[i]]
+            out[i] = self.ids[left][order], scores[order].astype(np.int64)
+
+        # what all best entries together reach
+        left = np.flatnonzero(pos @ self.values[-1] + neg @ self.values[0] >= bounds)
+        for share in DEPTHS:
+            depth = int(n * share)
+            if depth < k or not len(left):
+                continue
+            lows, highs = self.read(pos[left], neg[left], depth)
+            mine = self.ids[None, :] == own[left][:, None]
+            lows[mine] = highs[mine] = -np.inf
+            if n > k:
+                bounds[left] = np.maximum(bounds[left], np.partition(lows, n - k, axis=1)[:, n - k])
+            may = highs >= np.maximum(bounds[left], np.finfo(float).min)[:, None]
+            counts = may.sum(axis=1)
+            done = counts <= max(4 * k, n // 64)
+            for i, row in zip(left[done].tolist(), may[done]):
+                found = np.flatnonzero(row)
+                settle(i, found, self.rows[found] @ queries[i])
+            left = left[~done]
+            if len(left) and np.median(counts[~done]) > n // 2:
                 break
-            depth, step = to, 2 * step
-        found = np.flatnonzero(left)
-        scores = self.rows[found] @ query  # resolve what is left
-        best = np.lexsort((self.ids[found], -scores))[:k]
-        return self.ids[found][best], scores[best]
+        if len(left):  # the lists are read to their end: bounds and scores are one
+            scores = q[left] @ self.x.T
+            scores[self.ids[None, :] == own[left][:, None]] = -np.inf
+            floor = np.partition(scores, n - k, axis=1)[:, n - k] if n > k else np.full(len(left), -np.inf)
+            for i, row, low in zip(left.tolist(), scores, np.maximum(floor, bounds[left])):
+                found = np.flatnonzero((row >= low) & (row > -np.inf))
+                settle(i, found, row[found])
+        return out
 
 
 def _meet(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, lists = None, None
         for batch in batches:
-            for r in batch.to_pylist():
+            for at in range(batch.num_rows):
+                r = {c: batch.column(c)[at].as_py() for c in batch.schema.names}
                 ids, qids = np.frombuffer(r["c_ids"], np.int64), np.frombuffer(r["q_ids"], np.int64)
                 rows, queries = (np.frombuffer(r[f"{s}_rows"], np.int64).reshape(len(i), -1) for s, i in (("c", ids), ("q", qids)))
                 d = max(rows.shape[1], queries.shape[1])
                 rows, queries = (np.pad(m, ((0, 0), (0, d - m.shape[1]))) for m in (rows, queries))
                 if held != (r["c"], d):
                     held, lists = (r["c"], d), SortedLists(ids, rows)
-                found = [lists.top(q, own, k) for own, q in zip(qids, queries)]
+                found = lists.best(queries, qids, k, np.frombuffer(r["q_bound"], np.float64))
                 yield pa.RecordBatch.from_pydict({
                     "query_id": np.repeat(qids, [len(f[0]) for f in found]),
                     "vec_id": np.concatenate([f[0] for f in found]), "score": np.concatenate([f[1] for f in found])})
@@ -125,11 +167,22 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     usable = saved(integer_vectors(vectors, scale, id_col, vector_col), "vectors")
     n, asked = usable.agg(F.count("*"), F.count_if(is_query)).first()
     blocks, query_blocks = -(-n // BLOCK_ROWS) or 1, -(-asked // QUERY_ROWS) or 1
+    groups = -(-query_blocks // GROUP_BLOCKS)
     deal = lambda to: F.pmod(F.xxhash64("vec_id"), F.lit(to)).cast("long")
-    candidates = saved(_packed(usable, deal(blocks), "c"), "blocks")
-    queries = _packed(usable.where(is_query), deal(query_blocks), "q").withColumn(
-        "c", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
-    met = queries.join(candidates, "c").mapInArrow(_meet(k), "query_id long, vec_id long, score long")
+    packed = saved(_packed(usable, deal(blocks), "c"), "blocks")
+    copies = packed.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")))
+    asking = usable.where(is_query)
+    own_block, group = F.pmod(F.col("q"), F.lit(blocks)), F.pmod(F.col("q"), F.lit(groups))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def meet(queries: DataFrame, label: str) -> DataFrame:
+        return saved(queries.withColumn("g", group).join(copies, ["c", "g"]).select("c", "c_ids", "c_rows", "q_ids", "q_rows", "q_bound")
+                     .mapInArrow(_meet(k), "query_id long, vec_id long, score long"), label)
+
+    first = meet(_packed(asking.withColumn("bound", F.lit(float("-inf"))), deal(query_blocks), "q", "bound").withColumn("c", own_block), "first")
+    reached = first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("bound"))
+    again = _packed(asking.join(reached, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))), deal(query_blocks), "q", "bound")
+    others = again.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))).where(F.col("c") != own_block)
+    met = first.unionByName(meet(others, "others")) if blocks > 1 else first
     return (met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
