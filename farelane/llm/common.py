@@ -6,8 +6,11 @@ from __future__ import annotations
 import sys
 import types
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,14 +29,42 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once below ``spark.checkpoint.dir`` and read back: cuts
     the lineage, survives lost executors and fixes the rows of
     non-deterministic plans."""
-    spark = df.sparkSession
-    path, before = scratch_path(spark, label), spark.conf.get(CLEAN_UP, "false")
-    spark.conf.set(CLEAN_UP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return Run(df.sparkSession).saved(df, label)
+
+
+class Run:
+    """Saved tables of one operator call.  ``drop`` removes those whose last
+    reader has been written, ``result`` saves the result and removes all
+    others, so a call leaves its result alone behind."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.held: list[tuple[DataFrame, str]] = []
+
+    def saved(self, df: DataFrame, label: str) -> DataFrame:
+        path, before = scratch_path(self.spark, label), self.spark.conf.get(CLEAN_UP, "false")
+        self.spark.conf.set(CLEAN_UP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEAN_UP, before)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.held.append((out, path))
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        gone = [path for f, path in self.held if any(f is x for x in frames)]
+        self.held = [x for x in self.held if x[1] not in gone]
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for path in gone:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+
+    def result(self, df: DataFrame) -> DataFrame:
+        before = [f for f, _ in self.held]
+        out = self.saved(df, "result")
+        self.drop(*before)
+        return out
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
@@ -41,13 +72,27 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def slices(batches: Iterator[pa.RecordBatch], text_col: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes of text, so that what a
+    task keeps per batch is bounded whatever the session's batch size; a
+    longer text is alone."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            to = int(np.searchsorted(size, (size[at - 1] if at else 0) + most, side="right"))
+            to = max(at + 1, to)
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def worker_cache(name: str) -> dict:
     """A dict kept by the Python worker between its tasks.  Callers bound it."""
     home = sys.modules.setdefault("farelane_worker_cache", types.ModuleType("farelane_worker_cache"))
     return home.__dict__.setdefault(name, {})
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", run: Run | None = None) -> DataFrame:
     """Connected components of undirected ``edges``: ``(id, component)`` with
     the smallest id of each component, for every id that has an edge.
 
@@ -56,8 +101,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     in one task; the edge count never grows.  Ends when a round changes
     nothing; no round limit.
     """
-    cur = saved(edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
-                .where("lo <> hi").distinct(), "cc")
+    run = run or Run(edges.sparkSession)
+    cur = run.saved(edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
+                    .where("lo <> hi").distinct(), "cc")
     stamp = None
     while True:
         now = tuple(cur.agg(F.count("*"), F.bit_xor(F.xxhash64("lo", "hi"))).first())
@@ -71,58 +117,115 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                  .select(F.col("v").alias("hi"), F.col("m").alias("lo")).where("lo <> hi").distinct())
         root = large.groupBy("hi").agg(F.min("lo").alias("m"))
         moved = large.join(root, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        cur = saved(moved.unionAll(root.select("hi", F.col("m").alias("lo"))).where("lo <> hi").distinct(), "cc")
+        last, cur = cur, run.saved(moved.unionAll(root.select("hi", F.col("m").alias("lo"))).where("lo <> hi").distinct(), "cc")
+        run.drop(last)
     return cur.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionAll(
         cur.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct())
 
 
-def shared_cells(cells: DataFrame) -> DataFrame:
-    """Of ``cells`` (cell, id), those that hold more than one id, each member
-    beside the cell's smallest id (``lead``).  Minima are partial aggregates
-    and the join can be split, so a hot cell is never gathered."""
-    lead = cells.groupBy("cell").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("cell", "lead")
-    return saved(cells.join(lead, "cell"), "shared")
+#: Rows of a cell from which it is hot.
+HOT_ROWS = 100
+#: Rounds in which every mixed cell holds its members against one more of them.
+LEAD_ROUNDS = 4
+
+
+def shared_cells(cells: DataFrame, run: Run, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Of ``cells`` (id, family, spare, cell), those that hold more than one
+    id: cell, id, ``lead`` (the cell's smallest id) and ``counts``.
+
+    Cells of one ``family`` of an id are its keys for one kind of partner: a
+    linked pair agrees in all of them but the number that their differences
+    can touch, and has ``spare`` cells beyond that number.  An id with no more
+    hot cells than spare ones so agrees with every partner in a cell that is
+    not hot, and does not count in its hot cells; ids that do not count lose
+    no link.  Counts are partial aggregates and the join can be split, so a
+    hot cell is never gathered."""
+    lead = (cells.groupBy("cell").agg(F.min("id").alias("lead"), F.max("id").alias("last"), F.count("*").alias("n"))
+            .where("lead < last").select("cell", "lead", (F.col("n") > hot_rows).alias("hot")))
+    held = run.saved(cells.join(lead, "cell").distinct(), "shared")
+    heat = (held.where("hot").groupBy("id", "family").agg(F.count("*").alias("hot_cells"), F.min("spare").alias("room"))
+            .where("hot_cells <= room").select("id", "family", F.lit(True).alias("free")))
+    out = run.saved(held.join(heat, ["id", "family"], "left")
+                    .select("cell", "id", "lead", (~(F.col("hot") & F.coalesce("free", F.lit(False)))).alias("counts")), "shared")
+    run.drop(held)
+    return out
+
+
+def merged(comp: DataFrame | None, links: DataFrame, run: Run) -> DataFrame:
+    """Components after more links: only the graph of components is walked."""
+    if comp is None:
+        return run.saved(components(links, run=run), "component")
+    ends = [comp.select(F.col("id").alias(s), F.col("component").alias(f"c{s}")) for s in "ab"]
+    edges = links.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    more = components(edges, run=run)
+    moved = (comp.join(more.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left")
+             .select("id", F.coalesce("to", "component").alias("component")))
+    out = run.saved(moved.unionByName(more.join(comp.select("id"), "id", "left_anti")), "component")
+    run.drop(comp)
+    return out
 
 
 def cell_components(shared: DataFrame, facts: DataFrame, may: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
-                    plausible: Callable[[DataFrame, str], DataFrame], verified: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+                    verified: Callable[[DataFrame, str], DataFrame], run: Run, lead_rounds: int = LEAD_ROUNDS) -> DataFrame:
     """Components of all verified pairs that share a cell: ``(id, component)``
     for every id that has a link.
 
-    Each member is paired with the smallest ids of its cells, which is linear
-    in the members.  Of those pairs, first one a member is verified, which
-    joins tight groups; then those whose ends are still apart.  Last, members
-    outside the component of their cell's smallest id are held against all
-    members of the cell in other components.  Links inside one component
-    cannot change it, so none that matters is lost, and no group's pairs are
-    all emitted.
+    1. Each member is held against the smallest ids of its cells: first one
+       pair a member, which joins tight groups, then those still apart.
+    2. In ``lead_rounds`` rounds every cell that holds several components
+       takes another member, and holds those of other components against it.
+       Each of these rounds and the first are linear in the members.
+    3. Members that count (see ``shared_cells``) of cells that still hold
+       several components are held against those of other components.
+
+    Links inside one component cannot change it, so none that matters is
+    lost.  Step 3 makes at most HOT_ROWS / 2 pairs a member in cells that are
+    not hot; in hot ones it makes pairs only of ids most of whose cells are
+    hot, and whose components the rounds have not joined.
 
     ``may(a, b)`` says by ``facts`` (id, ...) which pairs can link; a and b
-    give the columns of either side.  ``plausible`` narrows pairs at little
-    cost, ``verified`` decides.
+    give the columns of either side.  ``verified`` decides.
     """
     names = [c for c in facts.columns if c != "id"]
     side = {s: facts.select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in names]) for s in "ab"}
     a, b = (lambda c: F.col(f"a_{c}")), (lambda c: F.col(f"b_{c}"))
-    stars = shared.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    stars = plausible(stars.join(side["a"], "a").join(side["b"], "b").where(may(a, b)).select("a", "b"), "stars")
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        return pairs.join(side["a"], "a").join(side["b"], "b").where(may(a, b)).select("a", "b")
+
+    stars = run.saved(possible(shared.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()), "stars")
     links = verified(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "links")
-    comp = saved(components(links), "component")
+    comp = merged(None, links, run)
+    run.drop(links)
+
+    def joined(more: DataFrame, comp: DataFrame) -> DataFrame:
+        out = comp if more.isEmpty() else merged(comp, more, run)
+        run.drop(more)
+        return out
+
     ends = [comp.select(F.col("id").alias(s), F.col("component").alias(f"c{s}")) for s in "ab"]
     apart = (stars.join(ends[0], "a", "left").join(ends[1], "b", "left")
              .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    more = verified(apart, "links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        comp = saved(components(links), "component")
-    named = saved(shared.join(comp, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
-                  .join(comp.select(F.col("id").alias("lead"), F.col("component").alias("lc")), "lead", "left")
-                  .withColumn("lc", F.coalesce("lc", "lead")), "named")
-    mixed = named.join(named.where("c <> lc").select("cell").distinct(), "cell", "left_semi")
-    x = mixed.where("c <> lc").select("cell", F.col("id").alias("a"), F.col("c").alias("ca")).join(side["a"], "a")
-    y = mixed.where("id <> lead").select("cell", F.col("id").alias("b"), F.col("c").alias("cb"),
-                                         (F.col("c") == F.col("lc")).alias("main")).join(side["b"], "b")
-    rest = (x.join(y, "cell").where((F.col("ca") != F.col("cb")) & (F.col("main") | (F.col("a") < F.col("b"))) & may(a, b))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    last = verified(plausible(rest, "rest"), "links")
-    return comp if last.isEmpty() else saved(components(links.unionByName(last)), "component")
+    comp = joined(verified(apart, "links"), comp)
+    run.drop(stars)
+    held = shared.where("counts").select("cell", "id")
+    previous = None
+    for turn in range(lead_rounds + 1):
+        named = held.join(comp, "id", "left").select("cell", "id", F.coalesce("component", "id").alias("c"))
+        mixed = named.groupBy("cell").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min_by(F.struct("id", "c"), F.xxhash64("id", F.lit(turn))).alias("lead"))
+        held = run.saved(named.join(mixed.where("x <> y").select("cell", "lead"), "cell"), "mixed")
+        if previous is not None:
+            run.drop(previous)
+        previous = held
+        if held.isEmpty():
+            break
+        if turn < lead_rounds:
+            pairs = possible(held.where("c <> lead.c").select(F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b")).distinct())
+        else:
+            x = held.select("cell", F.col("id").alias("a"), F.col("c").alias("ca")).join(side["a"], "a")
+            y = held.select("cell", F.col("id").alias("b"), F.col("c").alias("cb")).join(side["b"], "b")
+            pairs = x.join(y, "cell").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & may(a, b)).select("a", "b").distinct()
+        comp = joined(verified(pairs, "links"), comp)
+        held = held.select("cell", "id")
+    run.drop(previous)
+    return comp

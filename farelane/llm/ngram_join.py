@@ -5,17 +5,26 @@ Hashing every shingle to a cell of a sketch and XOR-ing what falls there makes
 a sketch whose differing cells number at most the symmetric difference of the
 sets.  Sets of Jaccard ``t`` or more differ in at most
 ``(1 - t) / (1 + t) * (|A| + |B|)`` shingles.  Per size band, the sketch has
-one cell more than that bound for the band's largest sets, so two linked
+more cells than that bound for the band's largest sets, so two linked
 documents agree in at least one whole cell (pigeonhole): equal cells give the
 candidates, and no link is lost.  A document near the end of its band also
 sends the cells of the next band.
 
+Empty cells are not sent, so every key depends on content.  A document with
+more non-empty cells than the bound agrees with each partner in one of them;
+one with fewer also sends the cells of another sketch, with another hash, and
+so on.  Of two partners, the one that needs fewer sketches has such a cell in
+a sketch that both send.  Cells beyond the bound are spare: a document with no
+more hot cells than spare ones needs no hot cell either (see
+``common.shared_cells``), so a passage that many documents share does not
+bring them together in pairs.
+
 Equal sets are one node, named by the first half of a 128-bit set hash.
-Members of a cell are held against the cell's smallest id, then, where their
-components still differ, against each other (see ``common.cell_components``); so
-components are exact without emitting all pairs of a group.  Lengths and a
-512-bit parity sketch rule out most pairs in the join, a parity sketch as wide
-as the sets need most of the rest, and the shingle hashes decide.
+Members of a cell are held against the cell's smallest id, then against other
+members while their components differ (see ``common.cell_components``).
+Lengths and a 512-bit parity sketch rule out most pairs in the join, a parity
+sketch as wide as the sets need most of the rest, and the shingle hashes
+decide.
 
 Defined results: NULL or empty text, or text without words, has no shingles
 and links with nothing; with fewer words than a shingle the whole sequence is
@@ -35,12 +44,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cell_components, saved, shared_cells, small_batches, worker_cache
+from .common import Run, cell_components, shared_cells, slices, worker_cache
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Neighbouring band limits; wider bands need fewer cells sent twice but looser bounds.
 BAND_RATIO = 1.4
 SKETCH_WORDS = 8
+#: Cells beyond the bound, as a share of it; sketches that a document sends at most.
+SPARE, SKETCHES = 0.25, 8
 CACHE_WORDS = 400_000
 
 
@@ -105,27 +116,42 @@ def _word_hasher():
     return hashes
 
 
-def cells_of(s: np.ndarray, limits: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of a set's sketch cells: its own band's, and the next one's if a
-    larger partner there is possible."""
+def keyed_cells(s: np.ndarray, limits: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a set's sketch cells, its own band's and the next one's if a
+    larger partner there is possible, and beside each its tag: 16 * (spare
+    cells + 1) + family, where a family is the cells of one sketch and band."""
     n = len(s)
     band = int(np.searchsorted(limits, n, side="right")) - 1
-    out = []
-    spread = mix(s ^ np.uint64(0xD6E8FEB86659FD93))
+    keys, tags = [], []
     for b in (band, band + 1):
         if b > band and 100 * n < percent * int(limits[b]):
             break
-        largest = int(limits[b + 1]) - 1
-        k = most_different(2 * largest, percent) + 1
-        cell = (s % np.uint64(k)).astype(np.int64)
-        order = np.argsort(cell, kind="stable")
-        held = cell[order]
-        first = np.flatnonzero(np.r_[True, held[1:] != held[:-1]])
-        parity = np.zeros(k, dtype=np.uint64)
-        parity[held[first]] = np.bitwise_xor.reduceat(spread[order], first)
-        # the empty cells too: two documents may agree in those alone
-        out.append(mix(parity + mix(np.arange(k, dtype=np.uint64) + np.uint64(b << 40))))
-    return np.concatenate(out)
+        bound = most_different(2 * (int(limits[b + 1]) - 1), percent)
+        k = bound + 1 + max(1, int(SPARE * (bound + 1)))
+        for sketch in range(SKETCHES):
+            h = mix(s + np.uint64(sketch * 0x9E3779B97F4A7C15 % (1 << 64))) if sketch else s
+            spread = mix(h ^ np.uint64(0xD6E8FEB86659FD93))
+            cell = (h % np.uint64(k)).astype(np.int64)
+            order = np.argsort(cell, kind="stable")
+            held = cell[order]
+            first = np.flatnonzero(np.r_[True, held[1:] != held[:-1]])
+            parity = np.bitwise_xor.reduceat(spread[order], first)
+            places = held[first].astype(np.uint64)
+            spare = len(first) - bound - 1
+            if spare < 0 and sketch == SKETCHES - 1:  # all cells of the last one: the plain pigeonhole
+                whole = np.zeros(k, np.uint64)
+                whole[held[first]] = parity
+                parity, places = whole, np.arange(k, dtype=np.uint64)
+            keys.append(mix(parity + mix(places + np.uint64((b << 40) + (sketch << 36)))))
+            tags.append(np.full(len(parity), 16 * (max(spare, -1) + 1) + 2 * sketch + b - band, np.int32))
+            if spare >= 0:
+                break
+    return np.concatenate(keys), np.concatenate(tags)
+
+
+def cells_of(s: np.ndarray, limits: np.ndarray, percent: int) -> np.ndarray:
+    """The keys alone."""
+    return keyed_cells(s, limits, percent)[0]
 
 
 def _sets(id_col: str, text_col: str, width: int, percent: int):
@@ -136,8 +162,8 @@ def _sets(id_col: str, text_col: str, width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _word_hasher()
         seen: set = set()
-        for batch in batches:
-            sizes, h1, h2, cells = [], [], [], []
+        for batch in slices(batches, text_col):
+            sizes, h1, h2, cells, tags = [], [], [], [], []
             if len(seen) > CACHE_WORDS:
                 seen.clear()
             for text in batch.column(text_col).to_pylist():
@@ -145,11 +171,14 @@ def _sets(id_col: str, text_col: str, width: int, percent: int):
                 key = (len(s), *set_hash(s))
                 for to, v in zip((sizes, h1, h2), key):
                     to.append(v)
-                cells.append(None if key in seen or not len(s) else cells_of(s, limits, percent).view(np.int64))
+                found = (None, None) if key in seen or not len(s) else keyed_cells(s, limits, percent)
+                cells.append(found[0] if found[0] is None else found[0].view(np.int64))
+                tags.append(found[1])
                 seen.add(key)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(id_col), pa.array(sizes, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
-                 pa.array(cells, pa.list_(pa.int64()))], names=[id_col, "n_shingles", "h1", "h2", "cells"])
+                 pa.array(cells, pa.list_(pa.int64())), pa.array(tags, pa.list_(pa.int32()))],
+                names=[id_col, "n_shingles", "h1", "h2", "cells", "tags"])
     return run
 
 
@@ -179,7 +208,7 @@ def _hash_lists(text_col: str, width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _word_hasher()
         seen: set[int | None] = {None}
-        for batch in batches:
+        for batch in slices(batches, text_col):
             ids, raw, sketch, wide = [], [], [], []
             for text in batch.column(text_col).to_pylist():
                 s = shingle_hashes(hashes(text), width)
@@ -231,37 +260,41 @@ def similarity_components(docs: DataFrame, percent: int = 90, width: int = 3, id
                           text_col: str = "text") -> DataFrame:
     """``id, n_shingles, component_id`` for every row: the smallest id
     reachable by links of Jaccard ``percent`` / 100 or more (integer ids)."""
-    spark = docs.sparkSession
-    small_batches(spark)
+    run = Run(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col), F.col(text_col))
-    keyed = saved(docs.mapInArrow(_sets(id_col, text_col, width, percent),
-                                  f"`{id_col}` {kind}, n_shingles long, h1 long, h2 long, cells array<long>"), "sets")
-    sets = keyed.drop("cells")
+    keyed = run.saved(docs.mapInArrow(_sets(id_col, text_col, width, percent),
+                                      f"`{id_col}` {kind}, n_shingles long, h1 long, h2 long, cells array<long>, tags array<int>"), "keyed")
     # Copies in other tasks repeat their cells; the node is the same.
-    cells = keyed.where("cells IS NOT NULL").select(F.col("h1").alias("id"), F.explode("cells").alias("cell"))
-    shared = shared_cells(cells)
+    cells = keyed.where("cells IS NOT NULL").select(F.col("h1").alias("id"), F.inline(F.arrays_zip("cells", "tags")))
+    shared = shared_cells(cells.select("id", F.col("tags").bitwiseAND(F.lit(15)).alias("family"),
+                                       (F.shiftright("tags", 4) - 1).alias("spare"), F.col("cells").alias("cell")), run)
+    sets = run.saved(keyed.drop("cells", "tags"), "sets")
+    run.drop(keyed)
     # One row stands for each node that shares a cell; its text is read again.
     stands = (sets.where(f"n_shingles > 0 AND `{id_col}` IS NOT NULL").groupBy("h1").agg(F.min(id_col).alias("stand"))
               .join(shared.select(F.col("id").alias("h1")).distinct(), "h1", "left_semi").select("stand").distinct())
     texts = docs.select(F.col(id_col).alias("stand"), F.col(text_col).alias("text")).join(stands, "stand", "left_semi")
-    lists = saved(texts.mapInArrow(
+    lists = run.saved(texts.mapInArrow(
         _hash_lists("text", width, percent), "id long, n long, sketch array<long>, wide binary, hashes binary"), "hashes")
 
-    def plausible(pairs: DataFrame, label: str) -> DataFrame:
-        a = lists.select(F.col("id").alias("a"), F.col("wide").alias("wa"), F.col("n").alias("na"))
-        b = lists.select(F.col("id").alias("b"), F.col("wide").alias("wb"), F.col("n").alias("nb"))
-        return saved(pairs.join(a, "a").join(b, "b").select("a", "b", "wa", "wb", (F.col("na") + F.col("nb")).alias("n"))
-                     .mapInArrow(_close(percent), "a long, b long"), label)
+    def sides(pairs: DataFrame, column: str, *more: str) -> DataFrame:
+        for s in "ab":
+            pairs = pairs.join(lists.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in (column, *more)]), s)
+        return pairs
 
     def verified(pairs: DataFrame, label: str) -> DataFrame:
-        a = lists.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
-        b = lists.select(F.col("id").alias("b"), F.col("hashes").alias("hb"))
-        return saved(pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb")
-                     .mapInArrow(_linked(percent), "a long, b long"), label)
+        close = (sides(pairs, "wide", "n").select("a", "b", F.col("wide_a").alias("wa"), F.col("wide_b").alias("wb"), (F.col("n_a") + F.col("n_b")).alias("n"))
+                 .mapInArrow(_close(percent), "a long, b long"))
+        close = run.saved(close, "close")
+        out = run.saved(sides(close, "hashes").select("a", "b", F.col("hashes_a").alias("ha"), F.col("hashes_b").alias("hb"))
+                        .mapInArrow(_linked(percent), "a long, b long"), label)
+        run.drop(close)
+        return out
 
     whole = cell_components(shared, lists.select("id", "n", "sketch"),
-                            lambda x, y: _may_link(x("n"), y("n"), x("sketch"), y("sketch"), percent), plausible, verified)
+                            lambda x, y: _may_link(x("n"), y("n"), x("sketch"), y("sketch"), percent), verified, run)
+    run.drop(shared, lists)
     # The smallest document id of each node, then of each component.
     nodes = sets.where(f"n_shingles > 0 AND `{id_col}` IS NOT NULL").groupBy("h1", "h2").agg(F.min(id_col).alias("first"))
     reached = nodes.join(whole.withColumnRenamed("id", "h1"), "h1", "left").withColumn("c", F.coalesce("component", "h1"))
@@ -269,4 +302,4 @@ def similarity_components(docs: DataFrame, percent: int = 90, width: int = 3, id
     named = reached.join(least, "c").select("h1", "h2", "component_id")
     found = sets.where(f"n_shingles > 0 AND `{id_col}` IS NOT NULL").join(named, ["h1", "h2"]).select(id_col, "n_shingles", "component_id")
     none = sets.where(f"n_shingles = 0 OR `{id_col}` IS NULL").select(id_col, "n_shingles", F.col(id_col).alias("component_id"))
-    return found.unionByName(none)
+    return run.result(found.unionByName(none))

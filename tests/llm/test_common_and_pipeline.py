@@ -21,10 +21,10 @@ def test_components_of_chains_hubs_and_pairs(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_all_ten_are_registered():
+def test_all_operators_are_registered():
     import __spark_entry__ as E
     names = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries()
 
 
@@ -97,7 +97,7 @@ def test_stages_on_awkward_documents(spark, sf, docs, empty):
 def test_queries_match_their_sql(spark, sf, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     want = con.execute(queries.ORACLE[name])
     names = [c[0] for c in want.description]
