@@ -76,10 +76,11 @@ def with_file_month(df: DataFrame, pattern: str = spec.FILE_MONTH_PATTERN,
     return df.withColumns({year_col: F.substring(ym, 1, 4), month_col: F.substring(ym, 6, 2)})
 
 
-def file_listing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``path`` of every file below ``paths``; no file is opened (the binary
-    source reads contents only when that column is asked for)."""
-    return spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths)).select("path")
+def file_listing(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] = ("path",)) -> DataFrame:
+    """``path`` (or ``modificationTime``, ``length``) of every file below
+    ``paths``; no file is opened (the binary source reads contents only when
+    that column is asked for)."""
+    return spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths)).select(*columns)
 
 
 def listed_months(listing: DataFrame, pattern: str = spec.FILE_MONTH_PATTERN) -> DataFrame:
@@ -136,34 +137,12 @@ def reconcile(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [aligned(f) for f in frames])
 
 
-def mergeable_scans(spark: SparkSession, paths: Sequence[str]) -> "list[tuple[list[str], StructType]]":
-    """Cut ``paths`` into lists that Spark can merge into one schema, with
-    those schemas.  Every footer counts: Spark merges them in its tasks.  Only
-    where types conflict are the paths halved, down to single files, so the
-    number of merges follows the number of changes, not of files."""
-    paths = list(paths)
-    try:
-        return [(paths, read_months(spark, paths).schema)]
-    except Exception as exc:  # the class differs between Spark's front ends
-        if "CANNOT_MERGE" not in str(exc):
-            raise
-    if len(paths) == 1:  # one month whose files differ
-        found = sorted(r.path for r in file_listing(spark, paths).collect() if r.path.endswith(".parquet"))
-        if found == paths or len(found) < 2:
-            raise ValueError(f"cannot merge the schemas below {paths[0]}")
-        paths = found
-    half = len(paths) // 2
-    return mergeable_scans(spark, paths[:half]) + mergeable_scans(spark, paths[half:])
-
-
 def read_reconciled(spark: SparkSession, paths: str | Sequence[str], provenance: bool = True) -> DataFrame:
     """Read monthly files whose schemas drifted: one scan per group of files
-    that merge, reconciled by name with widened types.  Without drift this is
-    one merged scan."""
-    groups: "OrderedDict[str, tuple[StructType, list[str]]]" = OrderedDict()
-    for part, schema in mergeable_scans(spark, [paths] if isinstance(paths, str) else paths):
-        groups.setdefault(schema.json(), (schema, []))[1].extend(part)
-    scans = [read_months(spark, part, schema=schema) for schema, part in groups.values()]
+    whose types agree (see :mod:`farelane.sources.footers`), reconciled by
+    name with widened types.  Without drift this is one scan."""
+    from farelane.sources.footers import scan_groups
+    scans = [read_months(spark, part, schema=schema) for schema, part in scan_groups(spark, paths)]
     if provenance:
         scans = [with_file_month(s) for s in scans]
     return scans[0] if len(scans) == 1 else reconcile(scans)

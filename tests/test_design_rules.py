@@ -10,7 +10,9 @@ SOURCES = {n: p.read_text() for p in PKG.rglob("*.py") if not (n := p.relative_t
 BOUNDED_COLLECTS = {
     "plans/quality.py",          # failing gate rows: one per check and column
     "streaming/incremental.py",  # months touched by a micro-batch
-    "sources/files.py",          # months listed; files of one month whose types conflict
+    "streaming/corrections.py",  # months changed, present or built again
+    "sources/files.py",          # months listed
+    "sources/footers.py",        # (dataset, schema); files of one month whose types conflict
     "sinks/parquet.py",          # months published
 }
 
