@@ -125,8 +125,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", run: Run | None = N
 
 #: Rows of a cell from which it is hot.
 HOT_ROWS = 100
-#: Rounds in which every mixed cell holds its members against one more of them.
-LEAD_ROUNDS = 4
+#: Rounds at most in which every mixed cell holds its members against one more of them; pairs a member that need no round.
+LEAD_ROUNDS, PAIRS_A_MEMBER = 4, 10
 
 
 def shared_cells(cells: DataFrame, run: Run, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -140,9 +140,13 @@ def shared_cells(cells: DataFrame, run: Run, hot_rows: int = HOT_ROWS) -> DataFr
     not hot, and does not count in its hot cells; ids that do not count lose
     no link.  Counts are partial aggregates and the join can be split, so a
     hot cell is never gathered."""
-    lead = (cells.groupBy("cell").agg(F.min("id").alias("lead"), F.max("id").alias("last"), F.count("*").alias("n"))
-            .where("lead < last").select("cell", "lead", (F.col("n") > hot_rows).alias("hot")))
-    held = run.saved(cells.join(lead, "cell").distinct(), "shared")
+    # most cells have one row: only the others go on to the wider steps
+    often = run.saved(cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+                      .select("cell", (F.col("n") > hot_rows).alias("hot")), "often")
+    rows = run.saved(cells.join(often, "cell").distinct(), "shared")
+    lead = rows.groupBy("cell").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("cell", "lead")
+    held = run.saved(rows.join(lead, "cell"), "shared")
+    run.drop(often, rows)
     heat = (held.where("hot").groupBy("id", "family").agg(F.count("*").alias("hot_cells"), F.min("spare").alias("room"))
             .where("hot_cells <= room").select("id", "family", F.lit(True).alias("free")))
     out = run.saved(held.join(heat, ["id", "family"], "left")
@@ -172,9 +176,11 @@ def cell_components(shared: DataFrame, facts: DataFrame, may: Callable[[Callable
 
     1. Each member is held against the smallest ids of its cells: first one
        pair a member, which joins tight groups, then those still apart.
-    2. In ``lead_rounds`` rounds every cell that holds several components
-       takes another member, and holds those of other components against it.
-       Each of these rounds and the first are linear in the members.
+    2. In ``lead_rounds`` rounds at most every cell that holds several
+       components takes another member, and holds those of other components
+       against it.  Each of these rounds and the first are linear in the
+       members.  They end early when the cells have at most PAIRS_A_MEMBER
+       pairs a member left.
     3. Members that count (see ``shared_cells``) of cells that still hold
        several components are held against those of other components.
 
@@ -217,15 +223,19 @@ def cell_components(shared: DataFrame, facts: DataFrame, may: Callable[[Callable
         if previous is not None:
             run.drop(previous)
         previous = held
-        if held.isEmpty():
+        members, left = held.groupBy("cell").agg(F.count("*").alias("m")).agg(F.sum("m"), F.sum(F.col("m") * (F.col("m") - 1) / 2)).first()
+        if not members:
             break
-        if turn < lead_rounds:
+        last = turn == lead_rounds or left <= PAIRS_A_MEMBER * members
+        if not last:
             pairs = possible(held.where("c <> lead.c").select(F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b")).distinct())
         else:
             x = held.select("cell", F.col("id").alias("a"), F.col("c").alias("ca")).join(side["a"], "a")
             y = held.select("cell", F.col("id").alias("b"), F.col("c").alias("cb")).join(side["b"], "b")
             pairs = x.join(y, "cell").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & may(a, b)).select("a", "b").distinct()
         comp = joined(verified(pairs, "links"), comp)
+        if last:
+            break
         held = held.select("cell", "id")
     run.drop(previous)
     return comp
