@@ -1,9 +1,12 @@
 """License scans: an exact set-similarity join of text blocks and templates.
 
-A text's words are cut into overlapping blocks: BLOCK_WORDS words, a new one
-every half block, so that a passage of half a block or less lies whole in one.
-A template is found in a block that holds at least ``threshold`` of its
-distinct words.  Words are ordered by how many blocks of the whole corpus hold
+A text's words are cut into overlapping blocks, a new one every half block,
+so that a passage of half a block or less lies whole in one.  A block has
+BLOCK_WORDS words, or twice those of the longest template if that is more, so
+every template fits.  A template is found in a block that holds at least
+``threshold`` of its distinct words.  Templates of different labels that share
+so many words (notices of related licenses) are twins: of twins in one block
+those stay of which it holds the largest share.  Words are ordered by how many blocks of the whole corpus hold
 them, rarest first, and three filters spare almost every comparison:
 
 * prefix: with overlap ``o`` needed, one of a template's ``size - o + 1``
@@ -79,6 +82,11 @@ def blocks_of(places: list[tuple[int, str]], n: int, block: int = BLOCK_WORDS) -
     return out
 
 
+def block_words(templates: list[tuple[str, str]], least: int = BLOCK_WORDS) -> int:
+    """Words of a block, an even number: every template fits in half of one."""
+    return max([least + least % 2, *(2 * len(words_of(t)) for _, t in templates)])
+
+
 class Templates:
     """Templates with their words in the order ``rank`` (rarest first) and an
     index from prefix words to (template, position)."""
@@ -94,6 +102,8 @@ class Templates:
             self.need.append(need)
             for i, w in enumerate(words[:len(words) - need + 1]):
                 self.index.setdefault(w, []).append((t, i))
+        self.twins = [{u for u, other in enumerate(self.sets) if self.labels[u] != self.labels[t]
+                       and len(own & other) >= math.ceil(threshold * min(len(own), len(other)) - 1e-9)} for t, own in enumerate(self.sets)]
 
     def found(self, block: set[str]) -> list[tuple[int, float]]:
         """Templates that the block holds, with their containment."""
@@ -111,7 +121,7 @@ class Templates:
                 both = len(self.sets[t] & block)
                 if both >= self.need[t]:
                     out.append((t, both / len(self.sets[t])))
-        return out
+        return [(t, c) for t, c in out if not any(u in self.twins[t] and d > c for u, d in out)]
 
 
 def word_frequency(docs: DataFrame, templates: list[tuple[str, str]], text_col: str = "text", block: int = BLOCK_WORDS) -> dict[str, int]:
@@ -134,10 +144,11 @@ def word_frequency(docs: DataFrame, templates: list[tuple[str, str]], text_col:
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD,
-         id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK_WORDS) -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", block: int | None = None) -> DataFrame:
     """Per row: n_words, the phrases' places (label, first word) and the found
     blocks (label, template, first word, containment)."""
     templates = TEMPLATES if templates is None else templates
+    block = block_words(templates) if block is None else block
     freq = word_frequency(docs, templates, text_col, block)
     order = sorted({w for _, t in templates for w in words_of(t)}, key=lambda w: (freq.get(w, 0), w))
     index = Templates(templates, {w: i for i, w in enumerate(order)}, threshold)

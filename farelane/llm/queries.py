@@ -158,7 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB SQL where SQL can express the result.
 ORACLE: dict[str, str] = {
     "op2_ngram_jaccard_join": oracle.NGRAM_JOIN,
-    "op6_license_scan": oracle.license_scan(license_scan.TEMPLATES, license_scan.BLOCK_WORDS, str(license_scan.THRESHOLD)),
+    "op6_license_scan": oracle.license_scan(license_scan.TEMPLATES, license_scan.block_words(license_scan.TEMPLATES), str(license_scan.THRESHOLD)),
     "op7_exact_topk": oracle.TOP_K,
     "op12_warc_bundles": oracle.WARC,
     "op13_vector_codes": oracle.VECTOR_CODES,

@@ -19,10 +19,15 @@ def plain(text, templates=L.TEMPLATES, block=L.BLOCK_WORDS):
     found = set()
     for start in L.block_starts(len(words), block):
         held = set(words[start:start + block])
+        here = []
         for t, (label, template) in enumerate(templates):
             own = set(L.words_of(template))
             if len(own & held) >= math.ceil(L.THRESHOLD * len(own) - 1e-9):
-                found.add((label, t, start, round(len(own & held) / len(own), 9)))
+                here.append((label, t, own, len(own & held) / len(own)))
+        for label, t, own, c in here:
+            beaten = any(d > c and other != label and len(own & o) >= math.ceil(L.THRESHOLD * min(len(own), len(o)) - 1e-9) for other, _, o, d in here)
+            if not beaten:
+                found.add((label, t, start, round(c, 9)))
     return len(words), base, sorted(found)
 
 
@@ -76,3 +81,20 @@ def test_filters_lose_nothing_in_any_order(words, order):
     want = {(t, len(set(x.split()) & set(words))) for t, (_, x) in enumerate(templates)
             if len(set(x.split()) & set(words)) >= math.ceil(0.8 * len(set(x.split())))}
     assert {(t, round(c * len(index.sets[t]))) for t, c in index.found(set(words))} == want
+
+
+def test_related_notices_have_their_own_labels(spark):
+    notices = {label: text for label, text in L.TEMPLATES if label in ("gpl", "lgpl") and "redistribute" in text}
+    df = spark.createDataFrame([(1, notices["gpl"]), (2, notices["lgpl"]), (3, notices["gpl"] + " " + " ".join(f"x{i}" for i in range(90)) + " " + notices["lgpl"])],
+                               "doc_id long, text string")
+    got = {r.doc_id: {f.label for f in r.found} for r in L.scan(df).collect()}
+    assert got == {1: {"gpl"}, 2: {"lgpl"}, 3: {"gpl", "lgpl"}}
+
+
+@pytest.mark.parametrize("at", [0, 1, 37, 50, 99, 100, 101, 250])
+def test_a_long_template_is_found_wherever_it_stands(spark, at):
+    template = " ".join(f"term{i}" for i in range(100))
+    text = " ".join(f"fill{i}" for i in range(at)) + " " + template + " " + " ".join(f"more{i}" for i in range(130))
+    got = L.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), [("long", template), ("short", "nowhere at all")]).first()
+    assert {(f.label, f.containment) for f in got.found if f.containment == 1} == {("long", 1.0)}
+    assert L.block_words([("long", template)]) == 200 and L.block_words(L.TEMPLATES) == 64
