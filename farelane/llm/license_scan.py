@@ -103,7 +103,7 @@ class Templates:
             for i, w in enumerate(words[:len(words) - need + 1]):
                 self.index.setdefault(w, []).append((t, i))
         self.twins = [{u for u, other in enumerate(self.sets) if self.labels[u] != self.labels[t]
-                       and len(own & other) >= math.ceil(threshold * min(len(own), len(other)) - 1e-9)} for t, own in enumerate(self.sets)]
+                       and len(own & other) >= math.ceil(threshold * max(len(own), len(other)) - 1e-9)} for t, own in enumerate(self.sets)]
 
     def found(self, block: set[str]) -> list[tuple[int, float]]:
         """Templates that the block holds, with their containment."""

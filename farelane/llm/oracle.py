@@ -48,7 +48,7 @@ hits AS (SELECT DISTINCT doc_id, t, word, s FROM (
 every AS (SELECT doc_id, t, s, label, count(*) / CAST(len(own) AS DOUBLE) AS containment FROM hits JOIN template USING (t)
           GROUP BY doc_id, t, s, label, own HAVING count(*) >= ceil({threshold} * len(own) - 1e-9)),
 twin AS (SELECT a.t, b.t AS u FROM template a JOIN template b ON a.label <> b.label
-         WHERE len(list_intersect(a.own, b.own)) >= ceil({threshold} * least(len(a.own), len(b.own)) - 1e-9)),
+         WHERE len(list_intersect(a.own, b.own)) >= ceil({threshold} * greatest(len(a.own), len(b.own)) - 1e-9)),
 found AS (SELECT * FROM every e WHERE NOT EXISTS (
             SELECT 1 FROM twin JOIN every o ON o.t = twin.u WHERE twin.t = e.t AND o.doc_id = e.doc_id AND o.s = e.s AND o.containment > e.containment)),
 b AS (SELECT doc_id, count(*) AS n_base, min(fst) AS first_word, max(fst) AS last_word,

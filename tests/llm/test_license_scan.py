@@ -25,7 +25,7 @@ def plain(text, templates=L.TEMPLATES, block=L.BLOCK_WORDS):
             if len(own & held) >= math.ceil(L.THRESHOLD * len(own) - 1e-9):
                 here.append((label, t, own, len(own & held) / len(own)))
         for label, t, own, c in here:
-            beaten = any(d > c and other != label and len(own & o) >= math.ceil(L.THRESHOLD * min(len(own), len(o)) - 1e-9) for other, _, o, d in here)
+            beaten = any(d > c and other != label and len(own & o) >= math.ceil(L.THRESHOLD * max(len(own), len(o)) - 1e-9) for other, _, o, d in here)
             if not beaten:
                 found.add((label, t, start, round(c, 9)))
     return len(words), base, sorted(found)
