@@ -319,6 +319,16 @@ def reversal_groups(spark, sf_dir):
     return dedup.reversal_groups(repaired(spark, sf_dir), C)
 
 
+@query("reversal_groups_pruned", O.ctes("d") + f"""
+SELECT {O.REV_KEYS}, sum(total_amount) AS total_amount_sum, count(*) AS count FROM d
+WHERE VendorID IS NOT NULL AND pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL AND PULocationID IS NOT NULL
+  AND DOLocationID IS NOT NULL AND trip_distance IS NOT NULL
+GROUP BY {O.REV_KEYS} HAVING sum(total_amount) = 0 AND count(*) = 2""")
+def reversal_groups_pruned(spark, sf_dir):
+    """Pairs, with a key filter before the shuffle."""
+    return dedup.reversal_groups(dedup.pair_candidates(repaired(spark, sf_dir), C), C)
+
+
 @query("reversal_anti_join", O.ctes("k") + f"SELECT {ID_SQL} FROM j1")
 def reversal_anti_join(spark, sf_dir):
     return dedup.remove_reversals(repaired(spark, sf_dir), C).select(*IDENT)
@@ -791,3 +801,152 @@ def curate_incremental(spark, sf_dir):
         spark, folder, VEHICLE_A, target, scratch_path(spark, "stream-ckpt"),
         lambda raw, cols: curate(harmonize.harmonize_a(raw), dims_, cols), C, files_per_batch=40, strict=True)
     return files.read_partitioned(spark, target, files.curated_schema())
+
+
+# -- files that change, and pairs across months -----------------------------------------------------
+
+from farelane.streaming import corrections  # noqa: E402
+
+CORRECTED_SQL = """raw2 AS (SELECT * REPLACE (CASE WHEN file_year = '1996' AND file_month = '03' THEN fare_amount + 1 ELSE fare_amount END AS fare_amount)
+  FROM raw WHERE NOT (file_year = '1996' AND file_month = '03' AND l_orderkey % 2 = 1)),"""
+LATE_COPIES_SQL = """raw2 AS (SELECT * REPLACE (CASE WHEN copy_no > 0 AND file_month < '12' THEN lpad(CAST(CAST(file_month AS INTEGER) + 1 AS VARCHAR), 2, '0')
+  ELSE file_month END AS file_month) FROM raw),"""
+
+
+def _from_raw2(sql: str, raw2: str) -> str:
+    """The trip chain over other raw rows."""
+    return sql.replace("\nh AS (", "\n" + raw2 + "\nh AS (").replace("FROM raw\n)", "FROM raw2\n)")
+
+
+@query("curate_corrected", _from_raw2(O.curated_sql("a"), CORRECTED_SQL))
+def curate_corrected(spark, sf_dir):
+    """All months published, then one month landed again under its name with
+    rows withdrawn and fares corrected: the next run takes that month alone."""
+    folder, target, home = (scratch_path(spark, f"corrected-{x}") for x in ("raw", "table", "home"))
+    raw, dims_ = trips.flavour_a_raw(spark, sf_dir), adapter_dims(spark, sf_dir)
+    files.write_month_files(raw, folder, VEHICLE_A)
+    run = lambda: corrections.run_corrections(
+        spark, folder, VEHICLE_A, target, home, harmonize.harmonize_a, dims_, C, strict=True)
+    run()
+    again = raw.where("file_year = '1996' AND file_month = '03' AND l_orderkey % 2 = 0").withColumn("fare_amount", F.col("fare_amount") + 1)
+    files.write_month_files(again, folder, VEHICLE_A)
+    run()
+    return files.read_partitioned(spark, target, files.curated_schema())
+
+
+@query("curate_across_months", _from_raw2(O.curated_sql("a"), LATE_COPIES_SQL))
+def curate_across_months(spark, sf_dir):
+    """Reversals and copies that come in the next month's file: the run takes
+    the months in steps and finds pairs and duplicates as one load would."""
+    folder, target, home = (scratch_path(spark, f"across-{x}") for x in ("raw", "table", "home"))
+    later = F.lpad((F.col("file_month").cast("int") + 1).cast("string"), 2, "0")
+    raw = trips.flavour_a_raw(spark, sf_dir).withColumn(
+        "file_month", F.when((F.col("copy_no") > 0) & (F.col("file_month") < "12"), later).otherwise(F.col("file_month")))
+    files.write_month_files(raw, folder, VEHICLE_A)
+    corrections.run_corrections(spark, folder, VEHICLE_A, target, home, harmonize.harmonize_a, adapter_dims(spark, sf_dir), C,
+                                pair_scope="load", months_per_step=31, strict=True)
+    return files.read_partitioned(spark, target, files.curated_schema())
+
+
+# -- reject channels, clustered lookups, run-time pruning, sketches ------------------------------------
+
+@query("cast_rejects", O.ctes("cur") + """
+SELECT * EXCLUDE (bad_fare, bad_time) REPLACE (CASE WHEN bad_fare THEN NULL ELSE fare_amount END AS fare_amount,
+                                               CASE WHEN bad_time THEN NULL ELSE pickup_datetime END AS pickup_datetime),
+       concat_ws(',', CASE WHEN bad_time THEN 'pickup_datetime' END, CASE WHEN bad_fare THEN 'fare_amount' END) AS failed_columns,
+       concat_ws(',', CASE WHEN bad_time THEN '1998-13-01' END, CASE WHEN bad_fare THEN 'n/a' END) AS failed_values,
+       CASE WHEN bad_fare OR bad_time THEN 'reject' ELSE 'good' END AS channel
+FROM (SELECT *, pu_location_id % 7 = 0 AS bad_fare, do_location_id % 11 = 0 AS bad_time FROM cur)""")
+def cast_rejects(spark, sf_dir):
+    """The curated table as text with malformed fares and timestamps: both
+    outputs of the cast, split by one write."""
+    text = files.read_partitioned(spark, _curated_table(spark, sf_dir), files.curated_schema())
+    text = text.select(*[F.col(c).cast("string").alias(c) for c in text.columns])
+    broken = text.withColumns({
+        "fare_amount": F.when(F.col("pu_location_id").cast("int") % 7 == 0, "n/a").otherwise(F.col("fare_amount")),
+        "pickup_datetime": F.when(F.col("do_location_id").cast("int") % 11 == 0, "1998-13-01").otherwise(F.col("pickup_datetime"))})
+    path = scratch_path(spark, "cast")
+    shape.cast_or_reject(broken).withColumn("channel", F.when(shape.is_reject(), "reject").otherwise("good")).write.partitionBy("channel").parquet(path)
+    joined = lambda c: F.concat_ws(",", c).alias(c)
+    return spark.read.parquet(path).select(*text.columns, joined("failed_columns"), joined("failed_values"), "channel")
+
+
+REJECT_KINDS = """CASE c_custkey % 40 WHEN 1 THEN 'unclosed quote' WHEN 2 THEN 'too few fields' WHEN 3 THEN 'too many fields'
+  WHEN 4 THEN 'bad c_custkey' WHEN 5 THEN 'no key' WHEN 6 THEN 'doubled key' ELSE 'good' END"""
+
+
+@query("lookup_rejects", f"""
+WITH k AS (SELECT c_custkey, c_name, {REJECT_KINDS} AS finding FROM customer)
+SELECT finding, CASE WHEN finding = 'doubled key' THEN c_custkey END AS c_custkey,
+       CASE finding WHEN 'unclosed quote' THEN c_custkey || ', "' || c_name || ', x,' WHEN 'too few fields' THEN CAST(c_custkey AS VARCHAR)
+                    WHEN 'too many fields' THEN c_custkey || ', "' || c_name || '", x, more,' WHEN 'bad c_custkey' THEN 'k' || c_custkey || ', "' || c_name || '", x,'
+                    WHEN 'no key' THEN ', "' || c_name || '", x,' END AS line,
+       CAST(CASE WHEN finding = 'doubled key' THEN 2 ELSE 1 END AS BIGINT) AS n
+FROM k WHERE finding <> 'good'""")
+def lookup_rejects(spark, sf_dir):
+    """Customer rows as a hand-edited lookup file with broken lines and
+    doubled keys: every rejected line with its reason, every doubled key."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.expr(REJECT_KINDS).alias("kind"))
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    sound = F.concat(key, F.lit(', "'), name, F.lit('", x,'))
+    line = (F.when(F.col("kind") == "unclosed quote", F.concat(key, F.lit(', "'), name, F.lit(", x,")))
+             .when(F.col("kind") == "too few fields", key)
+             .when(F.col("kind") == "too many fields", F.concat(key, F.lit(', "'), name, F.lit('", x, more,')))
+             .when(F.col("kind") == "bad c_custkey", F.concat(F.lit("k"), sound))
+             .when(F.col("kind") == "no key", F.concat(F.lit(', "'), name, F.lit('", x,'))).otherwise(sound))
+    lines = cust.select(F.explode(F.when(F.col("kind") == "doubled key", F.array(line, line)).otherwise(F.array(line))).alias("value"))
+    path = scratch_path(spark, "broken-lookup")
+    lines.write.text(path)
+    rows = dims.read_csv_checked(spark, path, "c_custkey bigint, c_name string, c_segment string", "c_custkey")
+    doubled = dims.doubled_keys(rows.where("reason IS NULL"), "c_custkey")
+    none = F.lit(None)
+    return rows.where("reason IS NOT NULL").select(
+        F.col("reason").alias("finding"), none.cast("bigint").alias("c_custkey"), "line", F.lit(1).cast("bigint").alias("n")).unionByName(
+        doubled.select(F.lit("doubled key").alias("finding"), "c_custkey", none.cast("string").alias("line"), F.col("count").alias("n")))
+
+
+def _clustered_table(spark, sf_dir) -> str:
+    def build():
+        path = scratch_path(spark, "clustered")
+        sink.write_clustered(curate_trips(spark, sf_dir), path, ["pu_location_id", "do_location_id", "pickup_datetime"], ["do_location_id"])
+        return path
+    return trips._memo(spark, ("clustered", sf_dir), build)
+
+
+@query("point_lookup_clustered", O.ctes("cur") + "SELECT * FROM cur WHERE pu_location_id = 3 AND do_location_id = 5")
+def point_lookup_clustered(spark, sf_dir):
+    """A trip lookup on the clustered curated table."""
+    held = files.read_partitioned(spark, _clustered_table(spark, sf_dir), files.curated_schema())
+    return clean.point_lookup(held, {"pu_location_id": 3, "do_location_id": 5})
+
+
+@query("last_months_pruned", O.ctes("cur", extra="""lastm AS (
+  SELECT DISTINCT file_year, file_month FROM cur ORDER BY file_year DESC, file_month DESC LIMIT 3)""") + """
+SELECT c.* FROM cur c JOIN lastm USING (file_year, file_month)""")
+def last_months_pruned(spark, sf_dir):
+    return files.read_last_months(spark, _curated_table(spark, sf_dir), 3, files.curated_schema())
+
+
+SKETCHED = {"q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99}
+
+
+@query("quantile_sketches", O.ctes("cur") + """
+SELECT g.payment_type_desc, q.name, g.n, TRUE AS within_error
+FROM (SELECT CASE WHEN payment_type <> 5 THEN payment_type_desc END AS payment_type_desc, count(*) AS n FROM cur GROUP BY 1) g,
+     (VALUES ('q1'), ('median'), ('q3'), ('p99')) q(name)""")
+def quantile_sketches(spark, sf_dir):
+    """Fare quantiles of all months from one stored sketch a month and group
+    (a NULL group among them), held against the exact ranks."""
+    cur = files.read_partitioned(spark, _curated_table(spark, sf_dir), files.curated_schema()).withColumn(
+        "payment_type_desc", F.when(F.col("payment_type") != 5, F.col("payment_type_desc")))
+    path, groups = scratch_path(spark, "sketches"), ["payment_type_desc"]
+    profile.month_sketches(cur, groups, "fare_amount").write.partitionBy("file_year", "file_month").parquet(path)
+    merged = profile.sketch_quantiles(spark.read.parquet(path), groups, SKETCHED)
+    long = merged.unpivot(["payment_type_desc", "n"], list(SKETCHED), "name", "value")
+    of = long.withColumnRenamed("payment_type_desc", "_g")
+    ranks = (cur.join(F.broadcast(of), F.col("payment_type_desc").eqNullSafe(F.col("_g")))  # a row a group and quantile
+                .groupBy("_g", "name", "n").agg((F.count_if(F.col("fare_amount") < F.col("value")) / F.first("n")).alias("below"),
+                                                (F.count_if(F.col("fare_amount") <= F.col("value")) / F.first("n")).alias("upto")))
+    wanted = F.element_at(F.create_map(*[x for k, p in SKETCHED.items() for x in (F.lit(k), F.lit(p))]), F.col("name"))
+    within = (wanted >= F.col("below") - profile.RANK_ERROR) & (wanted <= F.col("upto") + profile.RANK_ERROR)
+    return ranks.select(F.col("_g").alias("payment_type_desc"), "name", "n", within.alias("within_error"))

@@ -38,6 +38,8 @@ def run_job(spark: SparkSession, jobs: str, run_mode: str, months: int, raw_root
     if jobs not in JOB_FLAVOURS:
         raise ValueError("jobs must be yellow, green or both")
     ensure_checkpoint_dir(spark)
+    if isinstance(lookups, str) and strict and (found := dims.check_lookup_folder(spark, lookups)):
+        raise ValueError("lookup files: " + "; ".join(f"{name}: {n} x {what}" for name, what, n in found))
     tables = dims.read_lookup_folder(spark, lookups) if isinstance(lookups, str) else lookups
     dim_set = {"ratecode": tables["ratecode"], "payment_type": tables["payment_type"],
                "zone": tables["taxi_zone"]}
@@ -61,7 +63,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--lookups", required=True)
     p.add_argument("--curated-root", required=True)
     p.add_argument("--report-only", action="store_true", help="publish even when a gate check fails")
-    p.add_argument("--plan", choices=("fused", "window"), default="fused",
+    p.add_argument("--plan", choices=("fused", "window", "pruned"), default="fused",
                    help="physical plan for pair removal + keep-best (window: only for data without hot keys)")
     p.add_argument("--pair-scope", choices=("load", "month"), default="load",
                    help="search pairs and duplicates in all loaded months, or inside each file month (as the stream does)")

@@ -25,6 +25,36 @@ def reversal_groups(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataF
               .filter((F.col("total_amount_sum") == 0) & (F.col("count") == 2)))
 
 
+#: Bits of the key filter for each row that it holds, and its size at most (128 MB; it is broadcast).
+FILTER_BITS, FILTER_LIMIT = 8, 1 << 30
+
+
+def pair_candidates(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS, limit: int = FILTER_LIMIT) -> DataFrame:
+    """The rows of ``df`` whose pair keys may form a pair, before any shuffle.
+
+    Two totals that cancel are not both positive.  The key hashes of the rows
+    with a total of 0 or less set the bits of a filter, whose size follows
+    their number; it is broadcast, as bitmaps of 4 KB, and only rows whose bit
+    is set go on.  All rows of a key go on or none, so groups stay whole; a
+    bit shared by chance keeps rows that the aggregate then rejects.  Where
+    the filter would be larger than ``limit`` bits, every row goes on."""
+    keys = list(cols.reversal_keys)
+    whole = X.all_not_null(keys)
+    low = df.where((F.col(cols.total) <= 0) & whole)
+    bits = 1 << max(15, (FILTER_BITS * low.count()).bit_length())
+    if bits > limit:
+        return df
+    place = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    bitmaps = (low.select(place.alias("_p")).groupBy(F.bitmap_bucket_number("_p").alias("_bucket"))
+                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_p")).alias("_bits")))
+    placed = df.where(whole).withColumn("_p", place).withColumn("_bucket", F.bitmap_bucket_number("_p"))
+    at = F.bitmap_bit_position("_p").cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    mask = F.element_at(F.lit([1 << i for i in range(8)]), at % 8 + 1)
+    return (placed.join(F.broadcast(bitmaps), "_bucket").where(byte.bitwiseAND(mask) != 0)  # at most `limit` bits
+                  .select(*df.columns))
+
+
 def remove_reversals(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
     """Drop both rows of every reversal pair (left-anti join on the six keys;
     pairs with a NULL key part never match, exactly as an equi-join)."""
@@ -46,7 +76,7 @@ def drop_reversals_windowed(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS)
     return df.withColumn("_pair", pair).filter(~F.col("_pair")).drop("_pair")
 
 
-def reversal_members(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
+def reversal_members(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS, prune: bool = False) -> DataFrame:
     """(reversal keys + fare) of every member row of a reversal pair.
 
     Used by the fused curation plan: because a reversal group holds exactly
@@ -54,8 +84,10 @@ def reversal_members(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> Data
     left-anti join on the seven de-duplication keys *after* keep-best, which
     reuses keep-best's hash partitioning (only this small side shuffles).
     Groups with a NULL key part are excluded, matching the equi-join form.
+    ``prune``: only :func:`pair_candidates` are shuffled, for one more scan.
     """
     keys = list(cols.reversal_keys)
+    df = pair_candidates(df, cols) if prune else df
     pairs = (df.groupBy(*keys)
                .agg(F.sum(cols.total).alias("_sum"), F.count(F.lit(1)).alias("_n"),
                     F.min(cols.fare).alias("_f1"), F.max(cols.fare).alias("_f2"))

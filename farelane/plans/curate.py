@@ -19,7 +19,9 @@ carries one of the two member fares.  Every shuffle is preceded by a
 map-side reduction, so a key holding a third of the rows never lands whole
 in one task.  ``plan="window"`` computes the pair test with window aggregates
 on the same exchange as keep-best (one scan, one shuffle), for data known to
-have no hot key.
+have no hot key.  ``plan="pruned"`` is the fused plan with a key filter before
+the pair shuffle (two more narrow scans, hardly a row shuffled for pairs), for
+data whose network is dearer than its scans.
 """
 
 from __future__ import annotations
@@ -36,23 +38,21 @@ def _remove_pairs_and_duplicates(df: DataFrame, cols: TripColumns, plan: str) ->
         df = dedup.drop_reversals_windowed(df, cols)
         df = clean.filter_both_zero(clean.filter_non_negative(df, cols), cols)
         return dedup.dedup_trips(df, cols)
-    members = dedup.reversal_members(df, cols)
+    members = dedup.reversal_members(df, cols, prune=plan == "pruned")
     kept = dedup.dedup_trips(clean.filter_both_zero(clean.filter_non_negative(df, cols), cols), cols)
     return kept.join(members, on=list(cols.dedup_keys), how="left_anti")
 
 
-def curate_columns(df: DataFrame, dims: dict[str, DataFrame], cols: TripColumns = DEFAULT_COLUMNS,
-                   plan: str = "fused", zone_key: str = "LocationID") -> DataFrame:
-    """Harmonised raw trips (with file_year / file_month) -> every curated
-    column under its source name (before the curated layout).
+def prepare(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """Harmonised raw trips with their totals and timestamps in order: the
+    rows in which pairs and duplicates are searched."""
+    return clean.repair_timestamps(clean.recompute_total(df, cols), cols)
 
-    ``dims`` needs ``ratecode``, ``payment_type`` and ``zone``.  NULL
-    timestamps are filled from the file month and the clamp and date parts
-    are computed after that fill, so filled rows get date parts too.
-    """
-    df = clean.recompute_total(df, cols)
-    df = clean.repair_timestamps(df, cols)
-    df = _remove_pairs_and_duplicates(df, cols, plan)
+
+def complete(df: DataFrame, dims: dict[str, DataFrame], cols: TripColumns = DEFAULT_COLUMNS, zone_key: str = "LocationID") -> DataFrame:
+    """The rows kept of the prepared ones: imputed, looked up and measured.
+    NULL timestamps are filled from the file month and the clamp and date
+    parts are computed after that fill, so filled rows get date parts too."""
     df = clean.impute_passengers(df, cols)
     df = clean.impute_zero(df, cols)
     df = clean.impute_codes(df, cols)
@@ -64,6 +64,17 @@ def curate_columns(df: DataFrame, dims: dict[str, DataFrame], cols: TripColumns
     return measures.flag_outliers(df, cols)
 
 
+def curate_columns(df: DataFrame, dims: dict[str, DataFrame], cols: TripColumns = DEFAULT_COLUMNS,
+                   plan: str = "fused", zone_key: str = "LocationID") -> DataFrame:
+    """Harmonised raw trips (with file_year / file_month) -> every curated
+    column under its source name (before the curated layout).
+
+    ``dims`` needs ``ratecode``, ``payment_type`` and ``zone``.
+    """
+    kept = _remove_pairs_and_duplicates(prepare(df, cols), cols, plan)
+    return complete(kept, dims, cols, zone_key)
+
+
 def curate(df: DataFrame, dims: dict[str, DataFrame], cols: TripColumns = DEFAULT_COLUMNS,
            plan: str = "fused", zone_key: str = "LocationID", timestamp_type: str = "ntz") -> DataFrame:
     """Harmonised raw trips -> the 44-column curated trips.  ``timestamp_type``

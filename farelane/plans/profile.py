@@ -121,3 +121,24 @@ def boxplot_stats(df: DataFrame, groups: Sequence[str], value: str, digits: int
     return q.join(ends, "_g").select(
         *[F.col(f"_g.{g}").alias(g) for g in groups], F.col("n").cast("bigint").alias("n"), r("min"), r("q1"), r("median"),
         r("q3"), r("max"), r("iqr"), r("lower_fence"), r("upper_fence"), F.col("n_outliers").cast("bigint").alias("n_outliers"))
+
+
+# -- mergeable quantile sketches ---------------------------------------------------------
+
+#: Size of a sketch and the rank error to count on: a quantile's rank lies within RANK_ERROR of the one asked for
+#: (the sketch's own bound at this size is 0.7 % in 99 of 100 cases).
+SKETCH_K, RANK_ERROR = 400, 0.01
+
+
+def month_sketches(df: DataFrame, groups: Sequence[str], value: str, months: Sequence[str] = ("file_year", "file_month"), k: int = SKETCH_K) -> DataFrame:
+    """One KLL sketch of ``value`` per month and group, a few KB whatever the
+    rows.  Kept as a table, any span of months is profiled without reading
+    its rows again.  NULL values are ignored; a NULL group is a group."""
+    return df.groupBy(*months, *groups).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("sketch"),
+                                            F.count(value).alias("n")).where("n > 0")
+
+
+def sketch_quantiles(sketches: DataFrame, groups: Sequence[str], probs: dict[str, float], k: int = SKETCH_K) -> DataFrame:
+    """``groups, n`` and the quantiles of all months in ``sketches``."""
+    merged = sketches.groupBy(*groups).agg(F.kll_merge_agg_double("sketch", F.lit(k)).alias("_s"), F.sum("n").alias("n"))
+    return merged.select(*groups, "n", *[F.kll_sketch_get_quantile_double("_s", F.lit(float(p))).alias(name) for name, p in probs.items()])

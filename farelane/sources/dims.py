@@ -9,6 +9,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from farelane import spec
+from farelane.operators.dedup import duplicate_keys
 
 CSV_SCHEMAS = {
     "payment_type": StructType([StructField("payment_type", IntegerType()),
@@ -46,6 +47,53 @@ def read_lookup_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]
             for name, schema in CSV_SCHEMAS.items()}
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType | str, key: str) -> DataFrame:
+    """As :func:`read_csv_dim`, and beside the columns each row's ``line`` and
+    ``reason``: NULL for a sound row, else the first of ``unclosed quote``,
+    ``too few fields``, ``too many fields`` (blank ones behind the last do not
+    count), ``bad <column>`` (text that the type refuses) and ``no key``.
+    Header and blank lines are no rows."""
+    fields = (schema if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema).fields
+    n, names = len(fields), [f.name for f in fields]
+    lines = spark.read.text(path).select(F.rtrim(F.regexp_replace("value", "\r$", "")).alias("line")).where("line <> ''")
+    bare = F.regexp_replace("line", '"([^"]|"")*"', "q")  # sound quoted fields
+    lines = lines.where(F.regexp_replace(F.lower("line"), '[\\s"]', "").rlike("^" + ",".join(x.lower() for x in names) + ",*$") == F.lit(False))
+    split = F.split(bare, ",", -1)
+    text = F.from_csv("line", ", ".join(f"`{x}` string" for x in names),
+                      {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "escape": '"', "mode": "PERMISSIVE"})
+    raw = lines.withColumns({"_text": text, "_fields": split, "_open": F.contains(bare, F.lit('"'))})
+    value = {f.name: F.trim(F.col(f"_text.{f.name}")) for f in fields}
+    typed = {f.name: value[f.name] if isinstance(f.dataType, StringType) else value[f.name].try_cast(f.dataType) for f in fields}
+    beyond = F.exists(F.slice("_fields", n + 1, F.greatest(F.size("_fields") - n, F.lit(0))), lambda x: F.trim(x) != "")
+    reason = F.when(F.col("_open"), "unclosed quote").when(F.size("_fields") < n, "too few fields").when(beyond, "too many fields")
+    for f in fields:
+        reason = reason.when((value[f.name] != "") & typed[f.name].isNull(), f"bad {f.name}")
+    reason = reason.when(typed[key].isNull(), "no key")
+    return raw.select(*[typed[x].alias(x) for x in names], "line", reason.alias("reason"))
+
+
+def doubled_keys(dim: DataFrame, key: str) -> DataFrame:
+    """Lookup keys that occur more than once: each would multiply the facts
+    that a left join matches with it."""
+    return duplicate_keys(dim.where(F.col(key).isNotNull()), [key])
+
+
+LOOKUP_KEYS = {"payment_type": "payment_type", "ratecode": "RatecodeID", "trip_type": "trip_type", "taxi_zone": "LocationID"}
+
+
+def check_lookup_folder(spark: SparkSession, folder: str) -> list[tuple[str, str, int]]:
+    """(table, finding, rows) of the four lookup files: rejected lines by
+    reason, and doubled keys.  Empty if all are sound; one row a finding."""
+    found: list[tuple[str, str, int]] = []
+    for name, schema in CSV_SCHEMAS.items():
+        rows = read_csv_checked(spark, f"{folder.rstrip('/')}/{name}.csv", schema, LOOKUP_KEYS[name])
+        reasons = rows.where("reason IS NOT NULL").groupBy("reason").count().collect()
+        found += sorted((name, r["reason"], r["count"]) for r in reasons)
+        doubled = doubled_keys(rows.where("reason IS NULL"), LOOKUP_KEYS[name]).count()
+        found += [(name, "doubled key", doubled)] if doubled else []
+    return found
+
+
 def code_tables(spark: SparkSession) -> dict[str, DataFrame]:
     """The three small code dimensions from their fixed values.
 

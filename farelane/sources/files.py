@@ -7,7 +7,7 @@ from collections import OrderedDict
 from functools import reduce
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DataType, DecimalType, DoubleType, FloatType,
                                IntegerType, LongType, ShortType, StringType, StructType)
@@ -167,3 +167,19 @@ def read_partitioned(spark: SparkSession, path: str, schema: StructType | str |
     if schema is not None:  # partition columns come last from the reader: restore declared order
         df = df.select(*spark.createDataFrame([], schema).columns)
     return df.where(where) if where is not None else df
+
+
+def read_last_months(spark: SparkSession, path: str, months: int, schema: StructType | str | None = None) -> DataFrame:
+    """The last ``months`` (fewer than PAST_MONTHS_MAX) months that a
+    partitioned table holds.  Which those are is found at run time, from the
+    listing: Spark prunes the table's folders by the result of that side of
+    the join, and the driver sees no month."""
+    if not 0 < months < spec.PAST_MONTHS_MAX:
+        raise ValueError(f"months must lie between 0 and {spec.PAST_MONTHS_MAX}")
+    folder = r"/file_year=(\d{4})/file_month=(\d{2})/[^/]*$"
+    held = (file_listing(spark, f"{path.rstrip('/')}/file_year=*/file_month=*")
+            .select(F.regexp_extract("path", folder, 1).alias("file_year"), F.regexp_extract("path", folder, 2).alias("file_month")).distinct())
+    recent = Window.orderBy(F.desc("file_year"), F.desc("file_month"))  # one row a month
+    manifest = held.withColumn("_n", F.row_number().over(recent)).where(F.col("_n") <= months).drop("_n")
+    table = read_partitioned(spark, path, schema)
+    return table.join(F.broadcast(manifest), ["file_year", "file_month"]).select(*table.columns)  # at most `months` rows

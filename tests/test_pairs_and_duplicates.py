@@ -66,3 +66,36 @@ def test_duplicate_keys_counts(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 1), (2, 1), (2, 1)], "a int, b int")
     got = sorted(tuple(r) for r in dedup.duplicate_keys(df, ["a", "b"]).collect())
     assert got == [(1, 1, 2), (2, 1, 3)]
+
+
+def _shuffled_rows(df):
+    """Rows written by the exchanges of an executed plan."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    total, todo = 0, [plan.finalPhysicalPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        todo += [node.children().apply(i) for i in range(node.children().length())]
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+    return total
+
+
+def test_the_key_filter_keeps_groups_whole_and_prunes_the_shuffle(spark):
+    base = spark.range(20_000).select(
+        F.lit(1).alias("VendorID"), (F.lit(T0) + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id").cast("int"), F.lit(0))).cast("timestamp_ntz").alias("pickup_datetime"),
+        F.lit(T1).cast("timestamp_ntz").alias("dropoff_datetime"), F.when(F.col("id") % 1000 != 7, 3).alias("PULocationID"), F.lit(2).alias("DOLocationID"),
+        F.lit(1.5).alias("trip_distance"), F.lit(5.0).alias("fare_amount"), F.lit(6.0).alias("total_amount"), F.col("id").cast("int").alias("rid"))
+    back = base.where("rid % 200 < 2").withColumns({"fare_amount": F.lit(-5.0), "total_amount": F.lit(-6.0)})
+    again = base.where("rid % 400 = 1")  # charge, reversal and charge again
+    df = base.unionByName(back).unionByName(again).repartition(5).checkpoint()
+    some = dedup.pair_candidates(df, COLS)
+    want, got = dedup.reversal_groups(df, COLS), dedup.reversal_groups(some, COLS)
+    assert sorted(map(str, want.collect())) == sorted(map(str, got.collect())) and want.count() > 100
+    assert _shuffled_rows(got) < _shuffled_rows(want) / 2
+    assert some.count() < df.count() / 20
+    assert dedup.pair_candidates(df, COLS, limit=1024) is df
+    for plan in ("fused", "pruned"):
+        assert kept(_remove_pairs_and_duplicates(df, COLS, plan)) == kept(_remove_pairs_and_duplicates(df, COLS, "literal"))
