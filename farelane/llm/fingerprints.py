@@ -16,7 +16,11 @@ Defined results: NULL text counts as empty and has no anchors; a text of
 fewer than six tokens has one anchor, of all its tokens; where no window is
 chosen (six to eight tokens), the one with the smallest anchor is.  So only a
 text without tokens has none.  Two empty fingerprints have likeness 1, an
-empty and another one 0.
+empty and another one 0.  Ids are integers; NULL comes first.  ``with_next``
+reads the id and the text alone, whatever other columns are called;
+``with_fingerprint`` and ``with_positions`` replace a column named like their
+result and pass the others.  An empty table gives no rows.  All rows of one
+repeated id are one group, that is one task.
 """
 
 from __future__ import annotations
