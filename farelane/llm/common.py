@@ -87,8 +87,13 @@ def slices(batches: Iterator[pa.RecordBatch], text_col: str, most: int = 2 << 20
 
 
 def worker_cache(name: str) -> dict:
-    """A dict kept by the Python worker between its tasks.  Callers bound it."""
+    """A dict kept by the Python worker between its tasks.  Callers bound it.
+    A worker goes on from one operator to the next: the tables of the others
+    are let go, so that a worker holds one operator's at a time."""
     home = sys.modules.setdefault("farelane_worker_cache", types.ModuleType("farelane_worker_cache"))
+    for other, held in home.__dict__.items():
+        if isinstance(held, dict) and other not in (name, "__builtins__") and not other.startswith("__"):
+            held.clear()
     return home.__dict__.setdefault(name, {})
 
 

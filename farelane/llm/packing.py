@@ -35,7 +35,7 @@ CAPACITY = 2048
 GROUP_ROWS = 100_000
 ROW = "packing__row"
 #: Distinct words, and parts of words, that a Python worker remembers (about 200 bytes each).
-CACHE_WORDS, CACHE_PARTS = 800_000, 800_000
+CACHE_WORDS, CACHE_PARTS = 500_000, 500_000
 #: Words of these characters alone split into PARTS exactly where the pre-tokenizer splits.
 SIMPLE = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+")
 PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\\[-`{-~]+| ")
