@@ -844,7 +844,7 @@ def curate_across_months(spark, sf_dir):
         "file_month", F.when((F.col("copy_no") > 0) & (F.col("file_month") < "12"), later).otherwise(F.col("file_month")))
     files.write_month_files(raw, folder, VEHICLE_A)
     corrections.run_corrections(spark, folder, VEHICLE_A, target, home, harmonize.harmonize_a, adapter_dims(spark, sf_dir), C,
-                                pair_scope="load", months_per_step=31, strict=True)
+                                pair_scope="load", months_per_step=42, strict=True)
     return files.read_partitioned(spark, target, files.curated_schema())
 
 
