@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from farelane import spec
 from farelane.operators import harmonize
 from farelane.plans.curate import curate
-from farelane.session import ensure_checkpoint_dir
+from farelane.session import ensure_checkpoint_dir, ensure_plan_settings
 from farelane.sinks.parquet import gated_publish
 from farelane.sources import dims, runmodes
 
@@ -38,6 +38,7 @@ def run_job(spark: SparkSession, jobs: str, run_mode: str, months: int, raw_root
     if jobs not in JOB_FLAVOURS:
         raise ValueError("jobs must be yellow, green or both")
     ensure_checkpoint_dir(spark)
+    ensure_plan_settings(spark)
     if isinstance(lookups, str) and strict and (found := dims.check_lookup_folder(spark, lookups)):
         raise ValueError("lookup files: " + "; ".join(f"{name}: {n} x {what}" for name, what, n in found))
     tables = dims.read_lookup_folder(spark, lookups) if isinstance(lookups, str) else lookups

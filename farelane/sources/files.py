@@ -23,6 +23,14 @@ def month_file_name(vehicle: str, year: Column, month: Column) -> Column:
                     F.lpad(month.cast("string"), 2, "0"), F.lit(".parquet"))
 
 
+def by_month_file(df: DataFrame, vehicle: str, year_col: str = "file_year", month_col: str = "file_month") -> DataFrame:
+    """``df`` with the name of each row's month file as ``raw_file``, dealt and
+    sorted by it.  Called on rows before they are widened, this moves the
+    narrow rows only: :func:`write_month_files` then shuffles nothing."""
+    return (df.withColumn("raw_file", month_file_name(vehicle, F.col(year_col), F.col(month_col)))
+              .hint("rebalance", "raw_file").sortWithinPartitions("raw_file"))
+
+
 def write_month_files(df: DataFrame, folder: str, vehicle: str,
                       year_col: str = "file_year", month_col: str = "file_month",
                       overwrite: str = "dynamic") -> str:
@@ -32,11 +40,10 @@ def write_month_files(df: DataFrame, folder: str, vehicle: str,
     in the name, as with downloaded monthly files).  A rebalance on the month
     lets AQE split a large month over several writers and merge small ones,
     so one month holding a third of the rows is not written by one task.
+    Rows that :func:`by_month_file` has arranged are written as they lie.
     ``dynamic`` overwrite replaces only the months written (vintages can be
     landed one after another into the same folder)."""
-    out = (df.withColumn("raw_file", month_file_name(vehicle, F.col(year_col), F.col(month_col)))
-             .drop(year_col, month_col)
-             .hint("rebalance", "raw_file"))
+    out = (df if "raw_file" in df.columns else by_month_file(df, vehicle, year_col, month_col)).drop(year_col, month_col)
     (out.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
         .partitionBy("raw_file").parquet(folder))
     return folder

@@ -28,25 +28,39 @@ def _null_when(cond: Column, value: Column) -> Column:
     return F.when(cond, F.lit(None)).otherwise(value)
 
 
-def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One trip per line item (copy 0), common column names."""
+def source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a trip is derived from, once for every copy of it: the line, its
+    order's date and file month, its customer's nation and ``copy_no`` (0, and
+    1 where orderkey % 50 = 0, and 2 where orderkey % 40 = 1).  Orders meet
+    their customers first, so that lines are shuffled once and narrow."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     od = spark.read.parquet(f"{sf_dir}/orders.parquet")
     cu = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    j = (li.join(od, li.l_orderkey == od.o_orderkey)
-           .join(cu, od.o_custkey == cu.c_custkey))
+    dated = od.join(cu, od.o_custkey == cu.c_custkey).select("o_orderkey", "o_orderdate", "c_nationkey")
+    ok = F.col("l_orderkey")
+    copies = F.array_compact(F.array(F.lit(0), F.when(ok % 50 == 0, F.lit(1)), F.when(ok % 40 == 1, F.lit(2))))
+    return li.join(dated, li.l_orderkey == dated.o_orderkey).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+        "o_orderdate", "c_nationkey", F.explode(copies).alias("copy_no"),
+        F.year("o_orderdate").cast("string").alias("file_year"), F.lpad(F.month("o_orderdate").cast("string"), 2, "0").alias("file_month"))
+
+
+def trips_of(lines: DataFrame) -> DataFrame:
+    """Trips with common column names from :func:`source_lines`.  Columns of
+    other names pass through."""
     pk, sk, ok, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_linenumber")
     base = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(0), (pk % 1440).cast("int"), F.lit(0))
     years_back = F.when(ok % 53 == 0, F.lit(3)).otherwise(F.lit(0))
     stretch = (F.when(pk % 89 == 0, F.lit(-1)).when(pk % 83 == 0, F.lit(30)).otherwise(F.lit(1)))
     no_time = pk % 97 == 0
-    return j.select(
+    own = {"l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "o_orderdate", "c_nationkey",
+           "l_orderkey", "l_partkey", "l_suppkey", "copy_no", "file_year", "file_month"}
+    t = lines.select(
         (sk % 3).cast("int").alias("VendorID"),
         _null_when(no_time, base - F.make_ym_interval(years_back, F.lit(0))).alias("pickup_datetime"),
         _null_when(no_time, base + F.make_dt_interval(
             F.lit(0), F.lit(0), F.col("l_quantity").cast("int") * stretch, F.lit(0))).alias("dropoff_datetime"),
-        F.year("o_orderdate").cast("string").alias("file_year"),
-        F.lpad(F.month("o_orderdate").cast("string"), 2, "0").alias("file_month"),
+        "file_year", "file_month",
         _null_when(sk % 31 == 0, sk % 25).cast("int").alias("PULocationID"),
         F.col("c_nationkey").cast("int").alias("DOLocationID"),
         _null_when(ln == 7, ln - 1).cast("bigint").alias("passenger_count"),
@@ -66,21 +80,18 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _null_when(ok % 19 == 0, F.when(sk % 4 == 0, 1.75).otherwise(0.0)).alias("Airport_fee"),
         _null_when(ok % 23 == 0, (pk % 5) * 0.25).alias("ehail_fee"),
         _null_when(ln == 5, F.when(pk % 2 == 1, 0.75).otherwise(0.0)).alias("cbd_congestion_fee"),
-        ok.alias("l_orderkey"), pk.alias("l_partkey"), sk.alias("l_suppkey"),
+        ok.alias("l_orderkey"), pk.alias("l_partkey"), sk.alias("l_suppkey"), "copy_no",
+        *[c for c in lines.columns if c not in own],
     )
+    back, again = F.col("copy_no") == 1, F.col("copy_no") == 2
+    charges = {x: F.when(back, -F.col(x)).otherwise(F.col(x)) for x in spec.TOTAL_COMPONENTS}
+    return t.withColumns({**charges, "tip_amount": F.when(again, F.lit(None)).otherwise(charges["tip_amount"])})
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip lines plus reversal copies (charges negated, orderkey % 50 = 0)
     and duplicate copies (tip missing, orderkey % 40 = 1)."""
-    t0 = trip_lines(spark, sf_dir)
-    ok = F.col("l_orderkey")
-    original = t0.withColumn("copy_no", F.lit(0))
-    reversal = (t0.filter(ok % 50 == 0)
-                  .withColumns({"copy_no": F.lit(1), **{x: -F.col(x) for x in spec.TOTAL_COMPONENTS}}))
-    duplicate = (t0.filter(ok % 40 == 1)
-                   .withColumns({"tip_amount": F.lit(None).cast("double"), "copy_no": F.lit(2)}))
-    return original.unionByName(reversal).unionByName(duplicate)
+    return trips_of(source_lines(spark, sf_dir))
 
 
 def _raw_total() -> Column:
@@ -89,7 +100,17 @@ def _raw_total() -> Column:
 
 def flavour_a_raw(spark: SparkSession, sf_dir: str, cbd: bool = False) -> DataFrame:
     """Yellow-shaped raw records (tpep_* names, airport fee; no trip type, e-hail or CBD fee)."""
-    t = raw_trips(spark, sf_dir)
+    return flavour_a_of(source_lines(spark, sf_dir), cbd)
+
+
+def _arranged(t: DataFrame) -> list[str]:
+    """The file name that :func:`farelane.sources.files.by_month_file` gave the lines."""
+    return [c for c in t.columns if c == "raw_file"]
+
+
+def flavour_a_of(lines: DataFrame, cbd: bool = False) -> DataFrame:
+    """Yellow-shaped raw records of lines."""
+    t = trips_of(lines)
     return t.select(
         "VendorID",
         F.col("pickup_datetime").alias("tpep_pickup_datetime"),
@@ -98,12 +119,17 @@ def flavour_a_raw(spark: SparkSession, sf_dir: str, cbd: bool = False) -> DataFr
         "PULocationID", "DOLocationID", "payment_type", "fare_amount",
         "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge",
         _raw_total().alias("total_amount"), "Airport_fee", *(["cbd_congestion_fee"] if cbd else []),
-        "file_year", "file_month", *IDENTITY)
+        "file_year", "file_month", *IDENTITY, *_arranged(t))
 
 
 def flavour_b_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Green-shaped raw records (lpep_* names, e-hail fee, trip type, CBD fee)."""
-    t = raw_trips(spark, sf_dir)
+    return flavour_b_of(source_lines(spark, sf_dir))
+
+
+def flavour_b_of(lines: DataFrame) -> DataFrame:
+    """Green-shaped raw records of lines."""
+    t = trips_of(lines)
     return t.select(
         "VendorID",
         F.col("pickup_datetime").alias("lpep_pickup_datetime"),
@@ -113,7 +139,7 @@ def flavour_b_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee", "improvement_surcharge",
         _raw_total().alias("total_amount"),
         "payment_type", "trip_type", "congestion_surcharge", "cbd_congestion_fee",
-        "file_year", "file_month", *IDENTITY)
+        "file_year", "file_month", *IDENTITY, *_arranged(t))
 
 
 # -- landed raw files ----------------------------------------------------------------
@@ -137,11 +163,12 @@ def land_raw(spark: SparkSession, sf_dir: str, flavour: str = "a") -> str:
     """Write the flavour's raw records once per session as monthly raw files
     under the shared checkpoint folder; returns the folder."""
     from farelane.session import scratch_path
-    from farelane.sources.files import write_month_files
+    from farelane.sources.files import by_month_file, write_month_files
 
     def build():
         folder = scratch_path(spark, f"raw-{FLAVOUR_VEHICLE[flavour]}") + "/" + TRAP_FOLDER
-        df = flavour_a_raw(spark, sf_dir) if flavour == "a" else flavour_b_raw(spark, sf_dir)
+        lines = by_month_file(source_lines(spark, sf_dir), FLAVOUR_VEHICLE[flavour])
+        df = flavour_a_of(lines) if flavour == "a" else flavour_b_of(lines)
         return write_month_files(df, folder, FLAVOUR_VEHICLE[flavour])
     return _memo(spark, (sf_dir, flavour), build)
 
@@ -171,25 +198,30 @@ def land_vintages(spark: SparkSession, sf_dir: str, kind: str) -> str:
     VendorID is int before 1997 and bigint after; passenger_count is int,
     then bigint (1997-1998), then double (from 1999).
     """
-    from farelane.session import scratch_path
-    from farelane.sources.files import write_month_files
+    from farelane.session import remove_path, scratch_path
+    from farelane.sources.files import by_month_file, write_month_files
 
     def build():
-        folder = scratch_path(spark, f"vintage-{kind}") + "/" + TRAP_FOLDER
-        raw = flavour_a_raw(spark, sf_dir, cbd=kind == "columns")
+        folder, held = scratch_path(spark, f"vintage-{kind}") + "/" + TRAP_FOLDER, scratch_path(spark, "lines")
+        lines = source_lines(spark, sf_dir)
+        lines.write.parquet(held)  # joined once for all vintages
+        lines = spark.read.schema(lines.schema).parquet(held)
+
+        def raw(which) -> DataFrame:
+            return flavour_a_of(by_month_file(lines.filter(which), FLAVOUR_VEHICLE["a"]), cbd=kind == "columns")
         y = F.col("file_year").cast("int")
         if kind == "columns":
-            old = (raw.filter(y < COLUMN_VINTAGE_YEAR).drop("cbd_congestion_fee")
-                      .withColumnRenamed("Airport_fee", "airport_fee"))
-            parts = [old, raw.filter(y >= COLUMN_VINTAGE_YEAR)]
+            old = raw(y < COLUMN_VINTAGE_YEAR).drop("cbd_congestion_fee").withColumnRenamed("Airport_fee", "airport_fee")
+            parts = [old, raw(y >= COLUMN_VINTAGE_YEAR)]
         else:
             a, b = TYPE_VINTAGE_YEARS
-            parts = [raw.filter(y < a).withColumns({"VendorID": F.col("VendorID").cast("int"),
-                                                    "passenger_count": F.col("passenger_count").cast("int")}),
-                     raw.filter((y >= a) & (y < b)).withColumns({"VendorID": F.col("VendorID").cast("bigint")}),
-                     raw.filter(y >= b).withColumns({"VendorID": F.col("VendorID").cast("bigint"),
-                                                     "passenger_count": F.col("passenger_count").cast("double")})]
+            parts = [raw(y < a).withColumns({"VendorID": F.col("VendorID").cast("int"),
+                                             "passenger_count": F.col("passenger_count").cast("int")}),
+                     raw((y >= a) & (y < b)).withColumns({"VendorID": F.col("VendorID").cast("bigint")}),
+                     raw(y >= b).withColumns({"VendorID": F.col("VendorID").cast("bigint"),
+                                              "passenger_count": F.col("passenger_count").cast("double")})]
         for part in parts:
             write_month_files(part, folder, FLAVOUR_VEHICLE["a"])
+        remove_path(spark, held)
         return folder
     return _memo(spark, ("vintage", sf_dir, kind), build)
