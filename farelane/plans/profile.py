@@ -16,6 +16,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from farelane.session import staged
 
 CHECKS = {
     "zero": lambda c: F.col(c) == 0,
@@ -63,14 +64,13 @@ CHUNKS = 64
 
 def _chunked_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
     """``_g`` (struct of the groups, equal also where NULL), ``_v``, its count
-    ``_n`` and its ``_chunk``.  Checkpointed, so later steps share one copy."""
+    ``_n`` and its ``_chunk``.  Staged, so later steps share one copy."""
     counts = (df.where(F.col(value).isNotNull())
-                .groupBy(F.struct(*groups).alias("_g"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-                .checkpoint())
+                .groupBy(F.struct(*groups).alias("_g"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
+    counts = staged(counts, "counts")
     edges = counts.groupBy("_g").agg(F.percentile_approx("_v", [i / CHUNKS for i in range(1, CHUNKS)], 1000).alias("_edges"))
-    return (counts.join(edges, "_g")
-                  .select("_g", "_v", "_n", F.size(F.filter("_edges", lambda e: e < F.col("_v"))).alias("_chunk"))
-                  .checkpoint())
+    return staged(counts.join(edges, "_g")
+                  .select("_g", "_v", "_n", F.size(F.filter("_edges", lambda e: e < F.col("_v"))).alias("_chunk")), "counts")
 
 
 def _quantiles(counts: DataFrame, probs: dict[str, float]) -> DataFrame:

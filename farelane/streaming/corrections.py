@@ -25,6 +25,7 @@ is broken off repeats its step and comes to the same tables.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +34,9 @@ from pyspark.sql.types import StructType
 
 from farelane import spec
 from farelane.functions import columns as X
-from farelane.operators import clean, dedup, shape
-from farelane.plans.curate import complete, prepare
+from farelane.operators import dedup, shape
+from farelane.plans.curate import complete, not_dropped, prepare, remove_pairs_and_duplicates
+from farelane.session import staged
 from farelane.sinks.parquet import PARTITION_COLUMNS, clear_month, gated_publish, write_partitioned
 from farelane.sources.files import curated_schema, file_listing, month_glob
 from farelane.sources.runmodes import Month, read_selected
@@ -89,12 +91,17 @@ class KeyState:
     def of_months(self, rows: DataFrame) -> dict[str, DataFrame]:
         """The state's rows of prepared trips: one pass each, reduced before the shuffle."""
         cols = self.cols.by_month()
-        kept = clean.filter_both_zero(clean.filter_non_negative(rows, cols), cols)
         tie = self.cols.tiebreak or [c for c in rows.columns if c not in (*self.best_keys, self.cols.total, *PARTITION_COLUMNS)]
-        return {"pairs": rows.groupBy(*self.pair_keys, *PARTITION_COLUMNS).agg(F.sum(self.cols.total).alias("_sum"), F.count("*").alias("_n"))
-                             .where(X.all_not_null(self.pair_keys)),
-                "best": dedup.dedup_trips(kept, cols).select(*self.best_keys, F.col(self.cols.total).alias("_total"),
-                                                             F.struct(*tie).alias("_tie"), *PARTITION_COLUMNS)}
+        best = [*self.best_keys, F.col(self.cols.total).alias("_total"), F.struct(*tie).alias("_tie"), *PARTITION_COLUMNS]
+        # a row that no other of its month shares the pair keys with is its own pair row and best row
+        alone, together = dedup.split_shared(rows, cols.reversal_keys)
+        pairs = (together.groupBy(*self.pair_keys, *PARTITION_COLUMNS).agg(F.sum(self.cols.total).alias("_sum"), F.count("*").alias("_n"))
+                 .hint("rebalance", *PARTITION_COLUMNS))
+        leads = dedup.dedup_trips(not_dropped(together, cols), cols).select(*best).hint("rebalance", *PARTITION_COLUMNS)
+        if alone is not None:
+            single = alone.select(*self.pair_keys, *PARTITION_COLUMNS, F.col(self.cols.total).alias("_sum"), F.lit(1).cast("bigint").alias("_n"))
+            pairs, leads = single.unionByName(pairs), not_dropped(alone, cols).select(*best).unionByName(leads)
+        return {"pairs": pairs.where(X.all_not_null(self.pair_keys)), "best": leads}
 
     def stored(self, name: str, like: DataFrame, years: Sequence[int]) -> DataFrame:
         held = table_or_empty(self.spark, self.paths[name], like.schema).select(*like.columns)
@@ -115,16 +122,34 @@ class KeyState:
         lost = F.col("_first").isNotNull() & ~(F.struct(*PARTITION_COLUMNS) == F.struct(*[F.col(f"_first.{c}") for c in PARTITION_COLUMNS]))
         return met.where(F.col("_pair").isNotNull() | lost).select(*self.best_keys, *PARTITION_COLUMNS)
 
+    def shared(self, *states: dict[str, DataFrame]) -> Callable[[dict[str, DataFrame]], dict[str, DataFrame]]:
+        """What cuts a state down to the pair keys that more than one row of
+        ``states`` stands for: no other key is in a pair or a duplicate."""
+        hashes = F.xxhash64(*self.pair_keys).alias("_h")
+        # a key without NULL is in the pair rows, whatever the best rows say
+        rows = [x for s in states for x in (s["pairs"].select(hashes, F.col("_n").alias("_rows")),
+                                            s["best"].where(~X.all_not_null(self.pair_keys)).select(hashes, F.lit(1).cast("bigint").alias("_rows")))]
+        many = staged(reduce(DataFrame.unionByName, rows).groupBy("_h").agg(F.sum("_rows").alias("_n")).where("_n > 1").select("_h"), "shared-keys")
+        bitmaps = dedup.key_bitmaps(many)
+        if bitmaps is None:
+            return lambda state: state
+        held = bitmaps.rows.checkpoint()  # 128 MB at most
+        return lambda state: {k: x.join(F.broadcast(held), bitmaps.bucket(self.pair_keys)).where(bitmaps.hit(self.pair_keys)).select(*x.columns)
+                              for k, x in state.items()}
+
     def decide(self, months: Sequence[Month], new: dict[str, DataFrame]) -> tuple[list[Month], DataFrame]:
         """What the changed ``months`` bring about: other months in which rows
         now stay or go, and the rows that go of these and the changed ones."""
-        years = [int(y) for y, _ in months]
+        years, whole = [int(y) for y, _ in months], new
         old = {k: self.stored(k, new[k], years) for k in new}
+        cut = self.shared(old, new)
+        old, new = ({k: staged(x, f"near-{k}") for k, x in cut(s).items()} for s in (old, new))
         kept = {k: old[k].where(~in_months(months)).unionByName(new[k]) for k in new}
         # keys of the changed months, before and after
         mine = [x.where(in_months(months)).select(*self.best_keys) for x in (old["best"], new["best"])]
         pair = [x.where(in_months(months)).select(*self.pair_keys) for x in (old["pairs"], new["pairs"])]
-        touched = mine[0].unionByName(mine[1]).select(*self.pair_keys).unionByName(pair[0].unionByName(pair[1])).distinct().checkpoint()
+        touched = mine[0].unionByName(mine[1]).select(*self.pair_keys).unionByName(pair[0].unionByName(pair[1])).distinct()
+        touched = staged(touched, "touched")
         of = [F.col(k).alias(f"_t{i}") for i, k in enumerate(self.pair_keys)]
         met = [F.col(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(self.pair_keys)]
 
@@ -132,7 +157,7 @@ class KeyState:
             near = {k: x.join(touched.select(*of), met, "left_semi") for k, x in state.items()}
             return self.drops(near["pairs"], near["best"])
 
-        before, after = dropped(old), dropped(kept).checkpoint()
+        before, after = dropped(old), staged(dropped(kept), "dropped")
         here = ~in_months(months)
         differ = before.where(here).exceptAll(after.where(here)).unionByName(after.where(here).exceptAll(before.where(here)))
         others = sorted(tuple(r) for r in differ.select(*PARTITION_COLUMNS).distinct().collect())
@@ -140,7 +165,8 @@ class KeyState:
             return [], after.where(in_months(months))
         # a month that is built again needs all its drops, not those of the touched keys alone
         years = [int(y) for y, _ in [*months, *others]]
-        kept = {k: self.stored(k, new[k], years).where(~in_months(months)).unionByName(new[k]) for k in new}
+        kept = {k: self.stored(k, whole[k], years).where(~in_months(months)).unionByName(whole[k]) for k in whole}
+        kept = self.shared(kept)(kept)
         return others, self.drops(kept["pairs"], kept["best"]).where(in_months([*months, *others]))
 
     def none(self) -> dict[str, DataFrame]:
@@ -150,7 +176,7 @@ class KeyState:
 
     def write(self, months: Sequence[Month], new: dict[str, DataFrame]) -> None:
         for name, rows in new.items():
-            write_partitioned(rows, self.paths[name])
+            write_partitioned(rows, self.paths[name], arranged=True)
             present = {tuple(r) for r in rows.select(*PARTITION_COLUMNS).distinct().collect()}
             for month in set(months) - present:
                 clear_month(self.spark, self.paths[name], month, rows.schema)
@@ -183,13 +209,17 @@ def run_corrections(spark: SparkSession, folder: str, vehicle: str, target: str,
 
     def publish(rows: DataFrame, drop: DataFrame | None, some: Sequence[Month]) -> None:
         if drop is None:
-            rows = rows.join(dedup.reversal_groups(rows, scoped).select(*scoped.reversal_keys), list(scoped.reversal_keys), "left_anti")
-        kept = dedup.dedup_trips(clean.filter_both_zero(clean.filter_non_negative(rows, scoped), scoped), scoped)
-        if drop is not None:
+            kept = remove_pairs_and_duplicates(rows, scoped, "fused", arranged=True)
+        else:
             keys = [*cols.dedup_keys, *PARTITION_COLUMNS]
+            named = drop.select(F.xxhash64(*[F.col(k).cast(rows.schema[k].dataType) for k in keys]).alias("_h"))
+            alone, together = dedup.split_shared(rows, keys, named)
             gone = drop.select(*[F.col(k).alias(f"_d{i}") for i, k in enumerate(keys)])
-            kept = kept.join(gone, [F.col(k).eqNullSafe(F.col(f"_d{i}")) for i, k in enumerate(keys)], "left_anti")
-        gated_publish(shape.to_curated(complete(kept, dims, cols)), target, strict, some, unique_key=unique)
+            kept = (dedup.dedup_trips(not_dropped(together, scoped), scoped)
+                    .join(gone, [F.col(k).eqNullSafe(F.col(f"_d{i}")) for i, k in enumerate(keys)], "left_anti")
+                    .hint("rebalance", *PARTITION_COLUMNS))
+            kept = kept if alone is None else not_dropped(alone, scoped).unionByName(kept)
+        gated_publish(shape.to_curated(complete(kept, dims, cols)), target, strict, some, unique_key=unique, arranged=True)
 
     step = months_per_step or len(months) or 1
     for at in range(0, len(months), step):
@@ -200,11 +230,11 @@ def run_corrections(spark: SparkSession, folder: str, vehicle: str, target: str,
             if here:
                 publish(prepared(here), None, some)
         else:
-            new = {k: x.checkpoint() for k, x in (state.of_months(prepared(here)) if here else state.none()).items()}
+            new = {k: staged(x, f"new-{k}") for k, x in (state.of_months(prepared(here)) if here else state.none()).items()}
             others, drop = state.decide(some, new)
             built = [m for m in [*here, *others] if m in present]
             if built:
-                publish(prepared(built), drop.checkpoint(), [*some, *others])
+                publish(prepared(built), staged(drop, "drop"), [*some, *others])
             state.write(some, new)
         for month in set(some) - present:
             clear_month(spark, target, month, spark.createDataFrame([], curated_schema()).schema)

@@ -32,11 +32,11 @@ from farelane.spec import DEFAULT_COLUMNS, TripColumns
 
 def run_incremental(spark: SparkSession, folder: str, vehicle: str, target: str, checkpoint: str,
                     curate_fn: Callable[[DataFrame, TripColumns], DataFrame],
-                    cols: TripColumns = DEFAULT_COLUMNS, files_per_batch: int = 0, strict: bool = False) -> list:
+                    cols: TripColumns = DEFAULT_COLUMNS, files_per_batch: int = 0, strict: bool = False, arranged: bool = False) -> list:
     """Process all raw files not yet seen; returns the per-batch gate failures.
 
     ``curate_fn`` gets the raw rows of whole months and ``cols`` scoped to the
-    file month.  The stream carries file names only, so files of any schema
+    file month (``arranged``: its rows lie by month).  The stream carries file names only, so files of any schema
     vintage pass."""
     reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     if files_per_batch:
@@ -49,7 +49,7 @@ def run_incremental(spark: SparkSession, folder: str, vehicle: str, target: str,
         if months:
             curated = curate_fn(read_selected(spark, folder, vehicle, months), cols.by_month())
             failures.extend((epoch_id,) + tuple(r) for r in gated_publish(
-                curated, target, strict, months, unique_key=(*spec.QUALITY_UNIQUE_KEY, "file_year", "file_month")))
+                curated, target, strict, months, unique_key=(*spec.QUALITY_UNIQUE_KEY, "file_year", "file_month"), arranged=arranged))
 
     query = (stream.writeStream.foreachBatch(rebuild_months)
              .option("checkpointLocation", checkpoint)
