@@ -42,13 +42,15 @@ def pair_candidates(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS, limit: i
     keys = list(cols.reversal_keys)
     whole = X.all_not_null(keys)
     low = df.where((F.col(cols.total) <= 0) & whole)
-    bitmaps = key_bitmaps(low.select(F.xxhash64(*keys).alias("_h")), limit)
+    bitmaps = key_bitmaps(staged(low.select(F.xxhash64(*keys).alias("_h")), "low-keys"), limit)
     return df if bitmaps is None else df.where(whole).join(F.broadcast(bitmaps.rows), bitmaps.bucket(keys)).where(bitmaps.hit(keys)).select(*df.columns)
 
 
 class KeyBitmaps:
-    """A set of key hashes as bitmaps of 4 KB (``_bucket, _bits``), to be
-    broadcast.  Keys that are in the set always hit; others do by chance."""
+    """A set of key hashes as bitmaps of 4 KB (``_bucket, _words``: 512 words),
+    to be broadcast.  Keys that are in the set always hit; others do by
+    chance.  A probe reads one word in place: a bitmap held as binary would be
+    copied for every row."""
 
     def __init__(self, rows: DataFrame, bits: int):
         self.rows, self.bits = rows, bits
@@ -60,11 +62,10 @@ class KeyBitmaps:
         return F.bitmap_bucket_number(self._place(keys)) == F.col("_bucket")
 
     def hit(self, keys: Sequence[str]) -> Column:
-        """Whether the bit of the keys is set in ``_bits`` (NULL: no bitmap met)."""
+        """Whether the bit of the keys is set in ``_words`` (NULL: no bitmap met)."""
         at = F.bitmap_bit_position(self._place(keys)).cast("int")
-        byte = F.conv(F.hex(F.substring(F.col("_bits"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
-        mask = F.element_at(F.lit([1 << i for i in range(8)]), at % 8 + 1)
-        return byte.bitwiseAND(mask) != 0
+        in_word = 56 - F.shiftright(at, 3).bitwiseAND(7) * 8 + at.bitwiseAND(7)  # a word's first byte is its highest
+        return F.getbit(F.get("_words", F.shiftright(at, 6)), in_word) != 0
 
 
 def key_bitmaps(hashes: DataFrame, limit: int = FILTER_LIMIT) -> KeyBitmaps | None:
@@ -74,8 +75,10 @@ def key_bitmaps(hashes: DataFrame, limit: int = FILTER_LIMIT) -> KeyBitmaps | No
     if bits > limit:
         return None
     place = F.pmod("_h", F.lit(bits))
-    return KeyBitmaps(hashes.select(place.alias("_p")).groupBy(F.bitmap_bucket_number("_p").alias("_bucket"))
-                      .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_p")).alias("_bits")), bits)
+    built = (hashes.select(place.alias("_p")).groupBy(F.bitmap_bucket_number("_p").alias("_bucket"))
+                   .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_p")).alias("_bits")))
+    word = lambda i: F.conv(F.hex(F.substring(F.col("_bits"), i * 8 + 1, F.lit(8))), 16, -10).cast("bigint")
+    return KeyBitmaps(built.select("_bucket", F.transform(F.sequence(F.lit(0), F.lit(511)), word).alias("_words")), bits)
 
 
 def shared_hashes(keys_and_rows: DataFrame, keys: Sequence[str], rows: str | None = None) -> DataFrame:

@@ -7,14 +7,15 @@ date parts) -> code and zone lookups -> measures -> outlier flags -> layout.
 
 Physical plan (``plan="fused"``, the default)::
 
-    raw --> 6-key hashes that two rows have --> bitmaps; rows that miss them are
-            neither in a pair nor duplicates and are not shuffled; the others:
-
-    raw --+--> partial agg(6 keys: n, sum, min/max fare) --exchange--> final agg
-          |        -> pair members (6 keys + fare), small
-          +--> filters -> partial top-1 per 7 keys --exchange(7 keys)--> top-1
-                   -> left-anti join members on the 7 keys (only members shuffle)
-                   -> impute / broadcast lookups / measures / flags (narrow)
+    raw --> rows whose 6 keys a row with a total of 0 or less has (bitmaps)
+          -> partial agg(6 keys: n, sum, min/max fare) --exchange--> final agg
+          -> pair members (6 keys + fare), small
+    raw --> 7-key hashes that two rows or a pair member have --> bitmaps; rows
+            that miss them are neither in a pair nor duplicates and are not
+            shuffled, however many share their 6 keys; the others:
+            filters -> partial top-1 per 7 keys --exchange(7 keys)--> top-1
+              -> left-anti join members on the 7 keys (only members shuffle)
+    both -> impute / broadcast lookups / measures / flags (narrow)
 
 Removing pairs after keep-best is exact: a pair group on the six keys is
 removed whole, duplicate groups nest inside it, and a surviving row always
@@ -22,9 +23,8 @@ carries one of the two member fares.  Every shuffle is preceded by a
 map-side reduction, so a key holding a third of the rows never lands whole
 in one task.  ``plan="window"`` computes the pair test with window aggregates
 on the same exchange as keep-best (one scan, one shuffle), for data known to
-have no hot key.  ``plan="pruned"`` is the fused plan with a key filter before
-the pair shuffle (two more narrow scans, hardly a row shuffled for pairs), for
-data whose network is dearer than its scans.
+have no hot key.  ``plan="pruned"`` has the key filter before the pair shuffle, but sends every
+row through keep-best.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelane.operators import clean, dedup, enrich, measures, shape
+from farelane.session import staged
 from farelane.spec import DEFAULT_COLUMNS, TripColumns
 
 
@@ -42,20 +43,33 @@ def _remove_pairs_and_duplicates(df: DataFrame, cols: TripColumns, plan: str, ar
         return dedup.dedup_trips(not_dropped(df, cols), cols)
     if plan == "pruned":
         return _fused(df, cols, prune=True)
-    # pairs and duplicates agree in the pair keys: rows that share theirs with none are neither
-    alone, together = dedup.split_shared(df, cols.reversal_keys)
-    kept = _fused(together, cols)
+    members, alone, together = apart(df, cols)
+    kept = _best_without(members, together, cols)
     if arranged:  # the others lie as they were read: by month file
         kept = kept.hint("rebalance", cols.file_year, cols.file_month)
     return kept if alone is None else not_dropped(alone, cols).unionByName(kept)
 
 
+def apart(df: DataFrame, cols: TripColumns) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """``df`` as (pair members, alone, together): only rows ``together`` may be
+    in a pair or have duplicates (``alone`` is None where these are too many
+    to tell apart).  Many rows may share the pair keys and differ in fare, so
+    pairs are found first, from the narrow rows that may form one."""
+    narrow = df.select(*cols.reversal_keys, cols.total, cols.fare)
+    members = dedup.reversal_members(staged(dedup.pair_candidates(narrow, cols), "pair-candidates"), cols)
+    named = members.select(F.xxhash64(*cols.dedup_keys).alias("_h"))
+    return members, *dedup.split_shared(df, cols.dedup_keys, named)
+
+
 def not_dropped(df: DataFrame, cols: TripColumns) -> DataFrame:
     return clean.filter_both_zero(clean.filter_non_negative(df, cols), cols)
 
 
 def _fused(df: DataFrame, cols: TripColumns, prune: bool = False) -> DataFrame:
-    members = dedup.reversal_members(df, cols, prune=prune)
+    return _best_without(dedup.reversal_members(df, cols, prune=prune), df, cols)
+
+
+def _best_without(members: DataFrame, df: DataFrame, cols: TripColumns) -> DataFrame:
     kept = dedup.dedup_trips(not_dropped(df, cols), cols)
     return kept.join(members, on=list(cols.dedup_keys), how="left_anti").select(*df.columns)
 

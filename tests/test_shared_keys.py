@@ -3,8 +3,9 @@ from pyspark.sql import functions as F
 
 from farelane import session
 from farelane.operators import dedup
-from farelane.plans import quality
+from farelane.plans import curate, quality
 from farelane.session import METHOD_LIMIT, ensure_plan_settings
+from farelane.spec import TripColumns
 
 
 def rows(df):
@@ -51,3 +52,38 @@ def test_the_method_limit_is_set_where_the_session_has_none(spark):
         assert spark.conf.get(METHOD_LIMIT) == "9000"
     finally:
         spark.conf.set(METHOD_LIMIT, before)
+
+
+def test_bitmaps_hold_every_place(spark):
+    places = spark.range(0, 40_000, 3).select(F.col("id").alias("_h"))
+    bitmaps = dedup.key_bitmaps(places)
+
+    class Plain(dedup.KeyBitmaps):
+        def _place(self, keys):
+            return F.col(keys[0])
+    probe = Plain(bitmaps.rows, bitmaps.bits)
+    met = spark.range(bitmaps.bits).join(F.broadcast(bitmaps.rows), probe.bucket(["id"]), "left")
+    hits = met.where(F.coalesce(probe.hit(["id"]), F.lit(False))).select("id")
+    assert rows(hits) == rows(places.withColumnRenamed("_h", "id"))
+
+
+TRIPS = """SELECT CAST({v} AS INT) AS VendorID, TIMESTAMP_NTZ '2023-01-01 00:00:00' + make_dt_interval(0, 0, CAST(id % 40 AS INT)) AS pickup_datetime,
+  TIMESTAMP_NTZ '2023-01-01 05:00:00' AS dropoff_datetime, 7 AS PULocationID, 8 AS DOLocationID, 1.5D AS trip_distance,
+  CAST({f} AS DOUBLE) AS fare_amount, CAST({t} AS DOUBLE) AS total_amount, id AS rid FROM range({n})"""
+
+
+def test_rows_that_share_pair_keys_alone_are_not_shuffled(spark):
+    """Fifty rows a pair key, all of other fares; a pair, and duplicates, among other keys."""
+    cols = TripColumns(tiebreak=("rid",))
+    many = spark.sql(TRIPS.format(v=1, f="id + 1", t="id + 2", n=2000))
+    pair = spark.sql(TRIPS.format(v=2, f="CASE WHEN id < 40 THEN 5 ELSE -5 END", t="CASE WHEN id < 40 THEN 6 ELSE -6 END", n=80))
+    twice = spark.sql(TRIPS.format(v=3, f="id % 40 + 1", t="id", n=80))
+    nulls = spark.sql(TRIPS.format(v="NULL", f="id % 40 + 1", t="id + 1", n=80))
+    zeros = spark.sql(TRIPS.format(v=4, f="id + 1", t="CASE WHEN id >= 40 THEN NULL ELSE 0 END", n=80))
+    df = many.unionByName(pair).unionByName(twice).unionByName(nulls).unionByName(zeros)
+    _, alone, together = curate.apart(df, cols)
+    assert rows(alone.unionAll(together)) == rows(df)
+    assert together.count() < 80 * 4 + 400 and alone.where("VendorID = 1").count() > 1600
+    kept = {plan: rows(curate._remove_pairs_and_duplicates(df, cols, plan).select("rid", "VendorID")) for plan in ("fused", "window", "pruned")}
+    assert kept["fused"] == kept["window"] == kept["pruned"]
+    assert len(kept["fused"]) == 2000 + 40 + 40  # many, the better of twice, of nulls
