@@ -30,40 +30,44 @@ def reversal_groups(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataF
 FILTER_BITS, FILTER_LIMIT = 8, 1 << 30
 
 
-def pair_candidates(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS, limit: int = FILTER_LIMIT) -> DataFrame:
+def pair_candidates(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS, limit: int = FILTER_LIMIT, nulls: bool = False) -> DataFrame:
     """The rows of ``df`` whose pair keys may form a pair, before any shuffle.
 
     Two totals that cancel are not both positive.  The key hashes of the rows
     with a total of 0 or less set the bits of a filter, whose size follows
-    their number; it is broadcast, as bitmaps of 4 KB, and only rows whose bit
+    their number; it is broadcast, as small bitmaps, and only rows whose bit
     is set go on.  All rows of a key go on or none, so groups stay whole; a
     bit shared by chance keeps rows that the aggregate then rejects.  Where
-    the filter would be larger than ``limit`` bits, every row goes on."""
+    the filter would be larger than ``limit`` bits, every row goes on.
+    ``nulls``: keys with a NULL part are left to the aggregate to reject."""
     keys = list(cols.reversal_keys)
     whole = X.all_not_null(keys)
     low = df.where((F.col(cols.total) <= 0) & whole)
     bitmaps = key_bitmaps(staged(low.select(F.xxhash64(*keys).alias("_h")), "low-keys"), limit)
-    return df if bitmaps is None else df.where(whole).join(F.broadcast(bitmaps.rows), bitmaps.bucket(keys)).where(bitmaps.hit(keys)).select(*df.columns)
+    if bitmaps is None:
+        return df
+    return (df if nulls else df.where(whole)).join(F.broadcast(bitmaps.rows), bitmaps.bucket(keys)).where(bitmaps.hit(keys)).select(*df.columns)
 
 
 class KeyBitmaps:
-    """A set of key hashes as bitmaps of 4 KB (``_bucket, _words``: 512 words),
-    to be broadcast.  Keys that are in the set always hit; others do by
-    chance.  A probe reads one word in place: a bitmap held as binary would be
-    copied for every row."""
+    """A set of key hashes as bitmaps of 512 bytes (``_bucket, _words``: 64
+    words), to be broadcast.  Keys that are in the set always hit; others do by
+    chance.  The bitmaps are small as a wide stage, which Spark does not
+    compile as a whole, copies one for every row; no part of the condition
+    may be NULL, or Spark would work out the keys a second time to filter on it."""
 
     def __init__(self, rows: DataFrame, bits: int):
         self.rows, self.bits = rows, bits
 
     def _place(self, keys: Sequence[str]) -> Column:
-        return F.pmod(F.xxhash64(*keys), F.lit(self.bits))
+        return F.xxhash64(*keys).bitwiseAND(F.lit(self.bits - 1))  # a power of two
 
     def bucket(self, keys: Sequence[str]) -> Column:
-        return F.bitmap_bucket_number(self._place(keys)) == F.col("_bucket")
+        return F.shiftright(self._place(keys), 12) == F.col("_bucket")
 
     def hit(self, keys: Sequence[str]) -> Column:
         """Whether the bit of the keys is set in ``_words`` (NULL: no bitmap met)."""
-        at = F.bitmap_bit_position(self._place(keys)).cast("int")
+        at = self._place(keys).bitwiseAND(F.lit(4095)).cast("int")
         in_word = 56 - F.shiftright(at, 3).bitwiseAND(7) * 8 + at.bitwiseAND(7)  # a word's first byte is its highest
         return F.getbit(F.get("_words", F.shiftright(at, 6)), in_word) != 0
 
@@ -74,11 +78,13 @@ def key_bitmaps(hashes: DataFrame, limit: int = FILTER_LIMIT) -> KeyBitmaps | No
     bits = 1 << max(15, (FILTER_BITS * hashes.count()).bit_length())
     if bits > limit:
         return None
-    place = F.pmod("_h", F.lit(bits))
+    place = F.col("_h").bitwiseAND(F.lit(bits - 1)) + 1  # Spark's bitmaps count from 1
     built = (hashes.select(place.alias("_p")).groupBy(F.bitmap_bucket_number("_p").alias("_bucket"))
                    .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_p")).alias("_bits")))
-    word = lambda i: F.conv(F.hex(F.substring(F.col("_bits"), i * 8 + 1, F.lit(8))), 16, -10).cast("bigint")
-    return KeyBitmaps(built.select("_bucket", F.transform(F.sequence(F.lit(0), F.lit(511)), word).alias("_words")), bits)
+    parts = built.select("_bucket", "_bits", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("_part"))
+    word = lambda i: F.conv(F.hex(F.substring(F.col("_bits"), F.col("_part") * 512 + i * 8 + 1, F.lit(8))), 16, -10).cast("bigint")
+    return KeyBitmaps(parts.select(((F.col("_bucket") - 1) * 8 + F.col("_part")).alias("_bucket"),
+                                   F.transform(F.sequence(F.lit(0), F.lit(63)), word).alias("_words")), bits)
 
 
 def shared_hashes(keys_and_rows: DataFrame, keys: Sequence[str], rows: str | None = None) -> DataFrame:

@@ -56,7 +56,7 @@ def apart(df: DataFrame, cols: TripColumns) -> tuple[DataFrame, DataFrame | None
     to tell apart).  Many rows may share the pair keys and differ in fare, so
     pairs are found first, from the narrow rows that may form one."""
     narrow = df.select(*cols.reversal_keys, cols.total, cols.fare)
-    members = dedup.reversal_members(staged(dedup.pair_candidates(narrow, cols), "pair-candidates"), cols)
+    members = dedup.reversal_members(staged(dedup.pair_candidates(narrow, cols, nulls=True), "pair-candidates"), cols)
     named = members.select(F.xxhash64(*cols.dedup_keys).alias("_h"))
     return members, *dedup.split_shared(df, cols.dedup_keys, named)
 

@@ -177,3 +177,16 @@ def test_expected_and_missing_months_for_a_run_date(spark):
     seen = spark.createDataFrame([("yellow", 2024, m) for m in range(1, 12)], "vehicle string, year int, month int")
     missing = calendar.missing_months(exp.filter("year = 2024"), seen)
     assert [(r.year, r.month) for r in missing.collect()] == [(2024, 12)]
+
+
+def test_file_month_reads_the_path_uncut_and_its_end_alone(spark, capsys):
+    root = scratch_path(spark, "t") + "/yellow_tripdata_1999-12.parquet/more_1998-11.parquet"
+    _land(spark, root, [(1, "2024", "03")], "id int, file_year string, file_month string")
+    raw = files.read_months(spark, files.month_glob(root, "yellow"))
+    df = files.with_file_month(raw)
+    assert [tuple(r) for r in df.select("file_year", "file_month").collect()] == [("2024", "03")]
+    capsys.readouterr()
+    df.explain()
+    assert "substring_index" not in capsys.readouterr().out
+    other = files.with_file_month(raw, r"_(\d{4}-\d{2})\.parquet")  # not anchored: cut first
+    assert [tuple(r) for r in other.select("file_year", "file_month").collect()] == [("2024", "03")]
