@@ -13,9 +13,12 @@ Candidates are dealt to blocks of about BLOCK_ROWS rows, queries to blocks of
 QUERY_ROWS.  In a first round each query block meets one candidate block; the
 k-th best score found is where the query's bounds begin in the second round,
 in which it meets all others: a candidate block whose best entries together
-do not reach it is not read at all.  Query blocks travel to the candidate
-blocks, of which there is a copy for every GROUP_BLOCKS query blocks, so the
-meetings spread over tasks and no task holds more than one block of each.
+do not reach it is not read at all.  There groups of up to GROUP_BLOCKS query
+blocks meet groups of candidate blocks, so a block travels once for a group,
+not for every block that it meets.  A task holds one group of query blocks
+with their k best so far, whose last is the bound for what follows, and one
+candidate block at a time.  Blocks travel in the narrowest integers that hold
+them, few in an Arrow batch.
 
 Defined results: vectors that are NULL or hold a NULL or non-finite component
 take no part, nor do NULL ids.  Components missing at the end of a shorter
@@ -38,8 +41,10 @@ from pyspark.sql import functions as F
 from .common import saved
 
 BLOCK_ROWS, QUERY_ROWS = 4096, 256
-#: Query blocks that meet one copy of a candidate block.
-GROUP_BLOCKS = 16
+#: Query blocks that meet one copy of a candidate block, and candidate blocks that meet one of a query block, at most.
+GROUP_BLOCKS, GROUP_CANDIDATES = 128, 64
+#: Blocks in one Arrow batch.
+BATCH_BLOCKS = 8
 #: Shares of the lists read before the whole of them.
 DEPTHS = (1 / 16, 1 / 4)
 
@@ -55,19 +60,22 @@ def integer_vectors(vectors: DataFrame, scale: int, id_col: str, vector_col: str
 
 
 def _packed(rows: DataFrame, block: Column, name: str, extra: str | None = None) -> DataFrame:
-    """One row per block: ids and the matrix as bytes (and a column of doubles)."""
+    """One row per block: ids and the matrix as bytes, in integers of
+    ``width`` bytes (and a column of doubles)."""
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")
         d = max(map(len, pdf["x"]), default=0)
         m = np.zeros((len(pdf), d), np.int64)
         for i, x in enumerate(pdf["x"]):
             m[i, :len(x)] = x
-        out = {name: [pdf[name].iloc[0]], f"{name}_ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()], f"{name}_rows": [m.tobytes()]}
+        low, high = int(m.min(initial=0)), int(m.max(initial=0))
+        kind = next(np.dtype(t) for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+        out = {name: [pdf[name].iloc[0]], "ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()], "rows": [m.astype(kind).tobytes()], "width": [kind.itemsize]}
         if extra:
-            out[f"{name}_{extra}"] = [pdf[extra].to_numpy(np.float64).tobytes()]
+            out[extra] = [pdf[extra].to_numpy(np.float64).tobytes()]
         return pd.DataFrame(out)
     return rows.withColumn(name, block).groupBy(name).applyInPandas(
-        pack, f"{name} long, {name}_ids binary, {name}_rows binary" + (f", {name}_{extra} binary" if extra else ""))
+        pack, f"{name} long, ids binary, rows binary, width int" + (f", {extra} binary" if extra else ""))
 
 
 class SortedLists:
@@ -141,48 +149,105 @@ class SortedLists:
         return out
 
 
-def _meet(k: int):
+class _Queries:
+    """A block of queries, and the k best candidates met so far."""
+
+    def __init__(self, n: int, ids: np.ndarray, rows: np.ndarray, bounds: np.ndarray):
+        self.n, self.ids, self.rows, self.bounds = n, ids, rows, bounds.copy()
+        none = np.empty(0, np.int64)
+        self.held = [(none, none)] * len(ids)
+
+    def meet(self, lists: SortedLists, k: int) -> None:
+        d = lists.rows.shape[1]
+        found = lists.best(np.pad(self.rows, ((0, 0), (0, d - self.rows.shape[1]))), self.ids, k, self.bounds)
+        for i, (ids, scores) in enumerate(found):
+            if not len(ids):
+                continue
+            if len(self.held[i][0]):
+                ids, scores = (np.concatenate(v) for v in zip(self.held[i], (ids, scores)))
+                order = np.lexsort((ids, -scores))[:k]
+                ids, scores = ids[order], scores[order]
+            self.held[i] = ids, scores
+            if len(ids) == k:
+                self.bounds[i] = max(self.bounds[i], scores[-1])  # ties of the last one may have smaller ids
+
+    def result(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({
+            "query_id": np.repeat(self.ids, [len(f[0]) for f in self.held]),
+            "vec_id": np.concatenate([f[0] for f in self.held]), "score": np.concatenate([f[1] for f in self.held])})
+
+
+def _meet(k: int, own: int | None):
+    """Rows come by group, ``n`` and queries before candidates.  ``own``: how
+    many candidate blocks there are, where query blocks have met theirs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, lists = None, None
+        at, queries = None, []
         for batch in batches:
-            for at in range(batch.num_rows):
-                r = {c: batch.column(c)[at].as_py() for c in batch.schema.names}
-                ids, qids = np.frombuffer(r["c_ids"], np.int64), np.frombuffer(r["q_ids"], np.int64)
-                rows, queries = (np.frombuffer(r[f"{s}_rows"], np.int64).reshape(len(i), -1) for s, i in (("c", ids), ("q", qids)))
-                d = max(rows.shape[1], queries.shape[1])
-                rows, queries = (np.pad(m, ((0, 0), (0, d - m.shape[1]))) for m in (rows, queries))
-                if held != (r["c"], d):
-                    held, lists = (r["c"], d), SortedLists(ids, rows)
-                found = lists.best(queries, qids, k, np.frombuffer(r["q_bound"], np.float64))
-                yield pa.RecordBatch.from_pydict({
-                    "query_id": np.repeat(qids, [len(f[0]) for f in found]),
-                    "vec_id": np.concatenate([f[0] for f in found]), "score": np.concatenate([f[1] for f in found])})
+            for i in range(batch.num_rows):
+                r = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                if at != (r["cg"], r["g"]):
+                    yield from (q.result() for q in queries)
+                    at, queries = (r["cg"], r["g"]), []
+                ids = np.frombuffer(r["ids"], np.int64)
+                rows = np.frombuffer(r["rows"], f"i{r['width']}").reshape(len(ids), -1).astype(np.int64)
+                if r["bound"] is not None:
+                    queries.append(_Queries(r["n"], ids, rows, np.frombuffer(r["bound"], np.float64)))
+                    continue
+                lists: dict[int, SortedLists] = {}
+                for q in queries:
+                    if own is not None and q.n % own == r["n"]:
+                        continue
+                    d = max(rows.shape[1], q.rows.shape[1])
+                    if d not in lists:
+                        lists = {d: SortedLists(ids, np.pad(rows, ((0, 0), (0, d - rows.shape[1]))))}
+                    q.meet(lists[d], k)
+        yield from (q.result() for q in queries)
     return run
 
 
+def _met(queries: DataFrame, candidates: DataFrame, k: int, label: str, own: int | None = None) -> DataFrame:
+    """``query_id, vec_id, score`` of the k best that each query block finds
+    in every group (``cg``, ``g``) it shares with candidate blocks."""
+    spark, name = queries.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    columns = ["cg", "g", "n", "ids", "rows", "width"]
+    rows = queries.select(*columns, "bound").unionByName(candidates.select(*columns, F.lit(None).cast("binary").alias("bound")))
+    # few bytes, much work: a fixed number of tasks, which are not merged by size
+    tasks, before = int(spark.conf.get("spark.sql.shuffle.partitions")), spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BLOCKS))
+    try:
+        return saved(rows.repartition(tasks, "cg", "g").sortWithinPartitions("cg", "g", F.col("bound").isNull(), "n")
+                     .mapInArrow(_meet(k, own), "query_id long, vec_id long, score long"), label)
+    finally:
+        spark.conf.set(name, before)
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, id_col: str = "vec_id",
           vector_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows where ``is_query`` (a
     condition on ``vec_id``) holds, against all other rows."""
+    spark = vectors.sparkSession
     usable = saved(integer_vectors(vectors, scale, id_col, vector_col), "vectors")
     n, asked = usable.agg(F.count("*"), F.count_if(is_query)).first()
     blocks, query_blocks = -(-n // BLOCK_ROWS) or 1, -(-asked // QUERY_ROWS) or 1
-    groups = -(-query_blocks // GROUP_BLOCKS)
     deal = lambda to: F.pmod(F.xxhash64("vec_id"), F.lit(to)).cast("long")
-    packed = saved(_packed(usable, deal(blocks), "c"), "blocks")
-    copies = packed.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")))
+    packed = saved(_packed(usable, deal(blocks), "n"), "blocks")
     asking = usable.where(is_query)
-    own_block, group = F.pmod(F.col("q"), F.lit(blocks)), F.pmod(F.col("q"), F.lit(groups))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-
-    def meet(queries: DataFrame, label: str) -> DataFrame:
-        return saved(queries.withColumn("g", group).join(copies, ["c", "g"]).select("c", "c_ids", "c_rows", "q_ids", "q_rows", "q_bound")
-                     .mapInArrow(_meet(k), "query_id long, vec_id long, score long"), label)
-
-    first = meet(_packed(asking.withColumn("bound", F.lit(float("-inf"))), deal(query_blocks), "q", "bound").withColumn("c", own_block), "first")
-    reached = first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("bound"))
-    again = _packed(asking.join(reached, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))), deal(query_blocks), "q", "bound")
-    others = again.withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))).where(F.col("c") != own_block)
-    met = first.unionByName(meet(others, "others")) if blocks > 1 else first
+    none = F.lit(0).cast("long").alias("g")
+
+    asked_first = _packed(asking.withColumn("bound", F.lit(float("-inf"))), deal(query_blocks), "n", "bound")
+    first = _met(asked_first.withColumn("cg", F.pmod("n", F.lit(blocks))).withColumn("g", none),
+                 packed.where(F.col("n") < query_blocks).withColumn("cg", F.col("n")).withColumn("g", none), k, "first")
+    if blocks == 1:
+        met = first
+    else:
+        reached = first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("bound"))
+        again = saved(_packed(asking.join(reached, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))), deal(query_blocks), "n", "bound"), "queries")
+        # some groups a task, so that tasks are alike
+        groups, tasks = -(-query_blocks // GROUP_BLOCKS), int(spark.conf.get("spark.sql.shuffle.partitions"))
+        candidate_groups = max(-(-blocks // GROUP_CANDIDATES), min(blocks, -(-4 * tasks // groups)))
+        every = lambda to, name: F.explode(F.sequence(F.lit(0), F.lit(to - 1)).cast("array<bigint>")).alias(name)
+        met = first.unionByName(_met(again.select("*", F.pmod("n", F.lit(groups)).alias("g"), every(candidate_groups, "cg")),
+                                     packed.select("*", F.pmod("n", F.lit(candidate_groups)).alias("cg"), every(groups, "g")), k, "others", own=blocks))
     return (met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

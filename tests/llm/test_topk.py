@@ -60,3 +60,31 @@ def test_reading_stops_early_on_skewed_lists():
         every = rows @ rows[q]
         order = [i for i in np.lexsort((np.arange(2000), -every)) if i != q][:10]
         assert ids.tolist() == order and scores.tolist() == every[order].tolist()
+
+
+def test_a_candidate_block_reaches_a_task_once_for_a_group(spark, monkeypatch):
+    """A block used to come along with every query block that met it, in
+    batches of thousands of rows: what a task held grew with the queries."""
+    monkeypatch.setattr(K, "BLOCK_ROWS", 500)
+    monkeypatch.setattr(K, "QUERY_ROWS", 10)
+    seen, bytes_in = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    plain = K._meet
+
+    def counted(*args):
+        inner = plain(*args)
+
+        def run(batches):
+            def look():
+                for batch in batches:
+                    seen.add(max(0, batch.num_rows - 8))
+                    bytes_in.add(batch.nbytes)
+                    yield batch
+            return inner(look())
+        return run
+    monkeypatch.setattr(K, "_meet", counted)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=16)) for i in range(2000)]
+    assert run(spark, wide(rows), every=2) == brute(rows, every=2)
+    assert seen.value == 0
+    # 100 query blocks meet 4 blocks of 500 rows: 64 KB each as 64-bit numbers, with their ids 68
+    assert bytes_in.value < 100 * 4 * 68_000 / 4
