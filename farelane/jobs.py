@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from farelane import spec
 from farelane.operators import harmonize
 from farelane.plans.curate import curate
-from farelane.session import ensure_checkpoint_dir, ensure_plan_settings
+from farelane.session import ensure_checkpoint_dir, ensure_plan_settings, staging
 from farelane.sinks.parquet import gated_publish
 from farelane.sources import dims, runmodes
 
@@ -49,9 +49,10 @@ def run_job(spark: SparkSession, jobs: str, run_mode: str, months: int, raw_root
         folder = f"{raw_root.rstrip('/')}/{vehicle}"
         picked = runmodes.selected_months(spark, folder, vehicle, run_mode, months, minimum_month)
         raw = runmodes.read_selected(spark, folder, vehicle, picked)
-        curated = curate(FLAVOURS[vehicle](raw), dim_set, cols, plan=plan, timestamp_type=timestamp_type)
-        report[vehicle] = gated_publish(curated, f"{curated_root.rstrip('/')}/{vehicle}", strict, picked, timestamp_type,
-                                        (*spec.QUALITY_UNIQUE_KEY, *(("file_year", "file_month") if cols.scope else ())))
+        with staging(spark):
+            curated = curate(FLAVOURS[vehicle](raw), dim_set, cols, plan=plan, timestamp_type=timestamp_type)
+            report[vehicle] = gated_publish(curated, f"{curated_root.rstrip('/')}/{vehicle}", strict, picked, timestamp_type,
+                                            (*spec.QUALITY_UNIQUE_KEY, *(("file_year", "file_month") if cols.scope else ())))
     return report
 
 
